@@ -1,0 +1 @@
+"""Reading and writing partitioned datasets, tables and typed marts."""
