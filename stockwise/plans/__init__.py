@@ -4,7 +4,7 @@ from importlib import import_module
 
 from stockwise.plans.registry import all_oracles, all_queries
 
-for _area in ("windowing", "scans", "columns", "joining"):
+for _area in ("windowing", "scans", "columns", "joining", "aggregating"):
     import_module(f"stockwise.plans.{_area}")
 
 __all__ = ["all_oracles", "all_queries"]

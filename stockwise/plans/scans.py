@@ -13,7 +13,7 @@ from stockwise.session import work_path
 from stockwise.sources import readers, sinks
 
 EVENTS = """SELECT user_id % 5 AS wh_dept_id, event_id % 5 AS goods_id, event_id, value, CAST(ts AS DATE) AS dt,
-  strftime(ts, '%H') AS hm, event_type FROM events"""
+  lpad(CAST(hour(ts) // 6 * 6 AS VARCHAR), 2, '0') AS hm, event_type FROM events"""
 
 
 def events_by_day(inp: Inputs) -> DataFrame:
@@ -23,7 +23,7 @@ def events_by_day(inp: Inputs) -> DataFrame:
         "event_id",
         "value",
         F.to_date("ts").alias("dt"),
-        F.date_format("ts", "HH").alias("hm"),
+        F.lpad((F.floor(F.hour("ts") / 6) * 6).cast("string"), 2, "0").alias("hm"),
         "event_type",
     )
 
