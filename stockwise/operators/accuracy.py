@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stockwise.functions.numeric import half_even
+from stockwise.functions.numeric import band_label, half_even
+from stockwise.operators.aggregate import median_day, multi_grain
+from stockwise.operators.windows import by
 
 # Fixed value: smallest denominator of the relative error (spacing of doubles at 1).
 RELATIVE_FLOOR = 2.220446049250313e-16
@@ -37,3 +39,211 @@ def accuracy_metrics(
         F.when(kept == "", "all").otherwise(kept).alias("grain"), *error_aggregates(actual, predicted)
     )
     return metrics.withColumn("ACC", half_even(1 - F.col("MAPE"), 4))
+
+
+def resolved_prices(pairs: DataFrame, price: DataFrame) -> DataFrame:
+    """Unit price of every (warehouse, goods) pair: its own, else the goods mean, else the warehouse mean.
+
+    The pairs are made distinct first, so the three lookups run on one row per pair.
+    """
+    goods = price.groupBy("goods_id").agg(half_even(F.avg("unit_price"), 4).alias("_goods"))
+    wh = price.groupBy("wh_dept_id").agg(half_even(F.avg("unit_price"), 4).alias("_wh"))
+    keys = ["wh_dept_id", "goods_id"]
+    found = pairs.select(*keys).distinct().join(price.select(*keys, "unit_price"), keys, "left")
+    found = found.join(goods, "goods_id", "left").join(wh, "wh_dept_id", "left")
+    return found.select(*keys, F.coalesce("unit_price", "_goods", "_wh").alias("unit_price"))
+
+
+def to_money(df: DataFrame, price: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Quantities as money, rounded to one digit."""
+    priced = df.join(resolved_prices(df, price), ["wh_dept_id", "goods_id"], "left")
+    return priced.withColumns(
+        {
+            "y_price": half_even(F.col(actual) * F.col("unit_price"), 1),
+            "pred_price": half_even(F.col(predicted) * F.col("unit_price"), 1),
+        }
+    )
+
+
+def horizon_totals(df: DataFrame, keys: Sequence[str], actual: str, predicted: str) -> DataFrame:
+    """Actual and predicted sums over the horizon."""
+    return df.groupBy(*keys).agg(
+        half_even(F.sum(actual), 1).alias(actual), half_even(F.sum(predicted), 1).alias(predicted)
+    )
+
+
+def backtest_errors(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Row-wise APE, AE, SE and accuracy floored at zero; no actual means no relative error."""
+    diff = F.col(predicted) - F.col(actual)
+    mape = F.abs(F.try_divide(diff, F.col(actual)))
+    return df.withColumns(
+        {
+            "MAPE": half_even(mape, 6),
+            "MAE": half_even(F.abs(diff), 4),
+            "MSE": half_even(diff * diff, 2),
+            "ACC": half_even(F.when(mape > 1, 0.0).otherwise(1 - mape), 6),
+        }
+    )
+
+
+def recent_accuracy(df: DataFrame, keys: Sequence[str], time: str, months: Sequence[int]) -> DataFrame:
+    """Means of the metrics, and deviation of the accuracy, over the last ``n`` evaluations.
+
+    The metrics have four digits; averaging them as whole ten-thousandths keeps the sums exact.
+    """
+    scaled = {m: F.rint(F.col(m) * 1e4) for m in ("MSE", "MAE", "MAPE", "ACC")}
+    columns: dict[str, Column] = {}
+    for n in months:
+        frame = by(keys, time).rowsBetween(-(n - 1), 0)
+        for metric, value in scaled.items():
+            columns[f"last_{n}_{metric.lower()}"] = half_even(F.avg(value).over(frame)) / 1e4
+        columns[f"last_{n}_std"] = half_even(F.stddev_samp(scaled["ACC"]).over(frame)) / 1e4
+    return df.withColumns(columns)
+
+
+def consumption_mart(
+    sources: Sequence[tuple[DataFrame, DataFrame]], keys: Sequence[str], value: str, start: str, end: str
+) -> DataFrame:
+    """Sum each source over the days for the goods on its own list, then put the sources together."""
+    parts = []
+    for rows, goods in sources:
+        span = rows.where(F.col("ds").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+        summed = span.dropna(subset=["goods_id"]).groupBy(*keys).agg(F.sum(value).alias("real_consume"))
+        parts.append(summed.join(goods.select("goods_id", "large_class_name").distinct(), "goods_id"))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def lifecycle_class(plan: DataFrame, keys: Sequence[str], run_day: str) -> DataFrame:
+    """Class of a commodity from its median dates: normal, new, or subnew within 21 days of its start."""
+    day = F.lit(run_day).cast("timestamp")
+    since = F.lit(run_day).cast("timestamp") - F.expr("interval 21 days")
+    medians = plan.groupBy(*keys).agg(*(median_day(c).alias(c) for c in ("launch_date", "sale_date", "actual_launch_date")))
+    fresh = [(F.col(c) > since) & (F.col(c) <= day) for c in ("sale_date", "actual_launch_date")]
+    label = (
+        F.when(fresh[0] | fresh[1], "subnew")
+        .when((F.col("launch_date") > day) & F.col("sale_date").isNull(), "new")
+        .otherwise("norm")
+    )
+    return medians.withColumn("cmdty_type", label)
+
+
+def windows_of(run_day: str, lengths: Sequence[int]) -> Column:
+    """Array of trailing windows; each compares with the forecast made on the day before it starts."""
+    day = F.lit(run_day).cast("date")
+    return F.array(
+        *(
+            F.struct(
+                F.lit(n).alias("days"),
+                F.date_sub(day, n).alias("start"),
+                F.date_sub(day, 1).alias("end"),
+                F.date_sub(day, n + 1).alias("run_dt"),
+            )
+            for n in lengths
+        )
+    )
+
+
+def in_windows(df: DataFrame, day: str, windows: Column, run_dt: str | None = None) -> DataFrame:
+    """Every row once per window that holds its day (and, for forecasts, matches its run day)."""
+
+    def fits(w: Column) -> Column:
+        inside = F.col(day).between(w["start"], w["end"])
+        return inside if run_dt is None else inside & (F.col(run_dt) == w["run_dt"])
+
+    picked = df.withColumn("_w", F.explode(F.filter(windows, fits)))
+    return picked.withColumns({"days": F.col("_w.days"), "run_dt": F.col("_w.run_dt")}).drop("_w")
+
+
+def accuracy_fact(
+    predicted: DataFrame,
+    consumed: DataFrame,
+    norm_share: DataFrame,
+    price: DataFrame,
+    goods: DataFrame,
+    slow: DataFrame,
+    span: Sequence[str],
+) -> DataFrame:
+    """Predicted against real consumption per window, warehouse and goods, in pieces and money.
+
+    ``predicted`` holds ``all_pred`` and ``common_pred``, ``consumed`` the real consumption and
+    ``norm_share`` the share of normal commodities in it.  All sides are aggregated beforehand.
+    """
+    keys = ["wh_dept_id", "goods_id"]
+    fact = predicted.join(consumed, [*span, *keys]).na.fill(0.0, ["all_pred", "common_pred", "real_consume"])
+    fact = fact.join(price, keys, "left").join(goods, "goods_id", "left").join(norm_share, [*span, *keys], "left")
+    no_common = (F.col("all_pred") > 0) & (F.col("common_pred") == 0)
+    fact = fact.withColumn("common_ratio", F.coalesce(F.when(no_common, 0.0).otherwise(F.col("common_ratio")), F.lit(1.0)))
+    fact = fact.withColumn("common_consume", half_even(F.col("real_consume") * F.col("common_ratio"), 2))
+    amounts = {
+        "all_consume_amount": "real_consume",
+        "common_consume_amount": "common_consume",
+        "common_predict_amount": "common_pred",
+        "all_predict_amount": "all_pred",
+    }
+    fact = fact.withColumns({out: half_even(F.col(c) * F.col("unit_price"), 2) for out, c in amounts.items()})
+    fact = fact.withColumns({f"diff_{k}": F.col(f"{k}_predict_amount") - F.col(f"{k}_consume_amount") for k in ("common", "all")})
+    fact = fact.withColumns(
+        {f"abs_diff_{k}": F.abs(F.col(f"diff_{k}")) for k in ("common", "all")}
+        | {f"sq_diff_{k}": F.col(f"diff_{k}") * F.col(f"diff_{k}") for k in ("common", "all")}
+        | {
+            "MPE_common": half_even(F.try_divide(F.col("common_pred") - F.col("common_consume"), F.col("common_consume")), 2),
+            "MPE_all": half_even(F.try_divide(F.col("diff_all"), F.col("all_consume_amount")), 2),
+        }
+    )
+    fact = fact.withColumns({f"MAPE_{k}": F.abs(F.col(f"MPE_{k}")) for k in ("common", "all")})
+    fact = fact.join(slow.select("goods_id", F.lit(1).cast("long").alias("is_longtail")), "goods_id", "left")
+    return fact.withColumn("is_longtail", F.coalesce(F.col("is_longtail"), F.lit(0).cast("long")))
+
+
+def slow_goods(classes: DataFrame, slow_types: Sequence[str], more_than: int) -> DataFrame:
+    """Goods that belong to a slow class in more than ``more_than`` warehouses."""
+    slow = classes.where(F.col("dly_model_type").isin(*slow_types))
+    counted = slow.groupBy("goods_id").agg(F.count("wh_dept_id").alias("wh_cnt"))
+    return counted.where(F.col("wh_cnt") > more_than)
+
+
+def accuracy_by_grain(fact: DataFrame, span: Sequence[str]) -> DataFrame:
+    """MAPE, MSE, RMSE and MAE per goods, class and in total, with and without long-tail goods.
+
+    One scan: grouping sets give the grains, conditional sums the twin without the long tail.
+    """
+    priced = fact.where(F.col("unit_price").isNotNull())
+    short = F.col("is_longtail") == 0
+    grains = {"goods": ["large_class_name", "goods_id"], "class": ["large_class_name"], "all": []}
+    measures: list[Column] = [F.median("is_longtail").alias("longtail_median")]
+    for suffix, keep in (("", F.lit(True)), ("_nolongtail", short)):
+        measures.append(F.sum(F.when(keep, 1.0)).alias(f"n{suffix}"))
+        for k in ("common", "all"):
+            for m in (f"abs_diff_{k}", f"sq_diff_{k}", f"{k}_consume_amount"):
+                measures.append(F.sum(F.when(keep, F.col(m))).alias(f"{m}{suffix}"))
+    sums = multi_grain(priced, span, grains, measures)
+    columns: dict[str, Column] = {"is_longtail": (F.col("longtail_median") > 0.5).cast("long")}
+    for suffix in ("", "_nolongtail"):
+        n = F.col(f"n{suffix}")
+        for k in ("common", "all"):
+            absolute, square = F.col(f"abs_diff_{k}{suffix}"), F.col(f"sq_diff_{k}{suffix}")
+            consumed = F.col(f"{k}_consume_amount{suffix}")
+            ratio = F.when(consumed > 0, absolute / consumed)
+            columns |= {
+                f"mape_{k}{suffix}": half_even(F.coalesce(ratio, F.lit(0.0)), 6),
+                f"mse_{k}{suffix}": half_even(square / n, -3),
+                f"rmse_{k}{suffix}": half_even(F.sqrt(square / n), 3),
+                f"mae_{k}{suffix}": half_even(absolute / n, 3),
+            }
+    kept = [*span, "large_class_name", "goods_id", "grain"]
+    return sums.select(*kept, *(c.alias(name) for name, c in columns.items()))
+
+
+def bad_cases(fact: DataFrame, error: str, threshold: float) -> DataFrame:
+    """Rows above the error threshold with their band and the rounded difference."""
+    bad = fact.where(F.col(error) > threshold)
+    return bad.withColumns(
+        {
+            "accuracy_label": band_label(F.col(error)),
+            "diff": half_even(F.col("pred") - F.col("y"), 1),
+            "wh_goods": F.concat_ws("_", "wh_name", "goods_name"),
+        }
+    )
