@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,30 +14,28 @@ from stockwise.operators.windows import by
 RELATIVE_FLOOR = 2.220446049250313e-16
 
 
-def error_aggregates(actual: str, predicted: str) -> list[Column]:
-    """MSE, MAE and MAPE as plain aggregates, rounded to four digits."""
+def error_aggregates(actual: str, predicted: str, digits: int = 1) -> list[Column]:
+    """MSE, MAE and MAPE as plain aggregates.
+
+    The inputs carry ``digits`` decimals.  Differences are averaged in whole units of the last one,
+    which keeps the sums exact and so independent of the order in which tasks finish.
+    """
+    unit = 10.0**digits
     diff = F.col(predicted) - F.col(actual)
+    whole = F.rint(F.abs(diff) * unit)
     relative = F.abs(diff) / F.greatest(F.abs(F.col(actual)), F.lit(RELATIVE_FLOOR))
     return [
-        half_even(F.avg(diff * diff), 4).alias("MSE"),
-        half_even(F.avg(F.abs(diff)), 4).alias("MAE"),
+        half_even(F.avg(whole * whole) / (unit * unit), 4).alias("MSE"),
+        half_even(F.avg(whole) / unit, 4).alias("MAE"),
         half_even(F.avg(relative), 4).alias("MAPE"),
     ]
 
 
 def accuracy_metrics(
-    df: DataFrame, common: Sequence[str], grains: Sequence[Sequence[str]], actual: str, predicted: str
+    df: DataFrame, common: Sequence[str], grains: Mapping[str, Sequence[str]], actual: str, predicted: str, digits: int = 1
 ) -> DataFrame:
-    """Error metrics per ``common`` columns at every grain, in one pass with grouping sets.
-
-    Columns that a grain leaves out are NULL; ``grain`` names the columns that it keeps.
-    """
-    extra = list(dict.fromkeys(c for g in grains for c in g))
-    sets = [[*common, *g] for g in grains]
-    kept = F.concat_ws("+", *(F.when(F.grouping(c) == 0, c) for c in extra))
-    metrics = df.groupingSets([[F.col(c) for c in s] for s in sets], *common, *extra).agg(
-        F.when(kept == "", "all").otherwise(kept).alias("grain"), *error_aggregates(actual, predicted)
-    )
+    """Error metrics per ``common`` columns at every grain, in one pass with grouping sets."""
+    metrics = multi_grain(df, common, grains, error_aggregates(actual, predicted, digits))
     return metrics.withColumn("ACC", half_even(1 - F.col("MAPE"), 4))
 
 
@@ -214,11 +212,16 @@ def accuracy_by_grain(fact: DataFrame, span: Sequence[str]) -> DataFrame:
     short = F.col("is_longtail") == 0
     grains = {"goods": ["large_class_name", "goods_id"], "class": ["large_class_name"], "all": []}
     measures: list[Column] = [F.median("is_longtail").alias("longtail_median")]
+    def cents(value: Column) -> Column:
+        """Amounts have two digits; summing whole cents keeps the sums exact."""
+        return F.sum(F.rint(value * 100)) / 100
+
     for suffix, keep in (("", F.lit(True)), ("_nolongtail", short)):
         measures.append(F.sum(F.when(keep, 1.0)).alias(f"n{suffix}"))
         for k in ("common", "all"):
-            for m in (f"abs_diff_{k}", f"sq_diff_{k}", f"{k}_consume_amount"):
-                measures.append(F.sum(F.when(keep, F.col(m))).alias(f"{m}{suffix}"))
+            for m in (f"abs_diff_{k}", f"{k}_consume_amount"):
+                measures.append(cents(F.when(keep, F.col(m))).alias(f"{m}{suffix}"))
+            measures.append(F.sum(F.when(keep, F.col(f"sq_diff_{k}"))).alias(f"sq_diff_{k}{suffix}"))
     sums = multi_grain(priced, span, grains, measures)
     columns: dict[str, Column] = {"is_longtail": (F.col("longtail_median") > 0.5).cast("long")}
     for suffix in ("", "_nolongtail"):

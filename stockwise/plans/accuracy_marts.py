@@ -32,17 +32,18 @@ MONEY = {
 }
 
 
-def metric_sql(source: str, groups: str) -> str:
-    """Metrics per run day and model at the given grouping sets."""
+def metric_sql(source: str, grain: str = "") -> str:
+    """Metrics per run day and model at three grains, or at the named one."""
+    diff = "round_even(abs(pred_price - y_price) * 1e1, 0)"
+    where = f"WHERE grain = '{grain}'" if grain else ""
     return f"""SELECT *, {rounded('1 - MAPE', 4)} AS ACC FROM (
-      SELECT dt, model, wh_dept_id, goods_id, {rounded('avg((pred_price - y_price) * (pred_price - y_price))', 4)} AS MSE,
-        {rounded('avg(abs(pred_price - y_price))', 4)} AS MAE, {rounded(f'avg(abs(pred_price - y_price) / greatest(abs(y_price), {EPS}))', 4)} AS MAPE,
-        CASE WHEN grouping(goods_id) = 1 THEN 'all' WHEN grouping(wh_dept_id) = 1 THEN 'goods_id' ELSE 'wh_dept_id+goods_id' END AS grain
-      FROM {source} GROUP BY GROUPING SETS ({groups}))"""
+      SELECT dt, model, wh_dept_id, goods_id, {rounded(f'avg({diff} * {diff}) / 1e2', 4)} AS MSE,
+        {rounded(f'avg({diff}) / 1e1', 4)} AS MAE, {rounded(f'avg(abs(pred_price - y_price) / greatest(abs(y_price), {EPS}))', 4)} AS MAPE,
+        CASE WHEN grouping(goods_id) = 1 THEN 'all' WHEN grouping(wh_dept_id) = 1 THEN 'goods' ELSE 'wh_goods' END AS grain
+      FROM {source} GROUP BY GROUPING SETS ((dt, model), (dt, model, goods_id), (dt, model, wh_dept_id, goods_id))) {where}"""
 
 
-ALL_GRAINS = "(dt, model), (dt, model, goods_id), (dt, model, wh_dept_id, goods_id)"
-GRAINS = [[], ["goods_id"], ["wh_dept_id", "goods_id"]]
+GRAINS = {"all": [], "goods": ["goods_id"], "wh_goods": ["wh_dept_id", "goods_id"]}
 VIEWS = "evaluated unit_price"
 
 
@@ -55,7 +56,7 @@ def rounded_mse(df: DataFrame) -> DataFrame:
     return df.withColumn("MSE", half_even(F.col("MSE"), 1))
 
 
-@query("accuracy_metrics", sql(VIEWS, f"SELECT * REPLACE ({rounded('MSE', 1)} AS MSE) FROM ({metric_sql('daily_money', ALL_GRAINS)})", **MONEY))
+@query("accuracy_metrics", sql(VIEWS, f"SELECT * REPLACE ({rounded('MSE', 1)} AS MSE) FROM ({metric_sql('daily_money')})", **MONEY))
 def accuracy_metrics(inp: Inputs) -> DataFrame:
     money = acc.to_money(inp.evaluated, inp.unit_price, "y", "predict_demand")
     return rounded_mse(acc.accuracy_metrics(money, ["dt", "model"], GRAINS, "y_price", "pred_price"))
@@ -69,8 +70,8 @@ def money_conversion(inp: Inputs) -> DataFrame:
 
 @query(
     "eval_daily_vs_month",
-    sql(VIEWS, f"""SELECT 'daily' AS time_label, * REPLACE ({rounded('MSE', 1)} AS MSE) FROM ({metric_sql('daily_money', ALL_GRAINS)})
-      UNION ALL SELECT 'month', * REPLACE ({rounded('MSE', 1)} AS MSE) FROM ({metric_sql('month_money', ALL_GRAINS)})""", **MONEY),
+    sql(VIEWS, f"""SELECT 'daily' AS time_label, * REPLACE ({rounded('MSE', 1)} AS MSE) FROM ({metric_sql('daily_money')})
+      UNION ALL SELECT 'month', * REPLACE ({rounded('MSE', 1)} AS MSE) FROM ({metric_sql('month_money')})""", **MONEY),
 )
 def eval_daily_vs_month(inp: Inputs) -> DataFrame:
     """The same forecasts judged day by day and by the sum over their horizon."""
@@ -100,13 +101,13 @@ def backtest_grains(inp: Inputs) -> DataFrame:
     return acc.backtest_errors(agg.multi_grain(merged, ["model", "dt"], grains, measures), "theory_sale_cnt", "demand")
 
 
-MONTHLY = {**MONEY, "monthly": metric_sql("month_money", "(dt, model, wh_dept_id, goods_id)")}
+MONTHLY = {**MONEY, "monthly": metric_sql("month_money", "wh_goods")}
 
 
 def monthly_metrics(inp: Inputs) -> DataFrame:
     """Monthly metrics per model, warehouse and goods."""
     money = acc.to_money(evaluated_totals(inp), inp.unit_price, "y", "predict_demand")
-    return acc.accuracy_metrics(money, ["dt", "model"], [KEYS], "y_price", "pred_price").drop("grain")
+    return acc.accuracy_metrics(money, ["dt", "model"], {"wh_goods": KEYS}, "y_price", "pred_price").drop("grain")
 
 
 def recent_sql(months: tuple[int, ...], keys: str = "model, wh_dept_id, goods_id", source: str = "monthly") -> str:
@@ -124,7 +125,7 @@ RECENT = (1, 2, 3, 6)
 @query(
     "recent_acc_mean",
     sql(VIEWS, f"SELECT 'wh_goods' AS level, * FROM ({recent_sql(RECENT)}) UNION ALL SELECT 'goods', model, NULL, goods_id, dt, COLUMNS('last_.*') FROM ({recent_sql(RECENT, 'model, goods_id', 'by_goods')})",
-        **MONTHLY, by_goods=metric_sql("month_money", "(dt, model, goods_id)")),
+        **MONTHLY, by_goods=metric_sql("month_money", "goods")),
 )
 def recent_acc_mean(inp: Inputs) -> DataFrame:
     """Recent accuracy per warehouse and goods, and per goods."""
@@ -132,7 +133,7 @@ def recent_acc_mean(inp: Inputs) -> DataFrame:
     money = acc.to_money(evaluated_totals(inp), inp.unit_price, "y", "predict_demand")
     parts = []
     for level, grain in (("wh_goods", KEYS), ("goods", ["goods_id"])):
-        metrics = acc.accuracy_metrics(money, ["dt", "model"], [grain], "y_price", "pred_price")
+        metrics = acc.accuracy_metrics(money, ["dt", "model"], {level: grain}, "y_price", "pred_price")
         recent = acc.recent_accuracy(metrics, ["model", *grain], "dt", RECENT)
         parts.append(recent.select(F.lit(level).alias("level"), "model", *grain, "dt", *kept))
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
@@ -379,11 +380,15 @@ def grain_sql() -> str:
         for k, c in (("common", "cc"), ("all", "ac")):
             f = f"FILTER (WHERE {keep})"
             diff = f"diff_{k}"
+
+            def cents(value: str, f: str = f) -> str:
+                return f"(sum(round_even({value} * 100, 0)) {f} / 100)"
+
             columns += [
-                f"{rounded(f'coalesce(CASE WHEN sum({c}) {f} > 0 THEN sum(abs({diff})) {f} / sum({c}) {f} END, 0)', 6)} AS mape_{k}{suffix}",
+                f"{rounded(f'coalesce(CASE WHEN {cents(c)} > 0 THEN {cents(f'abs({diff})')} / {cents(c)} END, 0)', 6)} AS mape_{k}{suffix}",
                 f"{rounded(f'sum({diff} * {diff}) {f} / count(*) {f}', -3)} AS mse_{k}{suffix}",
                 f"{rounded(f'sqrt(sum({diff} * {diff}) {f} / count(*) {f})', 3)} AS rmse_{k}{suffix}",
-                f"{rounded(f'sum(abs({diff})) {f} / count(*) {f}', 3)} AS mae_{k}{suffix}",
+                f"{rounded(cents(f'abs({diff})') + f' / count(*) {f}', 3)} AS mae_{k}{suffix}",
             ]
     return f"""SELECT days, run_dt, large_class_name, goods_id,
       CASE WHEN grouping(large_class_name) = 1 THEN 'all' WHEN grouping(goods_id) = 1 THEN 'class' ELSE 'goods' END AS grain, {', '.join(columns)}
