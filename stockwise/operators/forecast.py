@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stockwise.functions.dates import date_parts, days_from
 from stockwise.functions.numeric import at_least, half_even
 from stockwise.operators.accuracy import RELATIVE_FLOOR
+from stockwise.operators.windows import spread
 
 
 def flat_baselines(
@@ -51,7 +52,7 @@ def clipped_sums(forecast: DataFrame, keys: Sequence[str], value: str) -> DataFr
 def history_arrays(df: DataFrame, keys: Sequence[str], time: str, value: str) -> DataFrame:
     """One row per key: the last day and the values in time order."""
     ordered = F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(value).alias("v"))))
-    return df.groupBy(*keys).agg(F.max(time).alias("last_day"), ordered.alias("_rows")).select(
+    return spread(df, keys).groupBy(*keys).agg(F.max(time).alias("last_day"), ordered.alias("_rows")).select(
         *keys, "last_day", F.transform("_rows", lambda r: r["v"]).alias("history")
     )
 

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stockwise.functions.numeric import at_least, box_round, ceil_to_multiple, ceil_units, clamp, half_even
-from stockwise.operators.windows import by, forward_sum_dynamic, top_rows
+from stockwise.operators.windows import by, forward_sum_dynamic, spread, top_rows
 
 
 def filled(name: str) -> Column:
@@ -63,28 +63,26 @@ def shortage_allocation(
     order, and there the stores are first counted per ``chunk`` of store numbers, so that a window
     never holds more than ``chunk`` rows.
     """
+    whole = by(group)
     sizes = df.groupBy(*group, order).agg(
-        F.count("*").alias("_cnt"), F.first(stock).alias("_stock"), F.first(box).alias("_box")
-    )
-    totals = sizes.groupBy(*group).agg(F.sum(F.col("_cnt") * F.col(order)).alias("_total"))
-    short = sizes.join(totals, list(group)).where(F.col("_stock") < F.col("_total")).where(F.col(order) > 0)
+        F.count("*").alias("_cnt"), F.max(stock).alias("_stock"), F.max(box).alias("_box")
+    ).withColumn("_total", F.sum(F.col("_cnt") * F.col(order)).over(whole))
+    short = sizes.where((F.col("_stock") < F.col("_total")) & (F.col(order) > 0))
 
-    # Boxes granted per round, over the order sizes.
+    # Boxes granted per round, over the order sizes.  A round is given while stock is left at its start.
     rounds = F.sequence(F.lit(1), F.ceil(F.col(order) / F.col("_box")).cast("int"))
     per_size = short.withColumn("_round", F.explode(rounds))
     amount = F.least(F.col("_box"), F.col(order) - (F.col("_round") - 1) * F.col("_box"))
     per_size = per_size.withColumn("_amount", amount)
     per_round = per_size.groupBy(*group, "_round").agg(
-        F.sum(F.col("_cnt") * F.col("_amount")).alias("_given"), F.first("_stock").alias("_stock")
+        F.sum(F.col("_cnt") * F.col("_amount")).alias("_given"), F.max("_stock").alias("_stock")
     )
-    ordered = by(group, "_round").rowsBetween(Window.unboundedPreceding, -1)
-    per_round = per_round.withColumn("_before", F.coalesce(F.sum("_given").over(ordered), F.lit(0.0)))
-    # The last round is the one that starts with stock left; a group without stock has round 0.
-    last = per_round.groupBy(*group).agg(
-        F.coalesce(F.max(F.when(F.col("_before") < F.col("_stock"), F.col("_round"))), F.lit(0)).alias("_last"),
-        F.max(F.when(F.col("_before") < F.col("_stock"), F.struct("_round", F.col("_stock") - F.col("_before")))).alias("_r"),
+    earlier_rounds = by(group, "_round").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_given").over(earlier_rounds), F.lit(0.0))
+    per_round = per_round.withColumn("_left", F.col("_stock") - before)
+    last = per_round.where(F.col("_left") > 0).groupBy(*group).agg(
+        F.max("_round").alias("_last"), F.max_by("_left", "_round").alias("_left")
     )
-    last = last.select(*group, "_last", F.coalesce(F.col("_r.col2"), F.lit(0.0)).alias("_left"))
 
     # How many stores of each size get their box in the last round.
     cut = per_size.join(last, list(group)).where(F.col("_round") == F.col("_last"))
@@ -92,26 +90,31 @@ def shortage_allocation(
     taken = F.coalesce(F.sum(F.col("_cnt") * F.col("_amount")).over(larger), F.lit(0.0))
     fits = F.ceil((F.col("_left") - taken) / F.col("_amount"))
     cut = cut.withColumn("_fit", F.greatest(F.least(fits, F.col("_cnt")), F.lit(0)).cast("long"))
-    cut = cut.select(*group, order, "_cnt", "_amount", "_fit")
-
-    rows = df.join(totals, list(group)).join(last, list(group), "left").join(cut, [*group, order], "left")
-    partial = F.coalesce((F.col("_fit") > 0) & (F.col("_fit") < F.col("_cnt")), F.lit(False))
-    open_rows = rows.where(partial).select(*group, order, store, "_fit")
-    chunked = open_rows.withColumn("_chunk", F.floor(F.col(store) / chunk))
-    counts = chunked.groupBy(*group, order, "_chunk").agg(F.count("*").alias("_n"))
-    earlier = by([*group, order], "_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    place = F.col("_offset") + F.row_number().over(by([*group, order, "_chunk"], store))
-    served = chunked.join(offsets, [*group, order, "_chunk"]).withColumn("_place", place)
-    served = served.where(F.col("_place") <= F.col("_fit")).select(*group, order, store, F.lit(True).alias("_served"))
-
-    rows = rows.withColumn("_partial", partial).join(served, [*group, order, store], "left")
-    full_rounds = F.least(F.col(order), F.greatest(F.col("_last") - 1, F.lit(0)) * F.col(box))
-    in_last = F.when(F.col("_partial"), F.coalesce(F.col("_served"), F.lit(False))).otherwise(
-        F.coalesce(F.col("_fit") > 0, F.lit(False))
+
+    # The one size that is served in part: the number of its last served store.
+    partial = cut.where((F.col("_fit") > 0) & (F.col("_fit") < F.col("_cnt"))).select(*group, order, "_fit")
+    chunked = df.select(*group, order, store).join(partial, [*group, order])
+    chunked = chunked.withColumn("_chunk", F.floor(F.col(store) / chunk))
+    counts = chunked.groupBy(*group, order, "_chunk").agg(F.count("*").alias("_n"), F.max("_fit").alias("_fit"))
+    counts = counts.withColumn("_upto", F.sum("_n").over(by([*group, order], "_chunk")))
+    crossing = counts.where((F.col("_upto") >= F.col("_fit")) & (F.col("_upto") - F.col("_n") < F.col("_fit")))
+    wanted = crossing.select(*group, order, "_chunk", (F.col("_fit") - F.col("_upto") + F.col("_n")).alias("_place"))
+    numbered = chunked.drop("_fit").join(wanted, [*group, order, "_chunk"])
+    numbered = numbered.withColumn("_row", F.row_number().over(by([*group, order, "_chunk"], store)))
+    threshold = numbered.where(F.col("_row") == F.col("_place")).select(*group, order, F.col(store).alias("_until"))
+
+    # Everything the rows need, one line per order size, so that the rows are joined once.
+    facts = (
+        sizes.select(*group, order, "_total", "_cnt")
+        .join(last.select(*group, "_last"), list(group), "left")
+        .join(cut.select(*group, order, "_amount", "_fit"), [*group, order], "left")
+        .join(threshold, [*group, order], "left")
     )
+    rows = df.join(facts, [*group, order])
+    full_rounds = F.coalesce(F.least(F.col(order), (F.col("_last") - 1) * F.col(box)), F.lit(0.0))
+    served = F.coalesce((F.col("_fit") == F.col("_cnt")) | (F.col(store) <= F.col("_until")), F.lit(False))
     granted = F.when(F.col(stock) >= F.col("_total"), F.col(order)).otherwise(
-        F.coalesce(full_rounds, F.lit(0.0)) + F.when(in_last, F.coalesce(F.col("_amount"), F.lit(0.0))).otherwise(0.0)
+        full_rounds + F.when(served, F.col("_amount")).otherwise(F.lit(0.0))
     )
     return rows.select(*df.columns, granted.alias("resign"))
 
@@ -139,7 +142,8 @@ def _ledger_sum(ledger: Column, keep) -> Column:
 
 def _folded(df: DataFrame, keys: Sequence[str], columns: Sequence[Column]) -> DataFrame:
     """One row per key with its days in order; the day comes first in the struct."""
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("_days"))
+    days = F.array_sort(F.collect_list(F.struct(*columns)))
+    return spread(df, keys).groupBy(*keys).agg(days.alias("_days"))
 
 
 def reorder_plan(df: DataFrame, keys: Sequence[str]) -> DataFrame:

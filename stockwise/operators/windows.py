@@ -24,6 +24,15 @@ def by(keys: Sequence[str], *order: str | Column) -> WindowSpec:
     return spec.orderBy(*order) if order else spec
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Series hashed over all shuffle partitions ahead of work that is heavy for its few bytes.
+
+    The window or fold that follows needs this distribution anyway, so no shuffle is added; naming
+    the count keeps adaptive execution from merging the small partitions into a few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def lag_features(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,13 +54,13 @@ def lag_features(
             columns[f"lag_{w}_std"] = F.stddev_samp(value).over(frame)
             columns[f"lag_{w}_min"] = F.min(value).over(frame)
             columns[f"lag_{w}_max"] = F.max(value).over(frame)
-    return df.withColumns(columns)
+    return spread(df, keys).withColumns(columns)
 
 
 def trailing_means(df: DataFrame, keys: Sequence[str], time: str, value: str, windows: Iterable[int]) -> DataFrame:
     """Only the lagged means, for the flat baselines."""
     spec = by(keys, time)
-    return df.withColumns({f"lag_{w}_mean": F.avg(value).over(spec.rowsBetween(-w, -1)) for w in windows})
+    return spread(df, keys).withColumns({f"lag_{w}_mean": F.avg(value).over(spec.rowsBetween(-w, -1)) for w in windows})
 
 
 def newest_slice(df: DataFrame, time: str) -> DataFrame:
