@@ -111,7 +111,9 @@ def shortage_allocation(
         .join(threshold, [*group, order], "left")
     )
     rows = df.join(facts, [*group, order])
-    full_rounds = F.coalesce(F.least(F.col(order), (F.col("_last") - 1) * F.col(box)), F.lit(0.0))
+    # Without stock there is no last round, and nothing is granted.
+    rounds_before = F.coalesce(F.col("_last"), F.lit(1)) - 1
+    full_rounds = F.least(F.col(order), rounds_before * F.col(box))
     served = F.coalesce((F.col("_fit") == F.col("_cnt")) | (F.col(store) <= F.col("_until")), F.lit(False))
     granted = F.when(F.col(stock) >= F.col("_total"), F.col(order)).otherwise(
         full_rounds + F.when(served, F.col("_amount")).otherwise(F.lit(0.0))

@@ -72,14 +72,14 @@ def write_table(df: DataFrame, table: str, day: str = "dt") -> None:
     if not spark.catalog.tableExists(table):
         df.hint("rebalance", day).write.partitionBy(day).format("parquet").saveAsTable(table)
         return
-    target = spark.table(table).columns
-    (
-        df.select(*target)
-        .hint("rebalance", day)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    # A write option does not reach an insert into a table, so the session setting is lent for it.
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).hint("rebalance", day).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def backfill(df: DataFrame, path: str, time: str, cutoff: str) -> None:
