@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -39,23 +41,23 @@ def accuracy_metrics(
     return metrics.withColumn("ACC", half_even(1 - F.col("MAPE"), 4))
 
 
-def resolved_prices(pairs: DataFrame, price: DataFrame) -> DataFrame:
-    """Unit price of every (warehouse, goods) pair: its own, else the goods mean, else the warehouse mean.
+def with_price(df: DataFrame, price: DataFrame) -> DataFrame:
+    """Unit price of every row: of its warehouse and goods, else the goods mean, else the warehouse mean.
 
-    The pairs are made distinct first, so the three lookups run on one row per pair.
+    The price tables hold one row per pair, goods and warehouse; adaptive execution broadcasts
+    those that are small, so the wide side is shuffled once at most.
     """
+    keys = ["wh_dept_id", "goods_id"]
+    own = price.select(*keys, F.col("unit_price").alias("_own"))
     goods = price.groupBy("goods_id").agg(half_even(F.avg("unit_price"), 4).alias("_goods"))
     wh = price.groupBy("wh_dept_id").agg(half_even(F.avg("unit_price"), 4).alias("_wh"))
-    keys = ["wh_dept_id", "goods_id"]
-    found = pairs.select(*keys).distinct().join(price.select(*keys, "unit_price"), keys, "left")
-    found = found.join(goods, "goods_id", "left").join(wh, "wh_dept_id", "left")
-    return found.select(*keys, F.coalesce("unit_price", "_goods", "_wh").alias("unit_price"))
+    found = df.join(own, keys, "left").join(goods, "goods_id", "left").join(wh, "wh_dept_id", "left")
+    return found.withColumn("unit_price", F.coalesce("_own", "_goods", "_wh")).drop("_own", "_goods", "_wh")
 
 
 def to_money(df: DataFrame, price: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Quantities as money, rounded to one digit."""
-    priced = df.join(resolved_prices(df, price), ["wh_dept_id", "goods_id"], "left")
-    return priced.withColumns(
+    return with_price(df, price).withColumns(
         {
             "y_price": half_even(F.col(actual) * F.col("unit_price"), 1),
             "pred_price": half_even(F.col(predicted) * F.col("unit_price"), 1),
@@ -128,31 +130,36 @@ def lifecycle_class(plan: DataFrame, keys: Sequence[str], run_day: str) -> DataF
     return medians.withColumn("cmdty_type", label)
 
 
-def windows_of(run_day: str, lengths: Sequence[int]) -> Column:
-    """Array of trailing windows; each compares with the forecast made on the day before it starts."""
-    day = F.lit(run_day).cast("date")
-    return F.array(
-        *(
-            F.struct(
-                F.lit(n).alias("days"),
-                F.date_sub(day, n).alias("start"),
-                F.date_sub(day, 1).alias("end"),
-                F.date_sub(day, n + 1).alias("run_dt"),
-            )
-            for n in lengths
-        )
-    )
+@dataclass(frozen=True)
+class Span:
+    """A trailing window of days and the day before it, whose forecast it is compared with."""
+
+    days: int
+    start: date
+    end: date
+    run_dt: date
 
 
-def in_windows(df: DataFrame, day: str, windows: Column, run_dt: str | None = None) -> DataFrame:
-    """Every row once per window that holds its day (and, for forecasts, matches its run day)."""
+def spans_of(run_day: str, lengths: Sequence[int]) -> list[Span]:
+    day = date.fromisoformat(run_day)
+    return [Span(n, day - timedelta(n), day - timedelta(1), day - timedelta(n + 1)) for n in lengths]
+
+
+def in_spans(df: DataFrame, day: str, spans: Sequence[Span], run_dt: str | None = None) -> DataFrame:
+    """Every row once per span that holds its day (and, for forecasts, matches its run day).
+
+    The outer bounds are a plain filter, which reaches the scan and prunes partitions.
+    """
+    rows = df.where(F.col(day).between(F.lit(min(s.start for s in spans)), F.lit(max(s.end for s in spans))))
 
-    def fits(w: Column) -> Column:
-        inside = F.col(day).between(w["start"], w["end"])
-        return inside if run_dt is None else inside & (F.col(run_dt) == w["run_dt"])
+    def held(span: Span) -> Column:
+        inside = F.col(day).between(F.lit(span.start), F.lit(span.end))
+        if run_dt is not None:
+            inside = inside & (F.col(run_dt) == F.lit(span.run_dt))
+        return F.when(inside, F.struct(F.lit(span.days).alias("days"), F.lit(span.run_dt).alias("run_dt")))
 
-    picked = df.withColumn("_w", F.explode(F.filter(windows, fits)))
-    return picked.withColumns({"days": F.col("_w.days"), "run_dt": F.col("_w.run_dt")}).drop("_w")
+    picked = rows.withColumn("_span", F.explode(F.array_compact(F.array(*(held(s) for s in spans)))))
+    return picked.withColumns({"days": F.col("_span.days"), "run_dt": F.col("_span.run_dt")}).drop("_span")
 
 
 def accuracy_fact(

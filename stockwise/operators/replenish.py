@@ -347,10 +347,13 @@ def stockup_bands(df: DataFrame, keys: Sequence[str], time: str, launch: Column,
 
 
 def proportional_allocation(df: DataFrame, group: Sequence[str], need: Column, total: Column, out: str) -> DataFrame:
-    """Whole units of ``total`` by each row's share of the need of its group."""
-    sums = df.groupBy(*group).agg(F.sum(need).alias("_need"))
+    """Whole units of ``total`` by each row's share of the need of its group, or of the whole table."""
+    if group:
+        summed = df.join(df.groupBy(*group).agg(F.sum(need).alias("_need")), list(group))
+    else:
+        summed = df.withColumn("_need", df.select(F.sum(need)).scalar())
     share = F.try_divide(need, F.col("_need"))
-    return df.join(sums, list(group)).withColumn("dis_ratio", share).withColumn(out, half_even(total * share)).drop("_need")
+    return summed.withColumn("dis_ratio", share).withColumn(out, half_even(total * share)).drop("_need")
 
 
 def expiry_risk(ends: DataFrame, consumed_before: Column, layers: Sequence[str], last_layer: str) -> DataFrame:

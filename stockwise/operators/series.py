@@ -59,8 +59,9 @@ def patch_bad_days(df: DataFrame, time: str, bad_days: Sequence[str]) -> DataFra
 
 
 def time_bounds(df: DataFrame, time: str) -> tuple[Column, Column]:
-    """First and last day as scalar subqueries."""
-    return df.select(F.min(time)).scalar(), df.select(F.max(time)).scalar()
+    """First and last day as one scalar subquery."""
+    bounds = df.select(F.struct(F.min(time).alias("first"), F.max(time).alias("last"))).scalar()
+    return bounds["first"], bounds["last"]
 
 
 def calendar(df: DataFrame, keys: Sequence[str], first: Column, last: Column, time: str = "ds") -> DataFrame:

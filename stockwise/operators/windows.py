@@ -90,25 +90,26 @@ def forward_sum_dynamic(df: DataFrame, keys: Sequence[str], time: str, value: st
     """Forward sums whose length is a column, taken from the first row of each key.
 
     Row ``i`` gets the sum of rows ``i .. i+n-1`` and 0 where fewer than ``n`` rows remain.  The
-    per-key sequence is at most one calendar long; the prefix sums of a key travel as one array.
+    running total of a key, at most one calendar long, is gathered into one array in which every
+    row looks up its end.
     """
-    spec = by(keys, time)
-    whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    running = F.sum(F.coalesce(F.col(value), F.lit(0.0))).over(spec.rowsBetween(Window.unboundedPreceding, 0))
-    staged = df.withColumns({"_row": F.row_number().over(spec), "_sum": running})
-    staged = staged.withColumns(
-        {"_sums": F.collect_list("_sum").over(whole)}
-        | {f"_n_{out}": F.first(n.cast("int")).over(whole) for out, n in sums.items()}
-    )
-    before = F.col("_sum") - F.coalesce(F.col(value), F.lit(0.0))
-
-    def forward(out: str) -> Column:
-        end = F.col("_row") + F.col(f"_n_{out}") - 1
-        inside = (F.col(f"_n_{out}") > 0) & (end <= F.size("_sums"))
-        return F.when(inside, F.get("_sums", end - 1) - before).otherwise(F.lit(0.0))
-
-    staged = staged.withColumns({out: forward(out) for out in sums})
-    return staged.drop("_row", "_sum", "_sums", *(f"_n_{out}" for out in sums))
+    rest = [c for c in df.columns if c not in keys and c != time]
+    staged = df.withColumns({f"_n_{out}": n.cast("int") for out, n in sums.items()})
+    running = F.sum(F.coalesce(F.col(value), F.lit(0.0))).over(by(keys, time).rowsBetween(Window.unboundedPreceding, 0))
+    row = F.struct(time, *rest, *(f"_n_{out}" for out in sums), "_sum")
+    gathered = spread(staged, keys).withColumn("_sum", running).groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+
+    def looked_up(r: Column, i: Column) -> Column:
+        before = r["_sum"] - F.coalesce(r[value], F.lit(0.0))
+
+        def forward(out: str) -> Column:
+            n = F.get("_rows", F.lit(0))[f"_n_{out}"]
+            inside = (n > 0) & (i + n <= F.size("_rows"))
+            return F.when(inside, F.get("_rows", i + n - 1)["_sum"] - before).otherwise(F.lit(0.0)).alias(out)
+
+        return F.struct(*(r[c].alias(c) for c in (time, *rest)), *(forward(out) for out in sums))
+
+    return gathered.select(*keys, F.inline(F.transform("_rows", looked_up))).select(*df.columns, *sums)
 
 
 def running_total(df: DataFrame, keys: Sequence[str], time: str, value: str, out: str) -> DataFrame:

@@ -326,18 +326,17 @@ def slow_classes(inp: Inputs) -> DataFrame:
 
 
 def fact(inp: Inputs, lengths: tuple[int, ...]) -> DataFrame:
-    spans = acc.windows_of(RUN_DAY, lengths)
+    spans = acc.spans_of(RUN_DAY, lengths)
     group = ["days", "run_dt", *KEYS]
     norm = F.col("type_flg") == "norm"
-    run_days = [F.date_sub(F.lit(RUN_DAY).cast("date"), n + 1) for n in lengths]
     parts = []
     for kind, rows in (("all_pred", inp.sold_rows), ("common_pred", inp.sold_rows.where(norm))):
         feats = win.trailing_means(series.daily_sum(rows, KEYS, "ds", "qty"), KEYS, "ds", "y", (7,))
-        flat = fc.flat_baselines(feats, KEYS, "ds", (7,), 61, origin=F.col("ds").isin(*run_days))
-        summed = acc.in_windows(flat, "predict_dt", spans, "dt").groupBy(*group)
+        flat = fc.flat_baselines(feats, KEYS, "ds", (7,), 61, origin=F.col("ds").isin([s.run_dt for s in spans]))
+        summed = acc.in_spans(flat, "predict_dt", spans, "dt").groupBy(*group)
         parts.append(summed.agg(half_even(F.sum("predict_demand"), 4).alias(kind)))
     predicted = parts[0].join(parts[1], group, "left")
-    sold = acc.in_windows(inp.sold_rows, "ds", spans).groupBy(*group).agg(
+    sold = acc.in_spans(inp.sold_rows, "ds", spans).groupBy(*group).agg(
         F.sum("qty").alias("real_consume"), F.sum(F.when(norm, F.col("qty"))).alias("_norm")
     )
     ratio = half_even(F.try_divide(F.col("_norm"), F.col("real_consume")), 2)

@@ -43,11 +43,11 @@ def agg_median(inp: Inputs) -> DataFrame:
 @query(
     "unit_price",
     sql("sold_rows", f"""SELECT wh_dept_id, goods_id, {rounded('sum(money) / sum(qty)', 4)} AS unit_price FROM sold_rows
-      WHERE ds >= (SELECT max(ds) FROM sold_rows) - 180 AND qty > 0 AND type_flg = 'norm' GROUP BY 1, 2"""),
+      WHERE ds >= (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem) - 180 AND qty > 0 AND type_flg = 'norm' GROUP BY 1, 2"""),
 )
 def unit_price(inp: Inputs) -> DataFrame:
     rows = inp.sold_rows.where(F.col("type_flg") == "norm")
-    run_day = inp.sold_rows.select(F.max("ds")).scalar()
+    run_day = inp.table("lineitem").select(F.max(F.to_date("l_shipdate"))).scalar()
     price = agg.weighted_price(rows, KEYS, "money", "qty", "ds", run_day, 180)
     return price.withColumn("unit_price", half_even(F.col("unit_price"), 4))
 

@@ -50,12 +50,13 @@ def join_outer_fill(inp: Inputs) -> DataFrame:
 
 @query(
     "range_join_cumsum",
-    sql("wh_demand", """SELECT a.wh_dept_id, a.goods_id, a.ds, b.ds AS predict_dt,
+    sql("daily_demand", """SELECT a.wh_dept_id, a.goods_id, a.ds, b.ds AS predict_dt,
       sum(b.y) OVER (PARTITION BY a.wh_dept_id, a.goods_id, a.ds ORDER BY b.ds) AS cumsum
-      FROM wh_demand a JOIN wh_demand b ON a.wh_dept_id = b.wh_dept_id AND a.goods_id = b.goods_id AND b.ds >= a.ds"""),
+      FROM numbered a JOIN numbered b ON a.wh_dept_id = b.wh_dept_id AND a.goods_id = b.goods_id AND b.rn BETWEEN a.rn AND a.rn + 6""",
+        numbered="SELECT *, row_number() OVER (PARTITION BY wh_dept_id, goods_id ORDER BY ds) AS rn FROM daily_demand"),
 )
 def range_join_cumsum(inp: Inputs) -> DataFrame:
-    return joins.later_day_sums(inp.wh_demand, KEYS, "ds", "y", 120)
+    return joins.later_day_sums(inp.daily_demand, KEYS, "ds", "y", 7)
 
 
 @query("join_semi", "SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")

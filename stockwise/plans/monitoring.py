@@ -51,14 +51,15 @@ def forecast_compare(inp: Inputs) -> DataFrame:
 
 @query(
     "spike_alert",
-    sql("wh_demand", f"""SELECT wh_dept_id, goods_id, ds, y, ratio_1, ratio_7 FROM (
+    sql("store_demand", f"""SELECT dept_id, goods_id, ds, y, ratio_1, ratio_7 FROM (
       SELECT *, {rounded('y / nullif(m1, 0)', 1)} AS ratio_1, {rounded('y / nullif(m7, 0)', 1)} AS ratio_7 FROM (
-        SELECT *, lag(y) OVER (PARTITION BY wh_dept_id, goods_id ORDER BY ds) AS m1,
-          avg(y) OVER (PARTITION BY wh_dept_id, goods_id ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS m7 FROM wh_demand)) WHERE ratio_1 >= 2 OR ratio_7 >= 2"""),
+        SELECT *, lag(y) OVER (PARTITION BY dept_id, goods_id ORDER BY ds) AS m1,
+          avg(y) OVER (PARTITION BY dept_id, goods_id ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS m7 FROM store_demand)) WHERE ratio_1 >= 2 OR ratio_7 >= 2"""),
 )
 def spike_alert(inp: Inputs) -> DataFrame:
-    feats = win.trailing_means(inp.wh_demand, KEYS, "ds", "y", (1, 7))
-    return quality.spikes(feats).select(*KEYS, "ds", "y", "ratio_1", "ratio_7")
+    keys = ["dept_id", "goods_id"]
+    feats = win.trailing_means(inp.store_demand, keys, "ds", "y", (1, 7))
+    return quality.spikes(feats).select(*keys, "ds", "y", "ratio_1", "ratio_7")
 
 
 @query(

@@ -507,7 +507,7 @@ def replenish_gap(inp: Inputs) -> DataFrame:
     """Purchase transit is shared out by need, then all cover is taken off the need."""
     in_transit = F.when(F.dayofyear("ds") % 6 == 0, F.col("y"))
     need = inp.wh_demand.groupBy(*KEYS).agg(F.sum("y").alias("need"), F.coalesce(F.sum(in_transit), F.lit(0.0)).alias("cg_zt"))
-    shared = rep.proportional_allocation(need.withColumn("nation", F.lit(1)), ["nation"], F.col("need"), F.lit(9000.0), "po_zt")
+    shared = rep.proportional_allocation(need, [], F.col("need"), F.lit(9000.0), "po_zt")
     stock = F.lit(100.0) * (1 + F.col("wh_dept_id"))
     gap = rep.replenish_gap(F.col("need"), [F.col("po_zt"), F.col("cg_zt"), stock], F.lit(60.0))
     return shared.select(*KEYS, "need", "po_zt", "cg_zt", gap.alias("pp_zt"))

@@ -148,7 +148,7 @@ def test_constant_series_scales_to_zero(spark):
 def test_price_falls_back_to_goods_then_warehouse(spark):
     price = spark.createDataFrame([(1, 1, 2.0), (2, 1, 4.0), (1, 2, 10.0)], "wh_dept_id int, goods_id int, unit_price double")
     pairs = spark.createDataFrame([(1, 1), (3, 1), (2, 9), (3, 9)], "wh_dept_id int, goods_id int")
-    out = {(r[0], r[1]): r[2] for r in acc.resolved_prices(pairs, price).collect()}
+    out = {(r[0], r[1]): r[2] for r in acc.with_price(pairs, price).collect()}
     assert out == {(1, 1): 2.0, (3, 1): 3.0, (2, 9): 4.0, (3, 9): None}
 
 
