@@ -210,8 +210,11 @@ def calloff_plan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     Folds the days like the order plan; the state also carries the quantity that is still open.
     Every call-off arrives after the lead time.
     """
-    ledger = opening_stock_ledger(df, keys, "dt", "beg_wh_stock", "transit").withColumnRenamed("transit", "_arrives")
-    days = leadtime_demand(df, keys).join(ledger, [*keys, "dt"], "left")
+    # The opening stock arrives on the first day; the window shares its layout with the demand sums.
+    whole = by(keys, "dt").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    opening = F.when(F.col("dt") == F.min("dt").over(whole), F.max("beg_wh_stock").over(whole)).otherwise(F.lit(0.0))
+    arriving = F.when(F.col("transit") > 0, F.col("transit")).otherwise(F.lit(0.0))
+    days = leadtime_demand(df, keys).withColumn("_arrives", opening + arriving)
     quantities = ("_arrives", "theory_order_sum", "lt_consume", "bp_lt_consume", "ss_amount", "pur_use_ratio", "po_remain")
     plan = _folded(
         days, keys, [F.col("dt"), F.date_add("dt", F.col("lt_cg").cast("int")).alias("finish"), *(filled(q).alias(q) for q in quantities)]

@@ -11,8 +11,20 @@ from stockwise.operators.windows import by
 
 
 def daily_sum(df: DataFrame, keys: Sequence[str], time: str, value: str, out: str = "y") -> DataFrame:
-    """One row per key and day.  Rows with a missing key are dropped, as a group key may not be missing."""
-    return df.dropna(subset=list(keys)).groupBy(*keys, time).agg(F.sum(value).alias(out))
+    """One row per key and day; a group key may not be missing."""
+    return present(df, *keys, time).groupBy(*keys, time).agg(F.sum(value).alias(out))
+
+
+def present(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows that have all the columns.
+
+    Stated at the source, the condition makes the branches of a plan alike whatever later joins
+    infer from it, so that they share one scan and one exchange.
+    """
+    condition = F.col(columns[0]).isNotNull()
+    for name in columns[1:]:
+        condition = condition & F.col(name).isNotNull()
+    return df.where(condition)
 
 
 # Which (type, shop type) rows belong to a population; None takes every row.

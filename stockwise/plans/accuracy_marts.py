@@ -13,8 +13,9 @@ from stockwise.operators import series
 from stockwise.operators import windows as win
 from stockwise.plans.aggregating import BAND_COUNTS, BAND_RATIOS
 from stockwise.plans.columns import BAND_CASE
-from stockwise.plans.inputs import KEYS, Inputs, rounded, sql
+from stockwise.plans.inputs import KEYS, Inputs, priced, rounded, sql
 from stockwise.plans.registry import query
+from stockwise.session import staged
 
 EPS = "2.220446049250313e-16"
 
@@ -318,32 +319,35 @@ def fact_parts(lengths: tuple[int, ...]) -> dict[str, str]:
     }
 
 
-def slow_classes(inp: Inputs) -> DataFrame:
+def slow_classes(sold: DataFrame) -> DataFrame:
     """Delivery class of every warehouse and goods."""
     kind = (F.col("wh_dept_id") + F.col("goods_id")) % 3
     label = F.when(kind == 0, "f90").when(kind == 1, "f180").otherwise("fast")
-    return inp.sold_rows.select(*KEYS).distinct().withColumn("dly_model_type", label)
+    return sold.select(*KEYS).distinct().withColumn("dly_model_type", label)
 
 
 def fact(inp: Inputs, lengths: tuple[int, ...]) -> DataFrame:
     spans = acc.spans_of(RUN_DAY, lengths)
     group = ["days", "run_dt", *KEYS]
     norm = F.col("type_flg") == "norm"
+    # The sold rows are read once; everything below works on their daily sums.
+    daily = inp.sold_rows.groupBy(*KEYS, "ds", "type_flg").agg(F.sum("qty").alias("qty"), F.sum("money").alias("money"))
+    sold = staged(daily, "sold-daily")
     parts = []
-    for kind, rows in (("all_pred", inp.sold_rows), ("common_pred", inp.sold_rows.where(norm))):
+    for kind, rows in (("all_pred", sold), ("common_pred", sold.where(norm))):
         feats = win.trailing_means(series.daily_sum(rows, KEYS, "ds", "qty"), KEYS, "ds", "y", (7,))
         flat = fc.flat_baselines(feats, KEYS, "ds", (7,), 61, origin=F.col("ds").isin([s.run_dt for s in spans]))
         summed = acc.in_spans(flat, "predict_dt", spans, "dt").groupBy(*group)
         parts.append(summed.agg(half_even(F.sum("predict_demand"), 4).alias(kind)))
     predicted = parts[0].join(parts[1], group, "left")
-    sold = acc.in_spans(inp.sold_rows, "ds", spans).groupBy(*group).agg(
+    consumed = acc.in_spans(sold, "ds", spans).groupBy(*group).agg(
         F.sum("qty").alias("real_consume"), F.sum(F.when(norm, F.col("qty"))).alias("_norm")
     )
     ratio = half_even(F.try_divide(F.col("_norm"), F.col("real_consume")), 2)
-    price = inp.unit_price.withColumn("unit_price", half_even(F.col("unit_price"), 4))
-    slow = acc.slow_goods(slow_classes(inp), ["f90", "f180", "f365"], 3)
+    price = priced(sold).withColumn("unit_price", half_even(F.col("unit_price"), 4))
+    slow = acc.slow_goods(slow_classes(sold), ["f90", "f180", "f365"], 3)
     return acc.accuracy_fact(
-        predicted, sold.drop("_norm"), sold.select(*group, ratio.alias("common_ratio")), price, goods_dim(inp), slow, ["days", "run_dt"]
+        predicted, consumed.drop("_norm"), consumed.select(*group, ratio.alias("common_ratio")), price, goods_dim(inp), slow, ["days", "run_dt"]
     )
 
 
@@ -368,7 +372,7 @@ def accuracy_fact(inp: Inputs) -> DataFrame:
       ON k.goods_id = s.goods_id"""),
 )
 def longtail_flag(inp: Inputs) -> DataFrame:
-    classes = slow_classes(inp)
+    classes = slow_classes(inp.sold_rows)
     slow = acc.slow_goods(classes, ["f90", "f180", "f365"], 3).select("goods_id", F.lit(1).cast("long").alias("is_longtail"))
     return classes.select(*KEYS).join(slow, "goods_id", "left").na.fill(0, ["is_longtail"])
 

@@ -11,6 +11,7 @@ from stockwise.operators import series
 from stockwise.operators import windows as win
 from stockwise.plans.inputs import KEYS, Inputs, rounded, sql
 from stockwise.plans.registry import query
+from stockwise.session import staged
 
 NORMAL = "type_flg = 'norm' AND shop_type_flg = 'norm_shop'"
 
@@ -226,7 +227,7 @@ def holt_winters_grid(inp: Inputs) -> DataFrame:
 )
 def series_minmax(inp: Inputs) -> DataFrame:
     keys = ["dept_id", "goods_id"]
-    demand = inp.store_demand
+    demand = staged(inp.store_demand, "store-demand")
     complete = series.complete_keys(demand, keys, demand.select(F.count_distinct("ds")).scalar())
     scaled = series.minmax_scaled(complete, keys, "y", "scaled")
     return scaled.select(*keys, "ds", half_even(F.col("scaled"), 6).alias("scaled"))

@@ -27,6 +27,12 @@ def rounded(expr: str, digits: int = 0) -> str:
     return f"(round_even(({expr}) * {scale}, 0) / {scale} + 0e0)"
 
 
+def priced(sold: DataFrame) -> DataFrame:
+    """Money per piece; goods 3 of warehouse 2 is left out so that the fallback has work."""
+    known = sold.where(~((F.col("wh_dept_id") == 2) & (F.col("goods_id") == 3)))
+    return known.groupBy(*KEYS).agg((F.sum("money") / F.sum("qty")).alias("unit_price"))
+
+
 class Inputs:
     """Lazy views for one session and one table folder."""
 
@@ -42,7 +48,7 @@ class Inputs:
         """One row per sold line with warehouse, goods and population labels."""
         part = self.table("part").select("p_partkey", "p_size", "p_brand", "p_type")
         line = self.table("lineitem")
-        return line.join(part, line.l_partkey == part.p_partkey).select(
+        rows = line.join(part, line.l_partkey == part.p_partkey).select(
             (F.col("l_suppkey") % 5).alias("wh_dept_id"),
             (F.col("p_size") % 8).cast("long").alias("goods_id"),
             F.to_date("l_shipdate").alias("ds"),
@@ -55,6 +61,7 @@ class Inputs:
             F.col("p_brand").alias("cmdty_id"),
             F.col("p_type").alias("large_class_name"),
         )
+        return series.present(rows, *KEYS, "ds")
 
     @cached_property
     def daily_demand(self) -> DataFrame:
@@ -62,12 +69,7 @@ class Inputs:
 
     @cached_property
     def unit_price(self) -> DataFrame:
-        """Money per piece; goods 3 of warehouse 2 is left out so that the fallback has work."""
-        return (
-            self.sold_rows.groupBy(*KEYS)
-            .agg((F.sum("money") / F.sum("qty")).alias("unit_price"))
-            .where(~((F.col("wh_dept_id") == 2) & (F.col("goods_id") == 3)))
-        )
+        return priced(self.sold_rows)
 
     @cached_property
     def forecast(self) -> DataFrame:
@@ -91,6 +93,7 @@ class Inputs:
             F.to_date("ts").alias("ds"),
             half_even(F.col("value")).alias("y"),
         )
+        rows = series.present(rows, "dept_id", "goods_id", "ds")
         first, last = series.time_bounds(rows, "ds")
         dense = series.densify(rows, ["dept_id", "goods_id"], "ds", "y", first, last)
         return dense.withColumn("wh_dept_id", F.col("dept_id") % 5)
@@ -141,6 +144,7 @@ class Inputs:
             .agg(F.sum("order_num").alias("order_num"))
             .withColumn("dly_use_ratio", F.lit(10.0))
         )
+        orders = series.present(orders, *group, "dept_id")
         # One month in four has stock for everything, the rest covers six tenths.
         share = F.when(F.month("dt") % 4 == 0, 1.0).otherwise(0.6)
         totals = orders.groupBy(*group).agg(F.sum("order_num").alias("wh_order_sum"))

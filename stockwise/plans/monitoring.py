@@ -16,6 +16,7 @@ from stockwise.plans.columns import BAND_CASE
 from stockwise.plans.forecasting import recursive_sql
 from stockwise.plans.inputs import KEYS, Inputs, rounded, sql
 from stockwise.plans.registry import query
+from stockwise.session import staged
 
 
 @query(
@@ -104,7 +105,8 @@ def missing_exclusions(inp: Inputs) -> DataFrame:
       UNION ALL SELECT goods_id, CAST(last_day + step AS DATE), {rounded('sum(held[len(held)])', 1)}, 'pred' FROM grown WHERE step > 0 GROUP BY 1, 2"""),
 )
 def history_forecast_trend(inp: Inputs) -> DataFrame:
-    return quality.history_and_forecast(inp.wh_demand, fc.recursive_mean(inp.wh_demand, KEYS, "ds", "y", 120), 120)
+    demand = staged(inp.wh_demand, "wh-demand")
+    return quality.history_and_forecast(demand, fc.recursive_mean(demand, KEYS, "ds", "y", 120), 120)
 
 
 @query(

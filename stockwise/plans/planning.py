@@ -12,14 +12,15 @@ from stockwise.operators import windows as win
 from stockwise.operators.joins import outer_filled
 from stockwise.plans.inputs import KEYS, Inputs, rounded, sql
 from stockwise.plans.registry import query
+from stockwise.session import staged
 from stockwise.sources import sinks
 
 PLAN = ["version_id", "dept_id", "goods_id"]
 PLAN_SQL = "version_id, dept_id, goods_id"
 
 
-def rolled(inp: Inputs) -> DataFrame:
-    return rep.stock_rollforward(inp.store_plan, PLAN, "dt", "shop_beg", "expected_receive", "pred_consume")
+def rolled(plan: DataFrame) -> DataFrame:
+    return rep.stock_rollforward(plan, PLAN, "dt", "shop_beg", "expected_receive", "pred_consume")
 
 
 NUMBERED = f"SELECT *, row_number() OVER (PARTITION BY {PLAN_SQL} ORDER BY dt) AS rn FROM store_plan"
@@ -33,7 +34,7 @@ NUMBERED = f"SELECT *, row_number() OVER (PARTITION BY {PLAN_SQL} ORDER BY dt) A
           FROM walked w JOIN numbered n ON w.version_id = n.version_id AND w.dept_id = n.dept_id AND w.goods_id = n.goods_id AND n.rn = w.rn + 1"""),
 )
 def stock_rollforward(inp: Inputs) -> DataFrame:
-    return rolled(inp).select(*PLAN, "dt", "stock_beg", "stock_end")
+    return rolled(inp.store_plan).select(*PLAN, "dt", "stock_beg", "stock_end")
 
 
 ROLLED = f"""SELECT *, coalesce(lag(stock_end) OVER k, shop_beg) AS stock_beg FROM (
@@ -52,7 +53,7 @@ PACKED = rounded("CASE WHEN order_calc > 0 AND order_calc < dly_use_ratio THEN d
       WHERE can_order = 1""", rolled=ROLLED),
 )
 def order_quantity(inp: Inputs) -> DataFrame:
-    days = rep.later_sum(rolled(inp), PLAN, "dt", "expected_receive", "dly_num")
+    days = rep.later_sum(rolled(inp.store_plan), PLAN, "dt", "expected_receive", "dly_num")
     stock = F.col("stock_beg") + F.col("expected_receive") + F.col("dly_num")
     columns = rep.order_quantity(stock, F.col("bp_consume") + F.col("ss_ro"), F.col("vlt_consume"), F.col("dly_use_ratio"))
     return days.where(F.col("can_order") == 1).select(*PLAN, "dt", *(c.alias(n) for n, c in columns.items()))
@@ -84,9 +85,10 @@ def shortage_allocation(inp: Inputs) -> DataFrame:
 )
 def warehouse_balance(inp: Inputs) -> DataFrame:
     keys = ["wh_dept_id", "goods_id", "dt"]
-    stock = inp.store_orders.groupBy(*keys).agg(F.max("wh_begin").alias("beg_wh_stock"))
+    orders = staged(inp.store_orders, "store-orders")
+    stock = orders.groupBy(*keys).agg(F.max("wh_begin").alias("beg_wh_stock"))
     arrivals = stock.where(F.month("dt") % 2 == 0).select(*keys, F.explode(F.array(F.lit(100.0), F.lit(50.0))).alias("transit"))
-    return rep.warehouse_balance(stock, arrivals, inp.store_orders, keys)
+    return rep.warehouse_balance(stock, arrivals, orders, keys)
 
 
 @query(
@@ -187,14 +189,14 @@ SHOP_COVER = """SELECT version_id, goods_id, dt, shop_end, CAST(CASE WHEN mean =
   SELECT *, avg(pred_consume) OVER (PARTITION BY version_id, goods_id ORDER BY dt ROWS BETWEEN CURRENT ROW AND 6 FOLLOWING) AS mean FROM shop_days)"""
 
 
-def shop_cover(inp: Inputs) -> DataFrame:
-    days = rolled(inp).groupBy("version_id", "goods_id", "dt").agg(F.sum("pred_consume").alias("pred_consume"), F.sum("stock_end").alias("shop_end"))
+def shop_cover(plan: DataFrame) -> DataFrame:
+    days = rolled(plan).groupBy("version_id", "goods_id", "dt").agg(F.sum("pred_consume").alias("pred_consume"), F.sum("stock_end").alias("shop_end"))
     return rep.store_cover_days(days, ["version_id", "goods_id"], "dt", "shop_end", "pred_consume")
 
 
 @query("store_cover_days", sql("store_plan", SHOP_COVER, rolled=ROLLED, shop_days=SHOP_DAYS))
 def store_cover_days(inp: Inputs) -> DataFrame:
-    return shop_cover(inp).select("version_id", "goods_id", "dt", "shop_end", "shop_avl_days")
+    return shop_cover(inp.store_plan).select("version_id", "goods_id", "dt", "shop_end", "shop_avl_days")
 
 
 IN_STOCK = """SELECT version_id, goods_id, dt, CAST(sum(CAST(stock_beg + expected_receive > 0 AS BIGINT)) AS BIGINT) AS in_stock, max(shop_cnt) AS shop_cnt,
@@ -203,13 +205,13 @@ IN_STOCK = """SELECT version_id, goods_id, dt, CAST(sum(CAST(stock_beg + expecte
     ON r.version_id = c.version_id AND r.goods_id = c.goods_id) WHERE closed = 0 GROUP BY 1, 2, 3"""
 
 
-def in_stock(inp: Inputs) -> DataFrame:
-    return rep.in_stock_rate(rolled(inp), ["version_id", "goods_id"], "dt", "dept_id", F.col("stock_beg") + F.col("expected_receive"))
+def in_stock(plan: DataFrame) -> DataFrame:
+    return rep.in_stock_rate(rolled(plan), ["version_id", "goods_id"], "dt", "dept_id", F.col("stock_beg") + F.col("expected_receive"))
 
 
 @query("in_stock_rate", sql("store_plan", f"SELECT version_id, goods_id, dt, in_stock, shop_cnt, {rounded('shop_avl_rate', 5)} AS shop_avl_rate FROM rate", rolled=ROLLED, rate=IN_STOCK))
 def in_stock_rate(inp: Inputs) -> DataFrame:
-    return in_stock(inp).withColumn("shop_avl_rate", half_even(F.col("shop_avl_rate"), 5))
+    return in_stock(inp.store_plan).withColumn("shop_avl_rate", half_even(F.col("shop_avl_rate"), 5))
 
 
 LAYERS = ["po1_amount", "po2_amount", "po3_amount"]
@@ -227,6 +229,7 @@ DRAWN = {
 
 def drawn(inp: Inputs) -> DataFrame:
     nation = series.daily_sum(inp.wh_demand, ["goods_id"], "ds", "y", "theory_order_sum").withColumnRenamed("ds", "dt")
+    nation = staged(nation, "nation-demand")
     total, size = F.sum("theory_order_sum"), F.lit(0.5) + F.lit(0.3) * F.col("goods_id")
     layers = nation.groupBy("goods_id").agg(
         *(F.rint(total * s * size).alias(c) for c, s in SHARES.items()),
@@ -405,8 +408,7 @@ CALENDARS = {
 class Calendars:
     """Order calendar, order chances and daily consumption behind the plan base."""
 
-    def __init__(self, inp: Inputs):
-        plan = inp.store_plan
+    def __init__(self, plan: DataFrame):
         odd = F.dayofyear("dt") % 2
         self.daily = plan.select("dept_id", "goods_id", "version_id", "wh_dept_id", F.col("dt").alias("predict_date"), F.col("pred_consume").alias("shop_com_consume"))
         self.chance = plan.where(F.col("version_id") == 1).select(
@@ -432,7 +434,7 @@ class Calendars:
       ON b.dt = v.dt AND b.dept_id = v.dept_id AND b.goods_id = v.goods_id AND b.version_id = v.version_id""", **CALENDARS),
 )
 def calendar_consumption(inp: Inputs) -> DataFrame:
-    cal = Calendars(inp)
+    cal = Calendars(staged(inp.store_plan, "store-plan"))
     return cal.bp().join(cal.vlt(), ["dt", "dept_id", "goods_id", "version_id"])
 
 
@@ -481,7 +483,7 @@ SPECS = {
 }
 
 
-def specs(inp: Inputs) -> DataFrame:
+def specs(inp: Inputs, pairs: DataFrame) -> DataFrame:
     key = F.col("s_suppkey")
     rows = inp.table("supplier").select(
         (key % 5).alias("wh_dept_id"), (F.col("s_nationkey") % 4).cast("long").alias("goods_id"),
@@ -489,12 +491,12 @@ def specs(inp: Inputs) -> DataFrame:
         (5 + key % 4 * 5).cast("double").alias("dly_use_ratio"), (10 + key % 2 * 2).cast("double").alias("pur_dly_ratio"),
     )
     config = inp.table("region").select(F.col("r_regionkey").cast("long").alias("goods_id"), F.lit(8.0).alias("dly_use_ratio"), F.lit(12.0).alias("pur_dly_ratio"))
-    return rep.resolved_specs(inp.store_demand.select(*KEYS).distinct(), rows, config)
+    return rep.resolved_specs(pairs.select(*KEYS).distinct(), rows, config)
 
 
 @query("spec_fallback", sql("store_demand", "SELECT * FROM resolved", **SPECS))
 def spec_fallback(inp: Inputs) -> DataFrame:
-    return specs(inp)
+    return specs(inp, inp.store_demand)
 
 
 @query(
@@ -528,11 +530,11 @@ def replenish_gap(inp: Inputs) -> DataFrame:
         **CALENDARS, **SPECS, labels="SELECT DISTINCT dt, goods_id FROM store_plan"),
 )
 def plan_base(inp: Inputs) -> DataFrame:
-    cal = Calendars(inp)
-    plan = inp.store_plan
+    plan = staged(inp.store_plan, "store-plan")
+    cal = Calendars(plan)
     bp_days = plan.where(F.col("dept_id") % 3 != 0).select("dept_id", F.lit(2.0).alias("bp_days")).distinct()
     factors = plan.where(F.dayofyear("dt") == 27).select("dt", *PLAN, (2 + F.col("dept_id") % 3 * 0.5).alias("ro"))
-    base = rep.plan_base(cal.daily, plan.select("dt", "goods_id").distinct(), cal.chance, cal.bp(), cal.vlt(), bp_days, factors, specs(inp), 3.0)
+    base = rep.plan_base(cal.daily, plan.select("dt", "goods_id").distinct(), cal.chance, cal.bp(), cal.vlt(), bp_days, factors, specs(inp, plan), 3.0)
     return base.select(
         "dt", "goods_id", "dept_id", "version_id", "wh_dept_id", "receive_day", "closed", F.col("can_order").cast("long").alias("can_order"),
         "pred_consume", "bp_consume", "vlt_consume", "ss_ro", "dly_use_ratio", "pur_dly_ratio", "shop_beg",
@@ -569,12 +571,13 @@ def version_outflow(inp: Inputs) -> DataFrame:
 )
 def availability_mart(inp: Inputs) -> DataFrame:
     group, keys = ["version_id", "goods_id"], ["version_id", "goods_id", "dt"]
-    outflow = inp.store_plan.groupBy(*keys).agg(F.sum("pred_consume").alias("pred_consume"), F.sum("bp_consume").alias("order_num"))
+    plan = staged(inp.store_plan, "store-plan")
+    outflow = plan.groupBy(*keys).agg(F.sum("pred_consume").alias("pred_consume"), F.sum("bp_consume").alias("order_num"))
     cover = rep.warehouse_cover_days(outflow.withColumn("stock", F.col("pred_consume") * 10), group, "dt", "stock", "order_num")
-    first, last = series.time_bounds(inp.store_plan, "dt")
-    days = series.calendar(inp.store_plan, group, F.date_sub(first, 11), last, "dt")
+    first, last = series.time_bounds(plan, "dt")
+    days = series.calendar(plan, group, F.date_sub(first, 11), last, "dt")
     recorded = outflow.where((F.dayofyear("dt") <= 5) & (F.year("dt") == 2024)).select(*keys, F.lit(0.9).alias("shop_actual_avl_rate"))
     tags = {n: F.lit(v) for n, v in {"material_type": 1, "scene": 1, "stock_up_version": 1, "strategy_version_id": 7, "sim_version": 3, "dly_use_ratio": 5, "pur_use_ratio": 60}.items()}
     tags |= {"consumer_version": F.col("version_id"), "is_min_launch_day": (F.col("dt") == F.lit("2024-01-05").cast("date")).cast("int")}
-    facts = [in_stock(inp).select(*keys, "shop_avl_rate"), shop_cover(inp).select(*keys, "shop_avl_days"), cover, outflow]
+    facts = [in_stock(plan).select(*keys, "shop_avl_rate"), shop_cover(plan).select(*keys, "shop_avl_days"), cover, outflow]
     return sinks.apply_contract(rep.availability_mart(days, facts, recorded, keys, tags), sinks.AVAILABILITY)

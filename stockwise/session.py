@@ -48,3 +48,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of executors, the plan starts anew."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """An intermediate that several branches of a plan read, written once to the shared folder.
+
+    The branches then scan a small table with their own columns instead of each going back to the
+    raw rows, and the table's real size decides how it is joined.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
