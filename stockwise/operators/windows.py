@@ -27,10 +27,15 @@ def by(keys: Sequence[str], *order: str | Column) -> WindowSpec:
 def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Series hashed over all shuffle partitions ahead of work that is heavy for its few bytes.
 
-    The window or fold that follows needs this distribution anyway, so no shuffle is added; naming
-    the count keeps adaptive execution from merging the small partitions into a few tasks.
+    The window or fold that follows needs this distribution anyway, so no shuffle is added.  Naming
+    the count keeps adaptive execution from merging small partitions into fewer tasks than there are
+    cores; with many partitions per core that merging is wanted, and the plan is left alone.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    spark = df.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if count > 4 * spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(count, *keys)
 
 
 def lag_features(

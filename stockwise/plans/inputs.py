@@ -28,9 +28,9 @@ def rounded(expr: str, digits: int = 0) -> str:
 
 
 def priced(sold: DataFrame) -> DataFrame:
-    """Money per piece; goods 3 of warehouse 2 is left out so that the fallback has work."""
-    known = sold.where(~((F.col("wh_dept_id") == 2) & (F.col("goods_id") == 3)))
-    return known.groupBy(*KEYS).agg((F.sum("money") / F.sum("qty")).alias("unit_price"))
+    """Money per piece; the price of goods 3 in warehouse 2 is missing, so that the fallback has work."""
+    missing = (F.col("wh_dept_id") == 2) & (F.col("goods_id") == 3)
+    return sold.groupBy(*KEYS).agg(F.when(~missing, F.sum("money") / F.sum("qty")).alias("unit_price"))
 
 
 class Inputs:
@@ -161,8 +161,8 @@ VIEWS: dict[str, str] = {
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "daily_demand": "SELECT wh_dept_id, goods_id, ds, sum(qty) AS y FROM sold_rows GROUP BY 1, 2, 3",
     "unit_price": """
-        SELECT wh_dept_id, goods_id, sum(money) / sum(qty) AS unit_price FROM sold_rows
-        GROUP BY 1, 2 HAVING NOT (wh_dept_id = 2 AND goods_id = 3)""",
+        SELECT wh_dept_id, goods_id, CASE WHEN NOT (wh_dept_id = 2 AND goods_id = 3) THEN sum(money) / sum(qty) END AS unit_price
+        FROM sold_rows GROUP BY 1, 2""",
     "forecast": f"""
         SELECT model, ds AS dt, CAST(ds + CAST(step AS INTEGER) AS DATE) AS predict_dt, wh_dept_id, goods_id,
                {rounded("pred", 1)} AS predict_demand

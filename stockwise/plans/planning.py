@@ -87,7 +87,8 @@ def warehouse_balance(inp: Inputs) -> DataFrame:
     keys = ["wh_dept_id", "goods_id", "dt"]
     orders = staged(inp.store_orders, "store-orders")
     stock = orders.groupBy(*keys).agg(F.max("wh_begin").alias("beg_wh_stock"))
-    arrivals = stock.where(F.month("dt") % 2 == 0).select(*keys, F.explode(F.array(F.lit(100.0), F.lit(50.0))).alias("transit"))
+    even = F.month("dt") % 2 == 0
+    arrivals = stock.select(*keys, F.explode(F.array(F.when(even, 100.0).otherwise(0.0), F.when(even, 50.0).otherwise(0.0))).alias("transit"))
     return rep.warehouse_balance(stock, arrivals, orders, keys)
 
 
@@ -523,7 +524,7 @@ def replenish_gap(inp: Inputs) -> DataFrame:
       FROM labels l LEFT JOIN daily d ON l.dt = d.predict_date AND l.goods_id = d.goods_id LEFT JOIN chance h ON l.dt = h.dt AND d.dept_id = h.dept_id AND l.goods_id = h.goods_id
       LEFT JOIN bp b ON l.dt = b.dt AND d.dept_id = b.dept_id AND l.goods_id = b.goods_id AND d.version_id = b.version_id
       LEFT JOIN vlt v ON l.dt = v.dt AND d.dept_id = v.dept_id AND l.goods_id = v.goods_id AND d.version_id = v.version_id
-      LEFT JOIN (SELECT DISTINCT dept_id, 2e0 AS bp_days FROM store_plan WHERE dept_id % 3 <> 0) y ON d.dept_id = y.dept_id
+      LEFT JOIN (SELECT DISTINCT dept_id, CASE WHEN dept_id % 3 <> 0 THEN 2e0 END AS bp_days FROM store_plan) y ON d.dept_id = y.dept_id
       LEFT JOIN (SELECT dt, dept_id, goods_id, version_id, 2 + dept_id % 3 * 0.5e0 AS ro FROM store_plan WHERE dayofyear(dt) = 27) f
         ON l.dt = f.dt AND d.dept_id = f.dept_id AND l.goods_id = f.goods_id AND d.version_id = f.version_id
       JOIN resolved s ON d.wh_dept_id = s.wh_dept_id AND l.goods_id = s.goods_id WHERE h.receive_day IS NOT NULL""",
@@ -532,7 +533,8 @@ def replenish_gap(inp: Inputs) -> DataFrame:
 def plan_base(inp: Inputs) -> DataFrame:
     plan = staged(inp.store_plan, "store-plan")
     cal = Calendars(plan)
-    bp_days = plan.where(F.col("dept_id") % 3 != 0).select("dept_id", F.lit(2.0).alias("bp_days")).distinct()
+    # Every third store has no cover period of its own.
+    bp_days = plan.select("dept_id").distinct().withColumn("bp_days", F.when(F.col("dept_id") % 3 != 0, 2.0))
     factors = plan.where(F.dayofyear("dt") == 27).select("dt", *PLAN, (2 + F.col("dept_id") % 3 * 0.5).alias("ro"))
     base = rep.plan_base(cal.daily, plan.select("dt", "goods_id").distinct(), cal.chance, cal.bp(), cal.vlt(), bp_days, factors, specs(inp, plan), 3.0)
     return base.select(
