@@ -105,9 +105,13 @@ class Inputs:
 
     @cached_property
     def store_plan(self) -> DataFrame:
+        return self.plan_of(self.store_demand)
+
+    @staticmethod
+    def plan_of(demand: DataFrame) -> DataFrame:
         """Planning base: two versions, forward cover and lead-time demand, order and receive days."""
         keys = ["version_id", "dept_id", "goods_id"]
-        base = self.store_demand.withColumn("version_id", F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))))
+        base = demand.withColumn("version_id", F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))))
         base = base.withColumn("pred_consume", F.col("y") * F.col("version_id"))
         base = win.forward_sums(base, keys, "ds", "pred_consume", {"bp_consume": 3, "vlt_consume": 2})
         day = F.dayofyear("ds")

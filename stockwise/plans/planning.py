@@ -435,7 +435,7 @@ class Calendars:
       ON b.dt = v.dt AND b.dept_id = v.dept_id AND b.goods_id = v.goods_id AND b.version_id = v.version_id""", **CALENDARS),
 )
 def calendar_consumption(inp: Inputs) -> DataFrame:
-    cal = Calendars(staged(inp.store_plan, "store-plan"))
+    cal = Calendars(inp.plan_of(staged(inp.store_demand, "store-demand")))
     return cal.bp().join(cal.vlt(), ["dt", "dept_id", "goods_id", "version_id"])
 
 
@@ -531,7 +531,7 @@ def replenish_gap(inp: Inputs) -> DataFrame:
         **CALENDARS, **SPECS, labels="SELECT DISTINCT dt, goods_id FROM store_plan"),
 )
 def plan_base(inp: Inputs) -> DataFrame:
-    plan = staged(inp.store_plan, "store-plan")
+    plan = inp.plan_of(staged(inp.store_demand, "store-demand"))
     cal = Calendars(plan)
     # Every third store has no cover period of its own.
     bp_days = plan.select("dept_id").distinct().withColumn("bp_days", F.when(F.col("dept_id") % 3 != 0, 2.0))
@@ -573,7 +573,7 @@ def version_outflow(inp: Inputs) -> DataFrame:
 )
 def availability_mart(inp: Inputs) -> DataFrame:
     group, keys = ["version_id", "goods_id"], ["version_id", "goods_id", "dt"]
-    plan = staged(inp.store_plan, "store-plan")
+    plan = inp.plan_of(staged(inp.store_demand, "store-demand"))
     outflow = plan.groupBy(*keys).agg(F.sum("pred_consume").alias("pred_consume"), F.sum("bp_consume").alias("order_num"))
     cover = rep.warehouse_cover_days(outflow.withColumn("stock", F.col("pred_consume") * 10), group, "dt", "stock", "order_num")
     first, last = series.time_bounds(plan, "dt")
