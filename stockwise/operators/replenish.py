@@ -69,23 +69,34 @@ def shortage_allocation(
     ).withColumn("_total", F.sum(F.col("_cnt") * F.col(order)).over(whole))
     short = sizes.where((F.col("_stock") < F.col("_total")) & (F.col(order) > 0))
 
-    # Boxes granted per round, over the order sizes.  A round is given while stock is left at its start.
-    rounds = F.sequence(F.lit(1), F.ceil(F.col(order) / F.col("_box")).cast("int"))
-    per_size = short.withColumn("_round", F.explode(rounds))
-    amount = F.least(F.col("_box"), F.col(order) - (F.col("_round") - 1) * F.col("_box"))
-    per_size = per_size.withColumn("_amount", amount)
-    per_round = per_size.groupBy(*group, "_round").agg(
-        F.sum(F.col("_cnt") * F.col("_amount")).alias("_given"), F.max("_stock").alias("_stock")
+    # After round j a size has min(order, j * box) per store.  Between the rounds in which sizes are
+    # completed the granted total grows evenly, so the last round follows without walking the rounds.
+    boxed = short.withColumn("_rounds", F.ceil(F.col(order) / F.col("_box")))
+    done_before = by(group, "_rounds").rangeBetween(Window.unboundedPreceding, -1)
+    done_then = by(group, "_rounds").rangeBetween(Window.unboundedPreceding, 0)
+    granted_full, stores = F.col("_cnt") * F.col(order), F.sum("_cnt").over(whole)
+    boxed = boxed.withColumns(
+        {
+            "_full": F.coalesce(F.sum(granted_full).over(done_before), F.lit(0.0)),
+            "_open": stores - F.coalesce(F.sum("_cnt").over(done_before), F.lit(0)),
+            "_given": F.sum(granted_full).over(done_then)
+            + (stores - F.sum("_cnt").over(done_then)) * F.col("_rounds") * F.col("_box"),
+        }
     )
-    earlier_rounds = by(group, "_round").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_given").over(earlier_rounds), F.lit(0.0))
-    per_round = per_round.withColumn("_left", F.col("_stock") - before)
-    last = per_round.where(F.col("_left") > 0).groupBy(*group).agg(
-        F.max("_round").alias("_last"), F.max_by("_left", "_round").alias("_left")
+    enough = boxed.where((F.col("_stock") > 0) & (F.col("_given") >= F.col("_stock")))
+    ending = enough.groupBy(*group).agg(
+        F.min_by(F.struct("_rounds", "_full", "_open", "_stock", "_box"), "_rounds").alias("_e")
     )
+    ending = ending.select(*group, "_e.*")
+    even = F.ceil((F.col("_stock") - F.col("_full")) / (F.col("_open") * F.col("_box")))
+    ending = ending.withColumn("_last", F.least(F.col("_rounds"), even))
+    left = F.col("_stock") - F.col("_full") - F.col("_open") * (F.col("_last") - 1) * F.col("_box")
+    last = ending.select(*group, "_last", left.alias("_left"))
 
     # How many stores of each size get their box in the last round.
-    cut = per_size.join(last, list(group)).where(F.col("_round") == F.col("_last"))
+    cut = boxed.join(last, list(group)).where(F.col("_rounds") >= F.col("_last"))
+    amount = F.least(F.col("_box"), F.col(order) - (F.col("_last") - 1) * F.col("_box"))
+    cut = cut.withColumn("_amount", amount)
     larger = by(group, F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
     taken = F.coalesce(F.sum(F.col("_cnt") * F.col("_amount")).over(larger), F.lit(0.0))
     fits = F.ceil((F.col("_left") - taken) / F.col("_amount"))

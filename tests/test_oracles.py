@@ -31,7 +31,10 @@ def test_flagship_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, name):
-    assert check.compare(JOBS[name](spark, SF_DIR), con, ORACLES[name]) == []
+    df = JOBS[name](spark, SF_DIR)
+    assert check.compare(df, con, ORACLES[name]) == []
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas") if op in plan]
 
 
 def test_training_metrics_per_model(spark):
