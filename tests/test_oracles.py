@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from stockwise import plans
 
 SF_DIR = "/root/testdata/sf0.001"
-JOBS, ORACLES = entry.queries(), entry.oracle_sql()
+JOBS, ORACLES = plans.all_queries(), plans.all_oracles()
 FITTED = {"train_regressors", "grid_search", "recursive_forecast_model", "series_kmeans", "train_by_group"}
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
