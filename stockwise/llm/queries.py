@@ -48,3 +48,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stockwise.llm.dedup import exact_groups
 
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op2_vector_shards")
+def op2_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.sharding import pack_into_shards
+
+    dealt = pack_into_shards(table(spark, sf_dir, "documents"), 40)
+    return dealt.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.packing import byte_lengths, pack
+
+    return pack(byte_lengths(table(spark, sf_dir, "documents")))
