@@ -63,3 +63,32 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stockwise.llm.packing import byte_lengths, pack
 
     return pack(byte_lengths(table(spark, sf_dir, "documents")))
+
+
+def vocabulary(name: str) -> str:
+    """Where the public tokenizer files are on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op3_bpe_round_trip")
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.bpe import round_trip_digests
+
+    return round_trip_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op4_unigram_counts")
+def op4_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.unigram import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.binary import read_documents, write_ids
+
+    manifest = write_ids(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
+    return read_documents(manifest)
