@@ -92,3 +92,33 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     manifest = write_ids(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
     return read_documents(manifest)
+
+
+def learned_quality(docs: DataFrame, labels: DataFrame):
+    """The quality model, learned from labelled rows whose crc32(doc_id) mod 4 is not 2."""
+    from stockwise.llm.langid import held_out
+    from stockwise.llm.quality import learn
+
+    return learn(docs, labels.filter(~held_out("doc_id", 4, 2)), "quality")
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.langid import held_out
+    from stockwise.llm.quality import score
+
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, learned_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+@query("op8_language")
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.langid import held_out, identify, learn_filter
+
+    docs = table(spark, sf_dir, "documents")
+    model = learn_filter(docs.filter(~held_out("doc_id", 3, 1)))
+    found = identify(docs, model)
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")

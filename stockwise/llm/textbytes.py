@@ -120,3 +120,29 @@ def word_hashes(part: Slice, lower: bool = True) -> tuple[np.ndarray, np.ndarray
     data = LOWER[part.data] if lower else part.data
     starts, ends = spans_of(~SPACE[data], part.offsets)
     return span_hashes(data, starts, ends), np.searchsorted(starts, part.offsets)
+
+
+def padded(part: Slice, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slice's bytes through a 256-entry ``table``, with two blanks around every row, and the rows' new bounds."""
+    rows = np.repeat(np.arange(part.rows), np.diff(part.offsets))
+    out = np.full(len(part.data) + 2 * (part.rows + 1), 0x20, np.uint8)
+    out[np.arange(len(part.data)) + 2 * (rows + 1)] = table[part.data]
+    return out, part.offsets + 2 * np.arange(1, part.rows + 2)
+
+
+def grams(data: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """All ``n``-byte windows (n from 2 to 8) as numbers, without those that hold two blanks in a row; bounds per row.
+
+    data and bounds as from :func:`padded`; because of the blanks between rows no window crosses a row.
+    """
+    size = len(data) - n + 1
+    blank = data == 0x20
+    double = blank[:-1] & blank[1:]
+    ok = np.ones(size, bool)
+    codes = np.zeros(size, np.uint64)
+    for k in range(n):
+        codes |= data[k : k + size].astype(np.uint64) << np.uint64(8 * k)
+        if k < n - 1:
+            ok &= ~double[k : k + size]
+    at = np.flatnonzero(ok)
+    return codes[at], np.searchsorted(at, bounds - 1)
