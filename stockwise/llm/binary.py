@@ -25,20 +25,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-from stockwise.llm.bpe import ascii_pieces, blocks
+from stockwise.llm.bpe import WordMemory, blocks, encoder
 from stockwise.llm.workers import map_batches
 from stockwise.session import staged, work_path
 
-KNOWN_PIECES = 300_000
 NULL_ID = np.iinfo(np.int64).min
-#: A control character between pieces that are encoded together; it is one token of its own.
-MARK = "\x01"
 
 
-class PieceEncoder:
-    """Encodes texts with the tokenizers library, each distinct piece between ASCII blanks once.
+class TextEncoder:
+    """Encodes texts with the tokenizers library, each distinct word of a block once.
 
-    The file's splitter never looks across white space, so the ids of a text are the ids of its pieces.
+    The file's splitter never looks across white space and every word it finds is found again alone, so the ids of
+    a text are those of its words; the library gets many words, joined by blanks, as one text, and a token that
+    ends a word shows where the next begins.
     """
 
     def __init__(self, path: str):
@@ -48,40 +47,44 @@ class PieceEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        (self.mark,) = self._ids([MARK])[0]
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_all(self, pieces: list[str]) -> Iterator[bytes]:
-        """The ids of each piece as bytes; many pieces go to the library as one text."""
-        for i in range(0, len(pieces), 1000):
-            group = pieces[i : i + 1000]
-            if any(MARK in p for p in group):
-                parts = [np.array(x) for x in self._ids(group)]
+        self.words = encoder(path)
+        suffix = self.words.suffix
+        self.ends = np.array([t.endswith(suffix) for t in self.words.tokens])
+        self.memory = WordMemory(self.word_bytes)
+
+    def encode_words(self, words: list[str]) -> tuple[bytes, list[int]]:
+        """The ids of all words as bytes, and the bounds of each word in them."""
+        lists, counts = [], []
+        for i in range(0, len(words), 1000):
+            group = words[i : i + 1000]
+            ids = np.array(self.library.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids)
+            last = np.flatnonzero(self.ends[ids]) if len(ids) else ids
+            if len(last) != len(group):
+                parts = [np.array(e.ids) for e in self.library.encode_batch_fast(group, add_special_tokens=False)]
+                ids, last = np.concatenate(parts), np.cumsum([len(x) for x in parts]) - 1
+            lists.append(ids.astype(self.kind))
+            counts.append(np.diff(last, prepend=-1))
+        bounds = np.concatenate(([0], *counts)).cumsum() * self.kind.itemsize
+        return b"".join([x.tobytes() for x in lists]), bounds.tolist()
+
+    def word_bytes(self, words: list[str | int]) -> Iterator[bytes]:
+        raw, bounds = self.encode_words([w for w in words if isinstance(w, str)])
+        k = 0
+        for w in words:
+            if isinstance(w, str):
+                yield raw[bounds[k] : bounds[k + 1]]
+                k += 1
             else:
-                ids = np.array(self._ids([f" {MARK} ".join(group)])[0])
-                parts = np.split(ids, np.flatnonzero(ids == self.mark))
-                parts = [parts[0], *(p[1:] for p in parts[1:])]
-            for p in parts:
-                yield p.astype(self.kind).tobytes()
+                yield np.array([w], self.kind).tobytes()
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
-        split = [ascii_pieces(t) for t in texts]
-        wanted = set()
-        for pieces in split:
-            wanted.update(pieces)
-        missing = [p for p in wanted if p not in self.known]
-        if len(self.known) + len(missing) > KNOWN_PIECES:
-            missing, self.known = list(wanted), {}
-        self.known.update(zip(missing, self.encode_all(missing), strict=True))
-        known = self.known
-        for pieces in split:
-            yield b"".join([known[p] for p in pieces])
+        split = [self.words.words(t) for t in texts]
+        known = self.memory.look_up(split)
+        for words in split:
+            yield b"".join([known[w] for w in words])
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[str, TextEncoder] = {}
 
 
 def write_ids(
@@ -98,9 +101,9 @@ def write_ids(
     folder = folder or work_path(docs.sparkSession, "token-ids")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, PieceEncoder(path))
-        end = np.array([end_id], encoder.kind).tobytes()
-        width = encoder.kind.itemsize
+        ids_of = _ENCODERS.get(path) or _ENCODERS.setdefault(path, TextEncoder(path))
+        end = np.array([end_id], ids_of.kind).tobytes()
+        width = ids_of.kind.itemsize
         fs, root = FileSystem.from_uri(folder)
         name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         ids, lengths, out = [], [], None
@@ -108,7 +111,7 @@ def write_ids(
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}.bin")
-            for key, raw in zip(keys, encoder.texts(texts), strict=True):
+            for key, raw in zip(keys, ids_of.texts(texts), strict=True):
                 out.write(raw)
                 out.write(end)
                 ids.append(NULL_ID if key is None else key)
@@ -144,6 +147,11 @@ def opened(fs: FileSystem, path: str, kind: np.dtype) -> np.ndarray:
         return np.frombuffer(f.read(), dtype=kind)
 
 
+def one_task_each(manifest: DataFrame) -> DataFrame:
+    """As many partitions as files, so that adaptive execution does not gather the few small rows in one task."""
+    return manifest.repartition(max(1, manifest.count()))
+
+
 def read_documents(manifest: DataFrame) -> DataFrame:
     """One row per document, from the files: ``doc_id, start, n_tokens, ids_crc32``.
 
@@ -168,7 +176,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "start", "n_tokens", "ids_crc32")])
-    return map_batches(manifest.repartition("name"), run, schema)
+    return map_batches(one_task_each(manifest), run, schema)
 
 
 def documents_ids(manifest: DataFrame) -> DataFrame:
@@ -190,4 +198,4 @@ def documents_ids(manifest: DataFrame) -> DataFrame:
                     own = keys[k : k + 256]
                     yield pa.RecordBatch.from_arrays([pa.array(own, mask=own == NULL_ID), lists], names=["doc_id", "ids"])
 
-    return map_batches(manifest.repartition("name"), run, "doc_id long, ids array<long>")
+    return map_batches(one_task_each(manifest), run, "doc_id long, ids array<long>")

@@ -1,7 +1,6 @@
 """BPE encoding by a pair occurrence index, and decoding.
 
-Pre-tokenising never looks across white space, so a text is encoded piece by piece between blanks, and every distinct
-piece of a block of rows is encoded once.  All distinct words of the block lie in one symbol array with
+Every distinct word (pre-token) of a block of rows is encoded once.  All of them lie in one symbol array with
 links to their neighbours.  An index maps each merge rank to the positions where its pair stands; the
 smallest active rank is applied to all its positions at once, and the pairs that this creates join the lists of their ranks.
 For a vocabulary in which every merge comes after the merges that make its parts (checked on load) this gives
@@ -12,7 +11,7 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from hashlib import sha256
 
 import numpy as np
@@ -23,8 +22,8 @@ from pyspark.sql import DataFrame
 from stockwise.llm.workers import map_batches
 
 BLOCK_BYTES = 16 << 20
-#: Encoded pieces a Python worker remembers between blocks.
-KNOWN_PIECES = 200_000
+#: Encoded words a Python worker remembers between blocks.
+KNOWN_WORDS = 200_000
 
 # Code points below this are unchanged by NFC, and their case and class are the same in every version of Unicode.
 _PLAIN = regex.compile(f"[\x00-\x1b\x20-{chr(0x24F)}]*")
@@ -117,25 +116,30 @@ class WordBpe:
         self.inner = np.array([self.vocab[s] for s in symbols], dtype=np.int32)
         self.final = np.array([self.vocab[s + self.suffix] for s in symbols], dtype=np.int32)
 
-    def words(self, piece: str) -> list[str | int]:
-        """The pre-tokens of a piece without ASCII blanks; special tokens as ids."""
-        if not self.marks.isdisjoint(piece) and self.special_split.search(piece):
+    def words(self, text: str) -> list[str | int]:
+        """The words of a text; special tokens as ids."""
+        if not self.marks.isdisjoint(text) and self.special_split.search(text):
             out: list[str | int] = []
             last = 0
-            for m in self.special_split.finditer(piece):
-                out += self.words_of_plain(piece[last : m.start()])
+            for m in self.special_split.finditer(text):
+                out += self.words_of_plain(text[last : m.start()])
                 out.append(self.special[m[0]])
                 last = m.end()
-            return out + self.words_of_plain(piece[last:])
-        return self.words_of_plain(piece)
+            return out + self.words_of_plain(text[last:])
+        return self.words_of_plain(text)
 
-    def words_of_plain(self, piece: str) -> list[str]:
-        if _PLAIN.fullmatch(piece):
-            return self.pattern.findall(piece.lower())
-        # Rarer characters: the library's own normaliser and splitter decide.
-        piece = self.library.normalizer.normalize_str(piece)
-        shown = self.library.pre_tokenizer.pre_tokenize_str(piece)
-        return [bytes(_BYTE_OF[c] for c in s).decode() for s, _ in shown]
+    def words_of_plain(self, text: str) -> list[str]:
+        if text.isascii() and not any(c in text for c in _ODD_ASCII) or _PLAIN.fullmatch(text):
+            return self.pattern.findall(text.lower())
+        out = []
+        for piece in ascii_pieces(text):
+            if _PLAIN.fullmatch(piece):
+                out += self.pattern.findall(piece.lower())
+            else:  # rarer characters: the library's own normaliser and splitter decide
+                piece = self.library.normalizer.normalize_str(piece)
+                shown = self.library.pre_tokenizer.pre_tokenize_str(piece)
+                out += [bytes(_BYTE_OF[c] for c in w).decode() for w, _ in shown]
+        return out
 
     def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after the other, and the bounds of each word."""
@@ -212,24 +216,28 @@ class WordBpe:
         take = (place - start) % 2 == 0
         return at[take], nxt[take]
 
-    def encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of each piece."""
-        split = [self.words(p) for p in pieces]
-        distinct = {w: k for k, w in enumerate(dict.fromkeys(w for ws in split for w in ws if isinstance(w, str)))}
-        ids, bounds = self.merge_all([w.encode() for w in distinct])
-        bounds = bounds.tolist()
-        out = []
-        for ws in split:
-            if len(ws) == 1 and isinstance(ws[0], str):
-                k = distinct[ws[0]]
-                out.append(ids[bounds[k] : bounds[k + 1]])
+    def encode_words(self, words: list[str | int]) -> Iterator[np.ndarray]:
+        """Ids of each word."""
+        plain = [w for w in words if isinstance(w, str)]
+        ids, bounds = self.merge_all([w.encode() for w in plain])
+        bounds, k = bounds.tolist(), 0
+        for w in words:
+            if isinstance(w, str):
+                yield ids[bounds[k] : bounds[k + 1]]
+                k += 1
             else:
-                parts = [
-                    ids[bounds[distinct[w]] : bounds[distinct[w] + 1]] if isinstance(w, str) else np.array([w], np.int32)
-                    for w in ws
-                ]
-                out.append(np.concatenate(parts) if parts else np.zeros(0, np.int32))
-        return out
+                yield np.array([w], np.int32)
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text."""
+        return [int(i) for ids in self.encode_words(self.words(text)) for i in ids]
+
+    def shown_words(self, words: list[str | int]) -> Iterator[tuple[int, str, str]]:
+        """Of each word the number of ids, "1 2 3" and "a b"."""
+        tokens = self.tokens
+        for ids in self.encode_words(words):
+            ids = ids.tolist()
+            yield len(ids), " ".join(map(str, ids)), " ".join([tokens[i] for i in ids])
 
 
 _BYTE_OF = {s: b for b, s in enumerate(byte_symbols())}
@@ -259,28 +267,29 @@ def blocks(batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
         yield keys, texts
 
 
-class PieceMemory:
-    """Encoded pieces as (number of ids, "1 2 3", "a b"), remembered up to a bound."""
+class WordMemory:
+    """What ``encode`` gives for each word; short words, which come back often, are remembered between blocks."""
 
-    def __init__(self, bpe: WordBpe, limit: int = KNOWN_PIECES):
-        self.bpe, self.limit, self.known = bpe, limit, {}
+    def __init__(self, encode: Callable[[list], Iterable], limit: int = KNOWN_WORDS, longest: int = 8):
+        self.encode, self.limit, self.longest, self.known = encode, limit, longest, {}
+        self.passing: list = []
 
-    def look_up(self, texts: list[list[str]]) -> dict[str, tuple[int, str, str]]:
-        """A dictionary that holds every piece of these texts."""
+    def look_up(self, texts: list[list]) -> dict:
+        """A dictionary that holds every word of these texts, until the next call."""
+        known = self.known
+        for word in self.passing:
+            del known[word]
         wanted = set()
-        for pieces in texts:
-            wanted.update(pieces)
-        missing = [p for p in wanted if p not in self.known]
-        if len(self.known) + len(missing) > self.limit:
-            missing, self.known = list(wanted), {}
-        tokens = self.bpe.tokens
-        for piece, ids in zip(missing, self.bpe.encode_pieces(missing), strict=True):
-            ids = ids.tolist()
-            self.known[piece] = (len(ids), " ".join(map(str, ids)), " ".join([tokens[i] for i in ids]))
-        return self.known
+        for words in texts:
+            wanted.update(words)
+        missing = [w for w in wanted if w not in known]
+        full = len(known) >= self.limit
+        self.passing = [w for w in missing if full or (isinstance(w, str) and len(w) > self.longest)]
+        known.update(zip(missing, self.encode(missing), strict=True))
+        return known
 
 
-_MEMORIES: dict[str, PieceMemory] = {}
+_MEMORIES: dict[str, WordMemory] = {}
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -305,16 +314,16 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_
 
 def _tripper(path: str, digests: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _MEMORIES.setdefault(path, PieceMemory(encoder(path)))
+        bpe = encoder(path)
+        memory = _MEMORIES.get(path) or _MEMORIES.setdefault(path, WordMemory(bpe.shown_words))
         finish = (lambda s: sha256(s.encode()).hexdigest()) if digests else str
         names = ["doc_id", "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded"))]
         for keys, texts in blocks(batches):
-            split = [ascii_pieces(t) for t in texts]
+            split = [bpe.words(t) for t in texts]
             known = memory.look_up(split)
             counts, ids, decoded = [], [], []
-            for pieces in split:
-                rows = [known[p] for p in pieces]
-                rows = [r for r in rows if r[0]]
+            for words in split:
+                rows = [known[w] for w in words]
                 counts.append(sum([r[0] for r in rows]))
                 ids.append(finish(" ".join([r[1] for r in rows])))
                 decoded.append(finish(" ".join([r[2] for r in rows])))
@@ -328,9 +337,11 @@ def _tripper(path: str, digests: bool):
 
 def ascii_pieces(text: str) -> list[str]:
     """The pieces between ASCII blanks."""
-    return _BLANKS.sub(" ", text).split(" ") if _ODD_BLANK.search(text) else text.split()
+    odd = any(c in text for c in _ODD_ASCII) if text.isascii() else _ODD_BLANK.search(text)
+    return _BLANKS.sub(" ", text).split(" ") if odd else text.split()
 
 
+_ODD_ASCII = [chr(c) for c in range(0x1C, 0x20)]
 # str.split() also cuts at these, which the vocabulary's pattern may treat in its own way (fixed values).
 _ODD = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _ODD_BLANK = regex.compile("[" + "".join(map(chr, _ODD)) + "]")
