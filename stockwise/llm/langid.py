@@ -13,7 +13,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from stockwise.llm.textbytes import LOWER, Slice, grams, mixed, padded, slices
 from stockwise.llm.workers import map_batches
@@ -89,20 +88,25 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def hashed_share(id_col: str) -> Column:
+    """A number from 0 to 1 that the id fixes."""
+    return F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
 def learn_filter(
     docs: DataFrame, per_language: int = 1000, least_share: float = 0.02, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> LanguageFilter:
-    """Fits the filters on a bounded sample: the ``per_language`` documents of each language that come first by a hash of the id.
+    """Fits the filters on a bounded sample: per language the documents whose hashed id falls below the share that
+    gives ``per_language`` of them on average (all, if there are fewer).
 
     An n-gram belongs to a language if at least ``least_share`` of its sampled documents hold it, which bounds
     what is collected by the n-grams of an average document over ``least_share``.
     """
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
-    chosen = chosen.select("doc_id", "lang").distinct()
-    sample = known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))  # one row per language
+    sample = known.join(F.broadcast(sizes), "lang").filter(hashed_share("doc_id") * F.col("size") < per_language)
+    sample = sample.select("lang", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from stockwise.llm.langid import hashed_share
 from stockwise.llm.textbytes import SPACE, Slice, grams, mixed, padded, slices, word_hashes
 from stockwise.llm.workers import map_batches
 
@@ -144,13 +145,14 @@ def learn(
     text_col: str = "text",
     bucket_bits: int = BUCKET_BITS,
 ) -> SubwordModel:
-    """Fits on a bounded sample: the ``sample_rows`` labelled documents that come first by a hash of the id.
+    """Fits on a bounded sample: the labelled documents whose hashed id falls below the share that gives ``sample_rows``
+    of them on average (all, if there are fewer).
 
     Each sampled document is read whole; what reaches the driver are its distinct feature buckets, at most
     ``2 ** bucket_bits`` of them.  Null labels, ids and texts are not learned from.
     """
     marked = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna().distinct()
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows)
+    chosen = marked.filter(hashed_share("doc_id") < sample_rows / max(1, labels.count()))
     texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).dropna()
     sample = texts.join(F.broadcast(chosen), "doc_id").select("label", "text", "doc_id")
 

@@ -122,3 +122,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learn_filter(docs.filter(~held_out("doc_id", 3, 1)))
     found = identify(docs, model)
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_near_dedup")
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.neardup import near_components
+
+    return near_components(table(spark, sf_dir, "documents"))
