@@ -129,3 +129,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stockwise.llm.neardup import near_components
 
     return near_components(table(spark, sf_dir, "documents"))
+
+
+@query("op5_exact_top_k")
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), 5, 50)
