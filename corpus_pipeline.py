@@ -1,16 +1,62 @@
-"""The corpus pipeline: quality, language, exact copies, near copies, packing."""
+"""The corpus pipeline: quality, language, exact copies, near copies, packing.
+
+Every stage works on all documents its predecessor kept.  All but the last give the columns of ``documents``; the last gives
+one row per packed piece.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from stockwise.llm.dedup import without_copies
+from stockwise.llm.langid import keep_identified
+from stockwise.llm.neardup import without_near_copies
+from stockwise.llm.packing import byte_lengths, pack
+from stockwise.llm.quality import keep_good
+from stockwise.llm.queries import learned_languages, learned_quality, table
+from stockwise.session import staged
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score at least 0.7 under a classifier learned from the labelled ones."""
+    return keep_good(docs, learned_quality(docs, table(spark, sf_dir, "labels")), 0.7)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told."""
+    return keep_identified(docs, learned_languages(docs))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest id."""
+    return without_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of linked documents the one with the smallest id."""
+    return without_near_copies(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in bins of several permitted lengths."""
+    return pack(byte_lengths(docs))
+
+
+STAGES = [
+    ("quality", quality),
+    ("language", language),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("packing", packing),
+]
+
+#: The stages learn models and link documents, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{str(sf_dir).rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``; each stage's result is written once and read by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

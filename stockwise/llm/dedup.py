@@ -82,5 +82,5 @@ def exact_groups(
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     kept = exact_groups(docs, id_col, text_col, **options).filter("kept")
-    keys = kept.select(F.col("doc_id").alias("__kept_id")).distinct()
+    keys = kept.select(F.col("doc_id").alias("__kept_id"))
     return docs.join(keys, F.col(id_col).eqNullSafe(F.col("__kept_id")), "left_semi")

@@ -144,6 +144,21 @@ def has_letter(part: Slice) -> np.ndarray:
     return found
 
 
+def text_languages(model: LanguageFilter, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each text's language (the number after the last one: undetermined) and its score."""
+    chosen, scores = np.full(len(texts), len(model.languages)), np.zeros(len(texts))
+    for part in slices(texts) if model.languages else ():
+        codes, bounds = row_grams(part)
+        shares = model.shares(model.hits(codes, bounds), np.diff(bounds))
+        best, total = shares.argmax(axis=1), shares.sum(axis=1)
+        at = slice(part.first, part.first + part.rows)
+        letters = has_letter(part)
+        best[total == 0] = model.default
+        chosen[at] = np.where(letters, best, len(model.languages))
+        scores[at] = np.where(letters, shares.max(axis=1) / np.where(total > 0, total, 1), 0.0)
+    return chosen, scores
+
+
 def identify(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score`` for every row; the whole text is read.
 
@@ -156,21 +171,27 @@ def identify(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", tex
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        names = np.array([*own.languages, UNDETERMINED], dtype=object)
+        names = np.array([*shared.value.languages, UNDETERMINED], dtype=object)
         for batch in batches:
-            chosen, scores = np.full(len(batch), len(own.languages)), np.zeros(len(batch))
-            for part in slices(batch.column(1)) if own.languages else ():
-                codes, bounds = row_grams(part)
-                shares = own.shares(own.hits(codes, bounds), np.diff(bounds))
-                best, total = shares.argmax(axis=1), shares.sum(axis=1)
-                at = slice(part.first, part.first + part.rows)
-                letters = has_letter(part)
-                best[total == 0] = own.default
-                chosen[at] = np.where(letters, best, len(own.languages))
-                scores[at] = np.where(letters, shares.max(axis=1) / np.where(total > 0, total, 1), 0.0)
+            chosen, scores = text_languages(shared.value, batch.column(1))
             columns = [batch.column(0), pa.array(names[chosen], pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score"])
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return map_batches(rows, run, "doc_id long, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, model: LanguageFilter, least: float = 0.0, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is determined with a score above ``least``, with all their columns.
+
+    A text without letters, or without any n-gram of a learned language, is rejected.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, scores = text_languages(shared.value, batch.column(at))
+            yield batch.filter(pa.array(scores > least))
+
+    return map_batches(docs, run, docs.schema)

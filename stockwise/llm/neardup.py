@@ -302,5 +302,5 @@ def split_buckets(buckets: DataFrame, classes: DataFrame, largest: int, depth: i
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
     """The rows of ``docs`` whose id leads its component, with all their columns."""
     kept = near_components(docs, id_col, text_col, **options).filter("kept")
-    keys = kept.select(F.col("doc_id").alias("__kept_id")).distinct()
+    keys = kept.select(F.col("doc_id").alias("__kept_id"))
     return docs.join(keys, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")

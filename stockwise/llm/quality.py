@@ -179,6 +179,16 @@ def learn(
     return train(rows, sorted({r[2] for r in rows}), bucket_bits)
 
 
+def text_scores(model: SubwordModel, texts: pa.Array, positive: int) -> np.ndarray:
+    """The probability of class ``positive`` for every text of an Arrow column."""
+    out = np.full(len(texts), 0.5)
+    for part in slices(texts) if model.classes else ():
+        p = model.probabilities(part)
+        known = positive in model.classes
+        out[part.first : part.first + part.rows] = p[:, model.classes.index(positive)] if known else 0.0
+    return out
+
+
 def score(docs: DataFrame, model: SubwordModel, positive: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score``: the probability of class ``positive`` for the whole text of every row.
 
@@ -188,14 +198,21 @@ def score(docs: DataFrame, model: SubwordModel, positive: int = 1, id_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for batch in batches:
-            out = np.full(len(batch), 0.5)
-            for part in slices(batch.column(1)) if own.classes else ():
-                p = own.probabilities(part)
-                at = slice(part.first, part.first + part.rows)
-                out[at] = p[:, own.classes.index(positive)] if positive in own.classes else 0.0
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], names=["doc_id", "score"])
+            scores = text_scores(shared.value, batch.column(1), positive)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return map_batches(rows, run, "doc_id long, score double")
+
+
+def keep_good(docs: DataFrame, model: SubwordModel, least: float = 0.7, positive: int = 1, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score at least ``least``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(text_scores(shared.value, batch.column(at), positive) >= least))
+
+    return map_batches(docs, run, docs.schema)
