@@ -5,10 +5,11 @@ visits the bins one after the other, and each bin keeps its first (and smallest)
 at most twice as many rounds as there are bins, most texts need very few, and coordinates agree with the
 probability of the Jaccard similarity, with concentration as for independent ones.
 
-Candidates share all coordinates of a band.  Documents with equal sets are one class from the start.  Within a bucket
-every member is first compared with the bucket's smallest class only; what this leaves in different components is then compared
-pairwise, after buckets of more than ``largest`` classes have been split by a further band.  A pair at the threshold
-misses all bands with probability (1 - 0.75 ** rows) ** bands, 2e-6 by default.
+Candidates share all coordinates of a band.  Documents with equal sets are one class from the start.  Classes that
+buckets connect form a cluster; inside a cluster full sets are compared through an inverted index in a
+task's memory, block against block, so that no pair of documents is ever a row, and a cluster of any size is spread over
+its pairs of blocks.  Where the buckets of a cluster are cheaper to compare one by one than the whole cluster, they are.
+A pair at the threshold misses all bands with probability (1 - 0.75 ** rows) ** bands, 2e-6 by default.
 """
 
 from __future__ import annotations
@@ -133,55 +134,108 @@ def in_bitmap(id_col: Column, ids: DataFrame, docs: DataFrame, bits: int = 22) -
     return marked.filter(F.col("__bits").bitwiseAND(one) != 0).drop("__word", "__bit", "__bits")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int, share: int = 32) -> DataFrame:
-    """Those of the pairs (``a, b``) whose shingle sets are similar enough.
+def set_links(sets: np.ndarray, bounds: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that connect the rows as all links would: (row, row) pairs, at most one fewer than there are rows.
 
-    The texts of all partners of one ``a`` stream past its set, in parts of about ``share`` partners, each part sorted so
-    that the text of ``a`` comes first; a task holds one set and one batch.
+    Rows linked with the first one need no comparison among themselves; every other row is compared with all rows at
+    once, by counting the owners of its elements in an inverted index.
     """
-    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / share).alias("parts"))
-    # Joins on a and on b are on keys with many rows at times; adaptive execution splits them.
-    leaders = parts.join(texts, parts.a == texts.doc_id).select(
-        "a", F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"), F.lit(None).cast("long").alias("b"), "text"
-    )
-    members = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
-    members = members.join(texts, members.b == texts.doc_id).select("a", "part", "b", "text")
-    rows = leaders.unionByName(members).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    rows, sizes = len(bounds) - 1, np.diff(bounds)
+    _, group, counts = np.unique(sets, return_inverse=True, return_counts=True)
+    owners = np.repeat(np.arange(rows), sizes)[np.argsort(group, kind="stable")]
+    first = np.cumsum(counts) - counts
+
+    def linked(row: int) -> np.ndarray:
+        own = group[bounds[row] : bounds[row + 1]]
+        lengths = counts[own]
+        at = np.repeat(first[own] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        common = np.bincount(owners[at], minlength=rows)
+        return np.flatnonzero(100 * common >= percent * (sizes[row] + sizes - common))
+
+    parent = list(range(rows))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    found = []
+    near_first = np.zeros(rows, bool)
+    near_first[linked(0)] = True
+    for row in [0, *np.flatnonzero(~near_first).tolist()]:
+        for other in linked(row).tolist():
+            x, y = root(row), root(other)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                found.append((row, other))
+    return found
+
+
+def cluster_links(units: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (``a, b``) inside units of comparison: ``unit, rep, blocks``.
+
+    The members of a unit are hashed into its blocks, and every pair of blocks is one group of rows for a task.
+    """
+    member = units.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    member = member.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    grid = member.select("unit", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep")
+    rows = grid.join(texts, grid.rep == texts.doc_id).select("unit", "i", "j", "rep", "text")
+    rows = rows.repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j", "rep")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leader, own = None, None
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        now = None
+
+        def finished() -> pa.RecordBatch:
+            ids = np.concatenate([h[0] for h in held])
+            sizes = np.concatenate([h[2] for h in held])
+            links = set_links(np.concatenate([h[1] for h in held]), np.concatenate(([0], np.cumsum(sizes))), percent)
+            pairs = ids[np.array(links, np.int64).reshape(-1, 2)]
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
         for batch in batches:
-            lead, second = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            found = []
-            for part in slices(batch.column(2)):
-                sets, bounds = shingle_hashes(part)
-                for k in range(part.rows):
-                    a, b = lead[part.first + k], second[part.first + k]
-                    current = sets[bounds[k] : bounds[k + 1]]
-                    if b is None:
-                        leader, own = a, current
-                    elif a == leader:
-                        union = len(own) + len(current)
-                        if 100 * min(len(own), len(current)) >= percent * max(len(own), len(current)):
-                            common = _common(own, current)
-                            if 100 * common >= percent * (union - common):
-                                found.append((a, b))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"]
-            )
-
-    return map_batches(rows.select("a", "b", "text"), run, "a long, b long")
-
-
-def _common(x: np.ndarray, y: np.ndarray) -> int:
-    """The number of common elements of two ascending arrays without repeats."""
-    if len(x) > len(y):
-        x, y = y, x
-    if not len(x):
-        return 0
-    at = np.searchsorted(y, x)
-    at[at == len(y)] = 0
-    return int((y[at] == x).sum())
+            names = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
+            ids = batch.column(3).to_numpy()
+            cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+            for x, y in zip([0, *cuts], [*cuts, len(ids)], strict=True):
+                if x == y:
+                    continue
+                if now is not None and tuple(names[x]) != now:
+                    yield finished()
+                    held = []
+                now = tuple(names[x])
+                for part in slices(batch.column(4).slice(x, y - x)):
+                    sets, bounds = shingle_hashes(part)
+                    held.append((ids[x + part.first : x + part.first + part.rows], sets, np.diff(bounds)))
+        if held:
+            yield finished()
+
+    return map_batches(rows, run, "a long, b long")
+
+
+def comparison_units(buckets: DataFrame, clusters: DataFrame, texts: DataFrame, block: int, block_bytes: int) -> DataFrame:
+    """``unit, rep, blocks``: clusters, or the buckets of a cluster where these move fewer rows.
+
+    buckets: ``key, rep``; clusters: ``node, component``.  A unit has a block per ``block`` members up to 64, more only as far as
+    its texts need them to stay below ``block_bytes`` each.
+    """
+    sizes = texts.select(F.col("doc_id").alias("rep"), F.octet_length("text").alias("bytes"))
+    members = clusters.select(F.col("node").alias("rep"), "component").join(sizes, "rep")
+    by_key = buckets.join(members, "rep")
+
+    def blocks(members: Column, total: Column) -> Column:
+        return F.greatest(F.least(F.ceil(members / block), F.lit(64)), F.ceil(total / block_bytes))
+
+    n, total = F.count(F.lit(1)), F.sum("bytes")
+    whole = members.groupBy("component").agg(n.alias("n"), blocks(n, total).alias("blocks"))
+    keys = by_key.groupBy("component", "key").agg(n.alias("n"), blocks(n, total).alias("blocks"))
+    single = keys.groupBy("component").agg(F.sum(F.col("n") * F.col("blocks")).alias("cost"))
+    chosen = whole.join(single, "component").withColumn("together", F.col("n") * F.col("blocks") <= F.col("cost"))
+    one = members.join(chosen.filter("together"), "component").select(F.col("component").alias("unit"), "rep", "blocks")
+    apart = keys.join(chosen.filter("NOT together").select("component"), "component", "left_semi").select("key", "blocks")
+    many = buckets.join(apart, "key").select(F.xxhash64("key", F.lit("bucket")).alias("unit"), "rep", "blocks")
+    return one.unionByName(many)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -212,7 +266,8 @@ def near_components(
     percent: int = PERCENT,
     bands: int = BANDS,
     rows: int = ROWS,
-    largest: int = 64,
+    block: int = 128,
+    block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
 
@@ -234,35 +289,20 @@ def near_components(
     classes = staged(usable.groupBy(*by_set).agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")), "classes")
     members = usable.select("doc_id", *by_set).join(classes.select(*by_set, "rep"), by_set).select("doc_id", "n_shingles", "rep")
 
-    keyed = classes.select("rep", "n_shingles", F.explode("keys").alias("key"))
+    keyed = classes.select("rep", F.explode("keys").alias("key"))
     leads = keyed.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).filter("lead < last")
-    buckets = staged(keyed.join(leads, "key").select("key", "rep", "n_shingles", "lead"), "buckets")
-    wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
+    buckets = staged(keyed.join(leads.drop("last"), "key"), "buckets")
+    clusters = components(buckets.filter("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")))
+    wanted = clusters.select(F.col("node").alias("doc_id"))
     near = in_bitmap(F.col("doc_id"), wanted, texts).join(wanted, "doc_id", "left_semi")
     near = staged(near.dropDuplicates(["doc_id"]), "texts")
-
-    first = staged(buckets.filter("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    links = staged(verified(first, near, percent), "links")
-    labels = components(links)
-
-    # Buckets that still hold several components: all pairs between them that sizes allow.
-    labelled = buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    labelled = labelled.select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    rest = staged(split_buckets(unresolved(labelled), classes, largest), "buckets")
-    one, two = rest.alias("one"), rest.alias("two")
-    second = one.join(two, F.col("one.key") == F.col("two.key")).filter(
-        (F.col("one.rep") < F.col("two.rep"))
-        & (F.col("one.component") != F.col("two.component"))
-        & (100 * F.least("one.n_shingles", "two.n_shingles") >= percent * F.greatest("one.n_shingles", "two.n_shingles"))
-    )
-    second = second.select(F.col("one.rep").alias("a"), F.col("two.rep").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = staged(verified(staged(second, "pairs"), near, percent), "links")
+    units = comparison_units(buckets.select("key", "rep"), clusters, near, block, block_bytes)
+    links = staged(cluster_links(units, near, percent).distinct(), "links")
     # An id that repeats with other texts is in several classes and links them.
     shared = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z")
     twice = members.join(shared, "doc_id").filter("rep != a").select("a", F.col("rep").alias("b")).distinct()
     twice = staged(twice, "links")
-    if not (more.isEmpty() and twice.isEmpty()):
-        labels = components(links.union(more).union(twice))
+    labels = components(links.union(twice))
 
     found = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
@@ -271,34 +311,6 @@ def near_components(
     return found.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def unresolved(labelled: DataFrame) -> DataFrame:
-    """The rows of buckets with more than one component, and the number of rows in their bucket."""
-    sizes = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
-    )
-    return labelled.join(sizes.filter("low < high").select("key", "size"), "key")
-
-
-def split_buckets(buckets: DataFrame, classes: DataFrame, largest: int, depth: int = 2) -> DataFrame:
-    """Buckets of more than ``largest`` rows give way to one bucket per further band key of their rows.
-
-    Pairs in such a bucket meet again in a further band as surely as they met in the first one.  After ``depth`` further bands
-    a bucket's rows agree in so many coordinates that nearly all are linked already.
-    """
-    done = buckets.filter(F.col("size") <= largest).drop("size")
-    big = buckets.filter(F.col("size") > largest).drop("size")
-    for _ in range(depth):
-        big = staged(big, "buckets")
-        if big.isEmpty():
-            return done
-        finer = big.join(classes.select("rep", "keys"), "rep").withColumn("further", F.explode("keys"))
-        finer = finer.filter("further != key").select(F.xxhash64("key", "further").alias("key"), "rep", "n_shingles", "component")
-        finer = staged(unresolved(finer), "buckets")
-        done = done.unionByName(finer.filter(F.col("size") <= largest).drop("size"))
-        big = finer.filter(F.col("size") > largest).drop("size")
-    return done.unionByName(big)
-
-
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
     """The rows of ``docs`` whose id leads its component, with all their columns."""
     kept = near_components(docs, id_col, text_col, **options).filter("kept")

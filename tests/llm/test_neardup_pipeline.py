@@ -72,10 +72,10 @@ def made_rows(seed=7):
     return rows + [(9001, "Three short words"), (9002, "three SHORT words"), (9003, ""), (9004, None), (9005, " \t")]
 
 
-@pytest.mark.parametrize("largest", [64, 5])
-def test_components_equal_brute_force(docs_of, largest):
+@pytest.mark.parametrize("block, block_bytes", [(128, 4 << 20), (10, 4 << 20), (1000, 3000)])
+def test_components_equal_brute_force(docs_of, block, block_bytes):
     rows = made_rows()
-    found = neardup.near_components(docs_of(rows), largest=largest).collect()
+    found = neardup.near_components(docs_of(rows), block=block, block_bytes=block_bytes).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows)
     assert len(found) == len(rows) and all(r.kept == (r.doc_id == r.component_id) for r in found)
 
