@@ -1 +1 @@
-"""Column expressions shared by the operators; all of them stay inside whole-stage codegen."""
+"""Column expressions shared by the operators; plain expressions, without lambdas or Python."""

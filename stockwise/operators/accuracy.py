@@ -16,25 +16,26 @@ from stockwise.operators.windows import by
 RELATIVE_FLOOR = 2.220446049250313e-16
 
 
-def error_aggregates(actual: str, predicted: str, digits: int = 1) -> list[Column]:
+def error_aggregates(actual: str, predicted: str, digits: int = 6) -> list[Column]:
     """MSE, MAE and MAPE as plain aggregates.
 
-    The inputs carry ``digits`` decimals.  Differences are averaged in whole units of the last one,
-    which keeps the sums exact and so independent of the order in which tasks finish.
+    Differences count to ``digits`` decimals and are summed as whole decimals of the last one, which keeps
+    the sums exact and so independent of the order in which tasks finish.
     """
     unit = 10.0**digits
     diff = F.col(predicted) - F.col(actual)
-    whole = F.rint(F.abs(diff) * unit)
+    whole = F.rint(F.abs(diff) * unit).cast("decimal(19,0)")
+    n = F.count(whole)
     relative = F.abs(diff) / F.greatest(F.abs(F.col(actual)), F.lit(RELATIVE_FLOOR))
     return [
-        half_even(F.avg(whole * whole) / (unit * unit), 4).alias("MSE"),
-        half_even(F.avg(whole) / unit, 4).alias("MAE"),
+        half_even(F.sum(whole * whole).cast("double") / n / (unit * unit), 4).alias("MSE"),
+        half_even(F.sum(whole).cast("double") / n / unit, 4).alias("MAE"),
         half_even(F.avg(relative), 4).alias("MAPE"),
     ]
 
 
 def accuracy_metrics(
-    df: DataFrame, common: Sequence[str], grains: Mapping[str, Sequence[str]], actual: str, predicted: str, digits: int = 1
+    df: DataFrame, common: Sequence[str], grains: Mapping[str, Sequence[str]], actual: str, predicted: str, digits: int = 6
 ) -> DataFrame:
     """Error metrics per ``common`` columns at every grain, in one pass with grouping sets."""
     metrics = multi_grain(df, common, grains, error_aggregates(actual, predicted, digits))
@@ -210,12 +211,15 @@ def slow_goods(classes: DataFrame, slow_types: Sequence[str], more_than: int) ->
     return counted.where(F.col("wh_cnt") > more_than)
 
 
-def accuracy_by_grain(fact: DataFrame, span: Sequence[str]) -> DataFrame:
+def accuracy_by_grain(fact: DataFrame, span: Sequence[str], without_classes: Sequence[str] = ()) -> DataFrame:
     """MAPE, MSE, RMSE and MAE per goods, class and in total, with and without long-tail goods.
 
-    One scan: grouping sets give the grains, conditional sums the twin without the long tail.
+    One scan: grouping sets give the grains, conditional sums the twin without the long tail.  Classes in
+    ``without_classes`` count nowhere.
     """
     priced = fact.where(F.col("unit_price").isNotNull())
+    if without_classes:
+        priced = priced.where(~F.coalesce(F.col("large_class_name").isin(*without_classes), F.lit(False)))
     short = F.col("is_longtail") == 0
     grains = {"goods": ["large_class_name", "goods_id"], "class": ["large_class_name"], "all": []}
     measures: list[Column] = [F.median("is_longtail").alias("longtail_median")]
@@ -228,7 +232,8 @@ def accuracy_by_grain(fact: DataFrame, span: Sequence[str]) -> DataFrame:
         for k in ("common", "all"):
             for m in (f"abs_diff_{k}", f"{k}_consume_amount"):
                 measures.append(cents(F.when(keep, F.col(m))).alias(f"{m}{suffix}"))
-            measures.append(F.sum(F.when(keep, F.col(f"sq_diff_{k}"))).alias(f"sq_diff_{k}{suffix}"))
+            whole = F.rint(F.col(f"diff_{k}") * 100).cast("decimal(19,0)")
+            measures.append((F.sum(F.when(keep, whole * whole)).cast("double") / 1e4).alias(f"sq_diff_{k}{suffix}"))
     sums = multi_grain(priced, span, grains, measures)
     columns: dict[str, Column] = {"is_longtail": (F.col("longtail_median") > 0.5).cast("long")}
     for suffix in ("", "_nolongtail"):
@@ -239,7 +244,7 @@ def accuracy_by_grain(fact: DataFrame, span: Sequence[str]) -> DataFrame:
             ratio = F.when(consumed > 0, absolute / consumed)
             columns |= {
                 f"mape_{k}{suffix}": half_even(F.coalesce(ratio, F.lit(0.0)), 6),
-                f"mse_{k}{suffix}": half_even(square / n, -3),
+                f"mse_{k}{suffix}": half_even(square / n, 4),
                 f"rmse_{k}{suffix}": half_even(F.sqrt(square / n), 3),
                 f"mae_{k}{suffix}": half_even(absolute / n, 3),
             }

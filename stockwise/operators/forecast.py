@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stockwise.functions.dates import date_parts, days_from
 from stockwise.functions.numeric import at_least, half_even
 from stockwise.operators.accuracy import RELATIVE_FLOOR
-from stockwise.operators.windows import spread
 
 
 def flat_baselines(
@@ -52,7 +51,7 @@ def clipped_sums(forecast: DataFrame, keys: Sequence[str], value: str) -> DataFr
 def history_arrays(df: DataFrame, keys: Sequence[str], time: str, value: str) -> DataFrame:
     """One row per key: the last day and the values in time order."""
     ordered = F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(value).alias("v"))))
-    return spread(df, keys).groupBy(*keys).agg(F.max(time).alias("last_day"), ordered.alias("_rows")).select(
+    return df.groupBy(*keys).agg(F.max(time).alias("last_day"), ordered.alias("_rows")).select(
         *keys, "last_day", F.transform("_rows", lambda r: r["v"]).alias("history")
     )
 
@@ -76,13 +75,13 @@ def explode_steps(df: DataFrame, keys: Sequence[str], steps: str, out: str) -> D
 
 
 def recursive_mean(
-    df: DataFrame, keys: Sequence[str], time: str, value: str, horizon: int, window: int = 7, history_days: int = 140
+    df: DataFrame, keys: Sequence[str], time: str, value: str, horizon: int, window: int = 7
 ) -> DataFrame:
     """Recursive forecast whose model is the mean of the last ``window`` values.
 
     Each step rounds to one digit and feeds the next; negative values are floored only afterwards.
     """
-    histories = history_arrays(df, keys, time, value).withColumn("history", tail(F.col("history"), history_days))
+    histories = history_arrays(df, keys, time, value).withColumn("history", tail(F.col("history"), window))
     start = F.size("history")
     grown = F.aggregate(
         F.sequence(F.lit(1), F.lit(horizon)),

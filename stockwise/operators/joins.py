@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stockwise.operators.windows import by, spread
+from stockwise.operators.windows import by
 
 
 def later_day_sums(df: DataFrame, keys: Sequence[str], time: str, value: str, horizon: int) -> DataFrame:
@@ -22,7 +22,7 @@ def later_day_sums(df: DataFrame, keys: Sequence[str], time: str, value: str, ho
     """
     spec = by(keys, time)
     running = F.sum(value).over(spec.rowsBetween(Window.unboundedPreceding, 0))
-    staged = spread(df, keys).withColumn("_sum", running)
+    staged = df.withColumn("_sum", running)
     ahead = F.collect_list(F.struct(F.col(time).alias("predict_dt"), F.col("_sum").alias("_until"))).over(spec.rowsBetween(0, horizon - 1))
     spans = staged.withColumn("_ahead", ahead).select(
         *keys, time, (F.col("_sum") - F.col(value)).alias("_before"), F.inline("_ahead")

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stockwise.functions.numeric import at_least, box_round, ceil_to_multiple, ceil_units, clamp, half_even
-from stockwise.operators.windows import by, forward_sum_dynamic, spread, top_rows
+from stockwise.operators.windows import by, forward_sum_dynamic, top_rows
 
 
 def filled(name: str) -> Column:
@@ -156,7 +156,7 @@ def _ledger_sum(ledger: Column, keep) -> Column:
 def _folded(df: DataFrame, keys: Sequence[str], columns: Sequence[Column]) -> DataFrame:
     """One row per key with its days in order; the day comes first in the struct."""
     days = F.array_sort(F.collect_list(F.struct(*columns)))
-    return spread(df, keys).groupBy(*keys).agg(days.alias("_days"))
+    return df.groupBy(*keys).agg(days.alias("_days"))
 
 
 def reorder_plan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -403,12 +403,15 @@ def reorder_factor(base: DataFrame, formula: DataFrame, strategy: DataFrame, rat
 
 
 def calendar_consumption(
-    calendar: DataFrame, chance: DataFrame, daily: DataFrame, void: Column, out: str
+    calendar: DataFrame, chance: DataFrame, daily: DataFrame, void: Mapping[str, Column]
 ) -> DataFrame:
-    """Consumption over the days an order day covers; rows that meet ``void`` count as zero."""
+    """Consumption over the days an order day covers, in one join and one aggregate for all columns of ``void``.
+
+    ``void`` maps an output column to the condition under which a row counts as zero in it.
+    """
     joined = calendar.join(chance, ["dt", "dept_id"]).join(daily, ["dept_id", "goods_id", "predict_date"])
-    consumed = F.when(void, 0.0).otherwise(F.col("shop_com_consume"))
-    return joined.groupBy("dt", "dept_id", "goods_id", "version_id").agg(F.sum(consumed).alias(out))
+    sums = [F.sum(F.when(empty, 0.0).otherwise(F.col("shop_com_consume"))).alias(out) for out, empty in void.items()]
+    return joined.groupBy("dt", "dept_id", "goods_id", "version_id").agg(*sums)
 
 
 def launch_type(df: DataFrame, keys: Sequence[str], launch: str, cold_start_days: int) -> DataFrame:
@@ -451,21 +454,20 @@ def plan_base(
     daily: DataFrame,
     labels: DataFrame,
     chance: DataFrame,
-    bp: DataFrame,
-    vlt: DataFrame,
+    consumed: DataFrame,
     bp_days: DataFrame,
     factors: DataFrame,
     specs: DataFrame,
     default_factor: float,
 ) -> DataFrame:
-    """Planning base of a store day.
+    """Planning base of a store day; ``consumed`` holds ``bp_consume`` and ``vlt_consume``.
 
     Consumption before the launch counts as zero, a second order on a day is not possible, a day
     without a receive day is left out.
     """
     keys = ["dt", "dept_id", "goods_id", "version_id"]
     base = labels.join(daily.withColumnRenamed("predict_date", "dt"), ["dt", "goods_id"], "left")
-    base = base.join(chance, ["dt", "dept_id", "goods_id"], "left").join(bp, keys, "left").join(vlt, keys, "left")
+    base = base.join(chance, ["dt", "dept_id", "goods_id"], "left").join(consumed, keys, "left")
     base = base.na.fill(0.0, ["bp_consume", "vlt_consume"])
     before = F.col("dt") < F.col("min_launch_date")
     base = base.withColumns(

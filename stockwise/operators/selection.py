@@ -49,6 +49,6 @@ def weighted_ensemble(forecast: DataFrame, accuracy: DataFrame, keys: Sequence[s
     return weighted.groupBy(*keys, "predict_dt").agg(F.sum(share).alias(value))
 
 
-def negative_forecasts(forecast: DataFrame, keys: Sequence[str], value: str, tolerance: float = 1e-6) -> DataFrame:
+def negative_forecasts(forecast: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Keys and models with any forecast below zero, to be excluded by an anti join."""
-    return forecast.where(F.col(value) < -tolerance).select(*keys, "model").distinct()
+    return forecast.where(F.col(value) < 0).select(*keys, "model").distinct()

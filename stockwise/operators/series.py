@@ -92,6 +92,17 @@ def densify(
     return daily_sum(df.select(*keys, time, value).unionByName(empty), keys, time, value, value)
 
 
+def dense_from_first(df: DataFrame, keys: Sequence[str], time: str, value: str, fill: float = 0.0) -> DataFrame:
+    """One row per key and day from the key's first day to the last day of all, gaps filled.
+
+    A forecast origin then has its row for every key that has started, whether it sold on that day or not.
+    """
+    last = df.select(F.max(time)).scalar()
+    starts = df.groupBy(*keys).agg(F.min(time).alias("_first"))
+    empty = starts.select(*keys, F.explode(F.sequence("_first", last)).alias(time), F.lit(fill).alias(value))
+    return daily_sum(df.select(*keys, time, value).unionByName(empty), keys, time, value, value)
+
+
 def month_ends(first: Column, last: Column) -> Column:
     """Last days of all months between two dates."""
     months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))

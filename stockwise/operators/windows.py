@@ -24,20 +24,6 @@ def by(keys: Sequence[str], *order: str | Column) -> WindowSpec:
     return spec.orderBy(*order) if order else spec
 
 
-def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Series hashed over all shuffle partitions ahead of work that is heavy for its few bytes.
-
-    The window or fold that follows needs this distribution anyway, so no shuffle is added.  Naming
-    the count keeps adaptive execution from merging small partitions into fewer tasks than there are
-    cores; with many partitions per core that merging is wanted, and the plan is left alone.
-    """
-    spark = df.sparkSession
-    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if count > 4 * spark.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(count, *keys)
-
-
 def lag_features(
     df: DataFrame,
     keys: Sequence[str],
@@ -59,13 +45,13 @@ def lag_features(
             columns[f"lag_{w}_std"] = F.stddev_samp(value).over(frame)
             columns[f"lag_{w}_min"] = F.min(value).over(frame)
             columns[f"lag_{w}_max"] = F.max(value).over(frame)
-    return spread(df, keys).withColumns(columns)
+    return df.withColumns(columns)
 
 
 def trailing_means(df: DataFrame, keys: Sequence[str], time: str, value: str, windows: Iterable[int]) -> DataFrame:
     """Only the lagged means, for the flat baselines."""
     spec = by(keys, time)
-    return spread(df, keys).withColumns({f"lag_{w}_mean": F.avg(value).over(spec.rowsBetween(-w, -1)) for w in windows})
+    return df.withColumns({f"lag_{w}_mean": F.avg(value).over(spec.rowsBetween(-w, -1)) for w in windows})
 
 
 def newest_slice(df: DataFrame, time: str) -> DataFrame:
@@ -74,12 +60,6 @@ def newest_slice(df: DataFrame, time: str) -> DataFrame:
     return df.where(F.col(time) == newest)
 
 
-def recent_means(df: DataFrame, keys: Sequence[str], time: str, measures: Mapping[str, str], n: int) -> DataFrame:
-    """Mean over the last ``n`` rows including the current one; ``measures`` maps source to target."""
-    frame = by(keys, time).rowsBetween(-(n - 1), 0)
-    return df.withColumns({target: F.avg(source).over(frame) for source, target in measures.items()})
-
-
 def forward_mean(df: DataFrame, keys: Sequence[str], time: str, value: str, n: int, out: str) -> DataFrame:
     """Mean of the current and the next ``n - 1`` rows, shorter at the end."""
     return df.withColumn(out, F.avg(value).over(by(keys, time).rowsBetween(0, n - 1)))
@@ -102,7 +82,7 @@ def forward_sum_dynamic(df: DataFrame, keys: Sequence[str], time: str, value: st
     staged = df.withColumns({f"_n_{out}": n.cast("int") for out, n in sums.items()})
     running = F.sum(F.coalesce(F.col(value), F.lit(0.0))).over(by(keys, time).rowsBetween(Window.unboundedPreceding, 0))
     row = F.struct(time, *rest, *(f"_n_{out}" for out in sums), "_sum")
-    gathered = spread(staged, keys).withColumn("_sum", running).groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    gathered = staged.withColumn("_sum", running).groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
 
     def looked_up(r: Column, i: Column) -> Column:
         before = r["_sum"] - F.coalesce(r[value], F.lit(0.0))

@@ -13,7 +13,7 @@ from stockwise.operators import series
 from stockwise.operators import windows as win
 from stockwise.plans.aggregating import BAND_COUNTS, BAND_RATIOS
 from stockwise.plans.columns import BAND_CASE
-from stockwise.plans.inputs import KEYS, Inputs, priced, rounded, sql
+from stockwise.plans.inputs import KEYS, Inputs, dense_sql, priced, rounded, sql
 from stockwise.plans.registry import query
 from stockwise.session import staged
 
@@ -35,11 +35,11 @@ MONEY = {
 
 def metric_sql(source: str, grain: str = "") -> str:
     """Metrics per run day and model at three grains, or at the named one."""
-    diff = "round_even(abs(pred_price - y_price) * 1e1, 0)"
+    diff = "CAST(round_even(abs(pred_price - y_price) * 1e6, 0) AS HUGEINT)"
     where = f"WHERE grain = '{grain}'" if grain else ""
     return f"""SELECT *, {rounded('1 - MAPE', 4)} AS ACC FROM (
-      SELECT dt, model, wh_dept_id, goods_id, {rounded(f'avg({diff} * {diff}) / 1e2', 4)} AS MSE,
-        {rounded(f'avg({diff}) / 1e1', 4)} AS MAE, {rounded(f'avg(abs(pred_price - y_price) / greatest(abs(y_price), {EPS}))', 4)} AS MAPE,
+      SELECT dt, model, wh_dept_id, goods_id, {rounded(f'CAST(sum({diff} * {diff}) AS DOUBLE) / count(*) / 1e12', 4)} AS MSE,
+        {rounded(f'CAST(sum({diff}) AS DOUBLE) / count(*) / 1e6', 4)} AS MAE, {rounded(f'avg(abs(pred_price - y_price) / greatest(abs(y_price), {EPS}))', 4)} AS MAPE,
         CASE WHEN grouping(goods_id) = 1 THEN 'all' WHEN grouping(wh_dept_id) = 1 THEN 'goods' ELSE 'wh_goods' END AS grain
       FROM {source} GROUP BY GROUPING SETS ((dt, model), (dt, model, goods_id), (dt, model, wh_dept_id, goods_id))) {where}"""
 
@@ -52,15 +52,10 @@ def evaluated_totals(inp: Inputs) -> DataFrame:
     return acc.horizon_totals(inp.evaluated, ["model", "dt", *KEYS], "y", "predict_demand")
 
 
-def rounded_mse(df: DataFrame) -> DataFrame:
-    """Squared money has no stable fourth digit in doubles; two digits less compare equal."""
-    return df.withColumn("MSE", half_even(F.col("MSE"), 1))
-
-
-@query("accuracy_metrics", sql(VIEWS, f"SELECT * REPLACE ({rounded('MSE', 1)} AS MSE) FROM ({metric_sql('daily_money')})", **MONEY))
+@query("accuracy_metrics", sql(VIEWS, metric_sql('daily_money'), **MONEY))
 def accuracy_metrics(inp: Inputs) -> DataFrame:
     money = acc.to_money(inp.evaluated, inp.unit_price, "y", "predict_demand")
-    return rounded_mse(acc.accuracy_metrics(money, ["dt", "model"], GRAINS, "y_price", "pred_price"))
+    return acc.accuracy_metrics(money, ["dt", "model"], GRAINS, "y_price", "pred_price")
 
 
 @query("money_conversion", sql(VIEWS, "SELECT model, dt, predict_dt, wh_dept_id, goods_id, y_price, pred_price FROM daily_money", **MONEY))
@@ -71,8 +66,8 @@ def money_conversion(inp: Inputs) -> DataFrame:
 
 @query(
     "eval_daily_vs_month",
-    sql(VIEWS, f"""SELECT 'daily' AS time_label, * REPLACE ({rounded('MSE', 1)} AS MSE) FROM ({metric_sql('daily_money')})
-      UNION ALL SELECT 'month', * REPLACE ({rounded('MSE', 1)} AS MSE) FROM ({metric_sql('month_money')})""", **MONEY),
+    sql(VIEWS, f"""SELECT 'daily' AS time_label, * FROM ({metric_sql('daily_money')})
+      UNION ALL SELECT 'month', * FROM ({metric_sql('month_money')})""", **MONEY),
 )
 def eval_daily_vs_month(inp: Inputs) -> DataFrame:
     """The same forecasts judged day by day and by the sum over their horizon."""
@@ -81,7 +76,7 @@ def eval_daily_vs_month(inp: Inputs) -> DataFrame:
         money = acc.to_money(df, inp.unit_price, "y", "predict_demand")
         metrics = acc.accuracy_metrics(money, ["dt", "model"], GRAINS, "y_price", "pred_price")
         parts.append(metrics.withColumn("time_label", F.lit(label)))
-    return rounded_mse(parts[0].unionByName(parts[1]))
+    return parts[0].unionByName(parts[1])
 
 
 @query(
@@ -115,7 +110,7 @@ def recent_sql(months: tuple[int, ...], keys: str = "model, wh_dept_id, goods_id
     columns = []
     for n in months:
         over = f"OVER (PARTITION BY {keys} ORDER BY dt ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-        columns += [f"round_even(avg(round_even({m} * 1e4, 0)) {over}, 0) / 1e4 AS last_{n}_{m.lower()}" for m in ("MAE", "MAPE", "ACC")]
+        columns += [f"(round_even(avg(round_even({m} * 1e4, 0)) {over}, 0) + 0e0) / 1e4 AS last_{n}_{m.lower()}" for m in ("MSE", "MAE", "MAPE", "ACC")]
         columns.append(f"(round_even(stddev_samp(round_even(ACC * 1e4, 0)) {over}, 0) + 0e0) / 1e4 AS last_{n}_std")
     return f"SELECT {keys}, dt, {', '.join(columns)} FROM {source}"
 
@@ -130,7 +125,7 @@ RECENT = (1, 2, 3, 6)
 )
 def recent_acc_mean(inp: Inputs) -> DataFrame:
     """Recent accuracy per warehouse and goods, and per goods."""
-    kept = [f"last_{n}_{m}" for n in RECENT for m in ("mae", "mape", "acc", "std")]
+    kept = [f"last_{n}_{m}" for n in RECENT for m in ("mse", "mae", "mape", "acc", "std")]
     money = acc.to_money(evaluated_totals(inp), inp.unit_price, "y", "predict_demand")
     parts = []
     for level, grain in (("wh_goods", KEYS), ("goods", ["goods_id"])):
@@ -190,13 +185,14 @@ POPULATIONS = """SELECT 'all' AS data_label, wh_dept_id, goods_id, ds, sum(qty)
       UNION ALL SELECT 'all', predict_dt, wh_dept_id, goods_id, {rounded('max(predict_demand)', 1)} FROM pred WHERE data_label = 'all' GROUP BY 2, 3, 4""",
         populations=POPULATIONS,
         pred=f"""SELECT data_label, wh_dept_id, goods_id, CAST(ds + CAST(h AS INTEGER) AS DATE) AS predict_dt, {rounded('m7', 1)} AS predict_demand FROM (
-          SELECT *, avg(y) OVER (PARTITION BY data_label, wh_dept_id, goods_id ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS m7 FROM populations), range(0, 30) r(h)
+          SELECT *, avg(y) OVER (PARTITION BY data_label, wh_dept_id, goods_id ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS m7 FROM ({dense_sql('populations', 'data_label, wh_dept_id, goods_id')})), range(0, 30) r(h)
           WHERE day(ds) = 1 AND m7 IS NOT NULL"""),
 )
 def combine_populations(inp: Inputs) -> DataFrame:
     """Forecasts of three populations; the horizons overlap around month ends, as the groups do."""
     keys = ["data_label", *KEYS]
     demand = series.daily_sum(series.with_populations(inp.sold_rows), keys, "ds", "qty")
+    demand = series.dense_from_first(demand, keys, "ds", "y")
     pred = fc.flat_baselines(win.trailing_means(demand, keys, "ds", "y", (7,)), keys, "ds", (7,), 30)
     pred = pred.withColumn("predict_demand", half_even(F.col("predict_demand"), 1))
     return sel.combine_populations(pred, ["predict_dt", *KEYS], "predict_demand")
@@ -289,14 +285,16 @@ def fact_parts(lengths: tuple[int, ...]) -> dict[str, str]:
     """Named parts of the accuracy fact over trailing windows."""
     flat = """SELECT {kind} AS kind, wh_dept_id, goods_id, ds AS dt, CAST(ds + CAST(h AS INTEGER) AS DATE) AS predict_dt, m7 AS demand FROM (
         SELECT *, avg(y) OVER (PARTITION BY wh_dept_id, goods_id ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS m7
-        FROM (SELECT wh_dept_id, goods_id, ds, sum(qty) AS y FROM sold_rows {where} GROUP BY 1, 2, 3)), range(0, 61) r(h)
+        FROM ({dense})), range(0, 61) r(h)
         WHERE m7 IS NOT NULL AND ds IN (SELECT run_dt FROM spans)"""
     amount = {k: rounded(f"{v} * unit_price", 2) for k, v in (("ac", "real_consume"), ("cc", "common_consume"), ("cp", "common_pred"), ("ap", "all_pred"))}
     return {
         "goods": GOODS,
         "spans": f"""SELECT days, CAST(DATE '{RUN_DAY}' - days AS DATE) AS start, DATE '{RUN_DAY}' - 1 AS "end", CAST(DATE '{RUN_DAY}' - days - 1 AS DATE) AS run_dt
           FROM (SELECT unnest([{', '.join(f'{n}::INTEGER' for n in lengths)}]) AS days)""",
-        "preds": flat.format(kind="'all'", where="") + " UNION ALL " + flat.format(kind="'common'", where="WHERE type_flg = 'norm'"),
+        "sums_all": "SELECT wh_dept_id, goods_id, ds, sum(qty) AS y FROM sold_rows GROUP BY 1, 2, 3",
+        "sums_common": "SELECT wh_dept_id, goods_id, ds, sum(qty) AS y FROM sold_rows WHERE type_flg = 'norm' GROUP BY 1, 2, 3",
+        "preds": " UNION ALL ".join(flat.format(kind=f"'{k}'", dense=dense_sql(f"sums_{k}", "wh_dept_id, goods_id")) for k in ("all", "common")),
         "predicted": """SELECT days, run_dt, wh_dept_id, goods_id, round_even(sum(demand) FILTER (WHERE kind = 'all') * 1e4, 0) / 1e4 AS all_pred,
             round_even(sum(demand) FILTER (WHERE kind = 'common') * 1e4, 0) / 1e4 AS common_pred
           FROM preds JOIN spans ON dt = run_dt AND predict_dt BETWEEN start AND "end" GROUP BY 1, 2, 3, 4""",
@@ -335,7 +333,8 @@ def fact(inp: Inputs, lengths: tuple[int, ...]) -> DataFrame:
     sold = staged(daily, "sold-daily")
     parts = []
     for kind, rows in (("all_pred", sold), ("common_pred", sold.where(norm))):
-        feats = win.trailing_means(series.daily_sum(rows, KEYS, "ds", "qty"), KEYS, "ds", "y", (7,))
+        dense = series.dense_from_first(series.daily_sum(rows, KEYS, "ds", "qty"), KEYS, "ds", "y")
+        feats = win.trailing_means(dense, KEYS, "ds", "y", (7,))
         flat = fc.flat_baselines(feats, KEYS, "ds", (7,), 61, origin=F.col("ds").isin([s.run_dt for s in spans]))
         summed = acc.in_spans(flat, "predict_dt", spans, "dt").groupBy(*group)
         parts.append(summed.agg(half_even(F.sum("predict_demand"), 4).alias(kind)))
@@ -377,30 +376,33 @@ def longtail_flag(inp: Inputs) -> DataFrame:
     return classes.select(*KEYS).join(slow, "goods_id", "left").na.fill(0, ["is_longtail"])
 
 
-def grain_sql() -> str:
+def grain_sql(where: str = "true") -> str:
     columns = ["CAST(median(is_longtail) > 0.5 AS BIGINT) AS is_longtail"]
     for suffix, keep in (("", "true"), ("_nolongtail", "is_longtail = 0")):
         for k, c in (("common", "cc"), ("all", "ac")):
             f = f"FILTER (WHERE {keep})"
             diff = f"diff_{k}"
+            whole = f"CAST(round_even({diff} * 100, 0) AS HUGEINT)"
+            squares = f"(CAST(sum({whole} * {whole}) {f} AS DOUBLE) / 1e4)"
 
             def cents(value: str, f: str = f) -> str:
                 return f"(sum(round_even({value} * 100, 0)) {f} / 100)"
 
             columns += [
                 f"{rounded(f'coalesce(CASE WHEN {cents(c)} > 0 THEN {cents(f'abs({diff})')} / {cents(c)} END, 0)', 6)} AS mape_{k}{suffix}",
-                f"{rounded(f'sum({diff} * {diff}) {f} / count(*) {f}', -3)} AS mse_{k}{suffix}",
-                f"{rounded(f'sqrt(sum({diff} * {diff}) {f} / count(*) {f})', 3)} AS rmse_{k}{suffix}",
+                f"{rounded(f'{squares} / count(*) {f}', 4)} AS mse_{k}{suffix}",
+                f"{rounded(f'sqrt({squares} / count(*) {f})', 3)} AS rmse_{k}{suffix}",
                 f"{rounded(cents(f'abs({diff})') + f' / count(*) {f}', 3)} AS mae_{k}{suffix}",
             ]
     return f"""SELECT days, run_dt, large_class_name, goods_id,
       CASE WHEN grouping(large_class_name) = 1 THEN 'all' WHEN grouping(goods_id) = 1 THEN 'class' ELSE 'goods' END AS grain, {', '.join(columns)}
-      FROM fact WHERE unit_price IS NOT NULL GROUP BY GROUPING SETS ((days, run_dt, large_class_name, goods_id), (days, run_dt, large_class_name), (days, run_dt))"""
+      FROM fact WHERE unit_price IS NOT NULL AND {where} GROUP BY GROUPING SETS ((days, run_dt, large_class_name, goods_id), (days, run_dt, large_class_name), (days, run_dt))"""
 
 
-@query("accuracy_by_grain", sql("sold_rows unit_price", grain_sql(), **fact_parts((30,))))
+@query("accuracy_by_grain", sql("sold_rows unit_price", grain_sql("large_class_name <> 'class_3'"), **fact_parts((30,))))
 def accuracy_by_grain(inp: Inputs) -> DataFrame:
-    return acc.accuracy_by_grain(fact(inp, (30,)), ["days", "run_dt"])
+    """One class is left out."""
+    return acc.accuracy_by_grain(fact(inp, (30,)), ["days", "run_dt"], ["class_3"])
 
 
 @query("accuracy_windows", sql("sold_rows unit_price", grain_sql(), **fact_parts(LENGTHS)))
@@ -441,12 +443,12 @@ def monthly_bands(inp: Inputs) -> DataFrame:
 @query(
     "bad_cases",
     sql("evaluated", f"""SELECT dt, wh_name || '_' || goods_name AS wh_goods, {BAND_CASE} AS accuracy_label, err AS "MAPE_all", pred, y, {rounded('pred - y', 1)} AS diff
-      FROM errors JOIN (SELECT goods_id AS top_goods FROM (SELECT goods_id, sum(money) AS income FROM sold_rows GROUP BY 1) ORDER BY income DESC LIMIT 5)
+      FROM errors JOIN (SELECT goods_id AS top_goods FROM (SELECT goods_id, sum(money) AS income FROM sold_rows GROUP BY 1) ORDER BY income DESC, goods_id LIMIT 20)
       ON goods_id = top_goods WHERE err > 0.4""", **MONTH_ERRORS),
 )
 def bad_cases(inp: Inputs) -> DataFrame:
-    """Errors above 0.4 of the five goods with the highest income, sorted for the report."""
+    """Errors above 0.4 of the 20 goods with the highest income, sorted for the report."""
     income = inp.sold_rows.groupBy("goods_id").agg(F.sum("money").alias("income"))
-    top = income.orderBy(F.desc("income")).limit(5).select("goods_id")
+    top = income.orderBy(F.desc("income"), "goods_id").limit(20).select("goods_id")
     bad = acc.bad_cases(month_errors(inp).join(top, "goods_id", "left_semi"), "err", 0.4)
     return bad.select("dt", "wh_goods", "accuracy_label", F.col("err").alias("MAPE_all"), "pred", "y", "diff").orderBy("accuracy_label", "MAPE_all")

@@ -158,7 +158,7 @@ CMDTY_TREND = trend_sql("cmdty_demand", "wh_dept_id, cmdty_id", (60,), False)
 
 @query(
     "rule_negative",
-    sql("sold_rows", "SELECT DISTINCT wh_dept_id, cmdty_id, 'trend_60' AS model FROM trend WHERE pred < -1e-6",
+    sql("sold_rows", "SELECT DISTINCT wh_dept_id, cmdty_id, 'trend_60' AS model FROM trend WHERE " + rounded('pred', 4) + " < 0",
         cmdty_demand="SELECT wh_dept_id, cmdty_id, ds, sum(qty) AS y FROM sold_rows GROUP BY 1, 2, 3", **CMDTY_TREND),
 )
 def rule_negative(inp: Inputs) -> DataFrame:
@@ -166,7 +166,8 @@ def rule_negative(inp: Inputs) -> DataFrame:
     keys = ["wh_dept_id", "cmdty_id"]
     demand = series.daily_sum(inp.sold_rows, keys, "ds", "qty")
     trend = fc.trend_season(demand, keys, "ds", "y", month_after(demand, "ds"), (60,), bounded=False)
-    return sel.negative_forecasts(trend.withColumn("model", F.lit("trend_60")), keys, "pred")
+    published = trend.select(*keys, F.lit("trend_60").alias("model"), half_even(F.col("pred"), 4).alias("pred"))
+    return sel.negative_forecasts(published, keys, "pred")
 
 
 def smoothing_sql(weights: str) -> dict[str, str]:

@@ -17,7 +17,7 @@ from stockwise.operators import series
 from stockwise.operators import windows as win
 
 KEYS = ["wh_dept_id", "goods_id"]
-BASELINE_WINDOWS = (1, 7, 14, 28)
+BASELINE_WINDOWS = (1, 7, 14, 21, 28)
 HORIZON = 30
 
 
@@ -27,6 +27,13 @@ def rounded(expr: str, digits: int = 0) -> str:
     return f"(round_even(({expr}) * {scale}, 0) / {scale} + 0e0)"
 
 
+def dense_sql(source: str, keys: str) -> str:
+    """SQL text of a series with zeros on its missing days, from each key's first day to the last day of all."""
+    return f"""SELECT {keys}, ds, sum(y) AS y FROM (SELECT {keys}, ds, y FROM {source} UNION ALL
+      SELECT {keys}, CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE), 0.0
+      FROM (SELECT {keys}, min(ds) AS first_day, (SELECT max(ds) FROM {source}) AS last_day FROM {source} GROUP BY ALL)) GROUP BY ALL"""
+
+
 def priced(sold: DataFrame) -> DataFrame:
     """Money per piece; the price of goods 3 in warehouse 2 is missing, so that the fallback has work."""
     missing = (F.col("wh_dept_id") == 2) & (F.col("goods_id") == 3)
@@ -74,7 +81,8 @@ class Inputs:
     @cached_property
     def forecast(self) -> DataFrame:
         """Flat moving-average forecasts from every month start over the horizon."""
-        feats = win.trailing_means(self.daily_demand, KEYS, "ds", "y", BASELINE_WINDOWS)
+        dense = series.dense_from_first(self.daily_demand, KEYS, "ds", "y")
+        feats = win.trailing_means(dense, KEYS, "ds", "y", BASELINE_WINDOWS)
         flat = fc.flat_baselines(feats, KEYS, "ds", BASELINE_WINDOWS, HORIZON)
         return flat.withColumn("predict_demand", half_even(F.col("predict_demand"), 1))
 
@@ -174,7 +182,7 @@ VIEWS: dict[str, str] = {
           SELECT *, unnest([{", ".join(f"'window_{w}'" for w in BASELINE_WINDOWS)}]) AS model,
                  unnest([{", ".join(f"m{w}" for w in BASELINE_WINDOWS)}]) AS pred
           FROM (SELECT *, {", ".join(f"avg(y) OVER (PARTITION BY wh_dept_id, goods_id ORDER BY ds ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING) AS m{w}" for w in BASELINE_WINDOWS)}
-                FROM daily_demand)
+                FROM ({dense_sql("daily_demand", "wh_dept_id, goods_id")}))
           WHERE day(ds) = 1), range(0, {HORIZON}) steps(step)
         WHERE pred IS NOT NULL""",
     "evaluated": "SELECT f.*, d.y FROM forecast f JOIN daily_demand d ON f.predict_dt = d.ds AND f.wh_dept_id = d.wh_dept_id AND f.goods_id = d.goods_id",

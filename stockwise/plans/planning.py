@@ -190,14 +190,14 @@ SHOP_COVER = """SELECT version_id, goods_id, dt, shop_end, CAST(CASE WHEN mean =
   SELECT *, avg(pred_consume) OVER (PARTITION BY version_id, goods_id ORDER BY dt ROWS BETWEEN CURRENT ROW AND 6 FOLLOWING) AS mean FROM shop_days)"""
 
 
-def shop_cover(plan: DataFrame) -> DataFrame:
-    days = rolled(plan).groupBy("version_id", "goods_id", "dt").agg(F.sum("pred_consume").alias("pred_consume"), F.sum("stock_end").alias("shop_end"))
+def shop_cover(walked: DataFrame) -> DataFrame:
+    days = walked.groupBy("version_id", "goods_id", "dt").agg(F.sum("pred_consume").alias("pred_consume"), F.sum("stock_end").alias("shop_end"))
     return rep.store_cover_days(days, ["version_id", "goods_id"], "dt", "shop_end", "pred_consume")
 
 
 @query("store_cover_days", sql("store_plan", SHOP_COVER, rolled=ROLLED, shop_days=SHOP_DAYS))
 def store_cover_days(inp: Inputs) -> DataFrame:
-    return shop_cover(inp.store_plan).select("version_id", "goods_id", "dt", "shop_end", "shop_avl_days")
+    return shop_cover(rolled(inp.store_plan)).select("version_id", "goods_id", "dt", "shop_end", "shop_avl_days")
 
 
 IN_STOCK = """SELECT version_id, goods_id, dt, CAST(sum(CAST(stock_beg + expected_receive > 0 AS BIGINT)) AS BIGINT) AS in_stock, max(shop_cnt) AS shop_cnt,
@@ -206,13 +206,13 @@ IN_STOCK = """SELECT version_id, goods_id, dt, CAST(sum(CAST(stock_beg + expecte
     ON r.version_id = c.version_id AND r.goods_id = c.goods_id) WHERE closed = 0 GROUP BY 1, 2, 3"""
 
 
-def in_stock(plan: DataFrame) -> DataFrame:
-    return rep.in_stock_rate(rolled(plan), ["version_id", "goods_id"], "dt", "dept_id", F.col("stock_beg") + F.col("expected_receive"))
+def in_stock(walked: DataFrame) -> DataFrame:
+    return rep.in_stock_rate(walked, ["version_id", "goods_id"], "dt", "dept_id", F.col("stock_beg") + F.col("expected_receive"))
 
 
 @query("in_stock_rate", sql("store_plan", f"SELECT version_id, goods_id, dt, in_stock, shop_cnt, {rounded('shop_avl_rate', 5)} AS shop_avl_rate FROM rate", rolled=ROLLED, rate=IN_STOCK))
 def in_stock_rate(inp: Inputs) -> DataFrame:
-    return in_stock(inp.store_plan).withColumn("shop_avl_rate", half_even(F.col("shop_avl_rate"), 5))
+    return in_stock(rolled(inp.store_plan)).withColumn("shop_avl_rate", half_even(F.col("shop_avl_rate"), 5))
 
 
 LAYERS = ["po1_amount", "po2_amount", "po3_amount"]
@@ -422,11 +422,9 @@ class Calendars:
         days = plan.select("dt", "dept_id").distinct()
         self.covered = days.withColumn("predict_date", F.explode(F.sequence(F.col("dt"), F.date_add("dt", 2))))
 
-    def bp(self) -> DataFrame:
-        return rep.calendar_consumption(self.covered, self.chance, self.daily, F.col("can_order") == 0, "bp_consume")
-
-    def vlt(self) -> DataFrame:
-        return rep.calendar_consumption(self.covered, self.chance, self.daily, F.col("predict_date") < F.col("min_launch_date"), "vlt_consume")
+    def consumed(self) -> DataFrame:
+        void = {"bp_consume": F.col("can_order") == 0, "vlt_consume": F.col("predict_date") < F.col("min_launch_date")}
+        return rep.calendar_consumption(self.covered, self.chance, self.daily, void)
 
 
 @query(
@@ -436,7 +434,7 @@ class Calendars:
 )
 def calendar_consumption(inp: Inputs) -> DataFrame:
     cal = Calendars(inp.plan_of(staged(inp.store_demand, "store-demand")))
-    return cal.bp().join(cal.vlt(), ["dt", "dept_id", "goods_id", "version_id"])
+    return cal.consumed()
 
 
 @query(
@@ -536,7 +534,7 @@ def plan_base(inp: Inputs) -> DataFrame:
     # Every third store has no cover period of its own.
     bp_days = plan.select("dept_id").distinct().withColumn("bp_days", F.when(F.col("dept_id") % 3 != 0, 2.0))
     factors = plan.where(F.dayofyear("dt") == 27).select("dt", *PLAN, (2 + F.col("dept_id") % 3 * 0.5).alias("ro"))
-    base = rep.plan_base(cal.daily, plan.select("dt", "goods_id").distinct(), cal.chance, cal.bp(), cal.vlt(), bp_days, factors, specs(inp, plan), 3.0)
+    base = rep.plan_base(cal.daily, plan.select("dt", "goods_id").distinct(), cal.chance, cal.consumed(), bp_days, factors, specs(inp, plan), 3.0)
     return base.select(
         "dt", "goods_id", "dept_id", "version_id", "wh_dept_id", "receive_day", "closed", F.col("can_order").cast("long").alias("can_order"),
         "pred_consume", "bp_consume", "vlt_consume", "ss_ro", "dly_use_ratio", "pur_dly_ratio", "shop_beg",
@@ -581,5 +579,6 @@ def availability_mart(inp: Inputs) -> DataFrame:
     recorded = outflow.where((F.dayofyear("dt") <= 5) & (F.year("dt") == 2024)).select(*keys, F.lit(0.9).alias("shop_actual_avl_rate"))
     tags = {n: F.lit(v) for n, v in {"material_type": 1, "scene": 1, "stock_up_version": 1, "strategy_version_id": 7, "sim_version": 3, "dly_use_ratio": 5, "pur_use_ratio": 60}.items()}
     tags |= {"consumer_version": F.col("version_id"), "is_min_launch_day": (F.col("dt") == F.lit("2024-01-05").cast("date")).cast("int")}
-    facts = [in_stock(plan).select(*keys, "shop_avl_rate"), shop_cover(plan).select(*keys, "shop_avl_days"), cover, outflow]
+    walked = staged(rolled(plan), "walked")
+    facts = [in_stock(walked).select(*keys, "shop_avl_rate"), shop_cover(walked).select(*keys, "shop_avl_days"), cover, outflow]
     return sinks.apply_contract(rep.availability_mart(days, facts, recorded, keys, tags), sinks.AVAILABILITY)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from stockwise.functions.numeric import half_even
@@ -149,14 +151,14 @@ def sink_contract(inp: Inputs) -> DataFrame:
     sql("", "SELECT dt, wh_dept_id, goods_id, CAST(count(*) AS BIGINT) AS n, round_even(sum(value) * 1e2, 0) / 1e2 AS total FROM e GROUP BY 1, 2, 3", e=EVENTS),
 )
 def hive_partition_sink(inp: Inputs) -> DataFrame:
-    """A partitioned table under the shared folder, written twice: the second write replaces its days only."""
+    """A partitioned table in the warehouse, written twice: the second write replaces its days only."""
     daily = events_by_day(inp).groupBy("dt", *KEYS).agg(
         F.count("*").alias("n"), half_even(F.sum("value"), 2).alias("total")
     )
-    path = work_path(inp.spark, "mart")
-    sinks.write_days(daily, path)
-    sinks.write_days(daily.where(F.col("dt") >= F.lit("2024-01-25").cast("date")), path)
-    return readers.read_days(inp.spark, path).select("dt", *KEYS, "n", "total")
+    table = f"mart_{uuid.uuid4().hex}"
+    sinks.write_table(daily, table)
+    sinks.write_table(daily.where(F.col("dt") >= F.lit("2024-01-25").cast("date")), table)
+    return inp.spark.table(table).select("dt", *KEYS, "n", "total")
 
 
 @query(

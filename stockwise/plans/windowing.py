@@ -38,12 +38,12 @@ def lag_features_daily(inp: Inputs) -> DataFrame:
     return rounded_features(win.lag_features(inp.daily_demand, KEYS, "ds", "y"))
 
 
-WHOLE = "round_even(abs(predict_demand - y) * 1e1, 0)"
+WHOLE = "CAST(round_even(abs(predict_demand - y) * 1e6, 0) AS HUGEINT)"
 BASELINE_ACCURACY = sql(
     "evaluated",
     f"SELECT wh_dept_id, goods_id, MSE, MAE, MAPE, {rounded('1 - MAPE', 4)} AS ACC FROM m",
-    m=f"""SELECT wh_dept_id, goods_id, {rounded(f'avg({WHOLE} * {WHOLE}) / 1e2', 4)} AS MSE,
-             {rounded(f'avg({WHOLE}) / 1e1', 4)} AS MAE,
+    m=f"""SELECT wh_dept_id, goods_id, {rounded(f'CAST(sum({WHOLE} * {WHOLE}) AS DOUBLE) / count(*) / 1e12', 4)} AS MSE,
+             {rounded(f'CAST(sum({WHOLE}) AS DOUBLE) / count(*) / 1e6', 4)} AS MAE,
              {rounded('avg(abs(predict_demand - y) / greatest(abs(y), 2.220446049250313e-16))', 4)} AS MAPE
           FROM evaluated WHERE model = 'window_7' GROUP BY 1, 2""",
 )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,15 +26,10 @@ def local_session(cpus: str | int = "*", app: str = "stockwise", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only where the setting is absent (local tests) a temporary folder is taken instead.
-    """
+    """The folder every executor can reach, named by ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="stockwise-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        spark.sparkContext.setCheckpointDir(folder)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder.rstrip("/")
 
 
@@ -44,6 +38,12 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Has the file system delete what was written under ``path`` when the driver ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of executors, the plan starts anew."""
     shared_folder(df.sparkSession)
@@ -58,4 +58,5 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
+    remove_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stockwise.functions.numeric import nan_to_null
 from stockwise.operators.windows import last_rows
 
 
@@ -29,8 +30,14 @@ def read_latest_per_key(spark: SparkSession, path: str, keys: Sequence[str], *ti
 def read_file(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """One Parquet or CSV folder; CSV carries a header and needs its schema."""
     if schema is None:
-        return spark.read.parquet(path)
-    return spark.read.csv(path, header=True, schema=schema)
+        return without_nan(spark.read.parquet(path))
+    return without_nan(spark.read.csv(path, header=True, schema=schema))
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN counts as missing in all float columns."""
+    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double")]
+    return df.withColumns({name: nan_to_null(F.col(name)) for name in floats}) if floats else df
 
 
 def latest_snapshot(df: DataFrame, day: str) -> DataFrame:
@@ -51,6 +58,9 @@ def read_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFr
     """Rows stored under ``path``; computed and stored first where there are none yet."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        compute().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    except AnalysisException as error:
+        # Any other failure (schema, permission) must not lead to stored rows being replaced.
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    compute().write.parquet(path)
+    return spark.read.parquet(path)

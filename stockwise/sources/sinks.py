@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stockwise.functions.numeric import half_even
 
-# Contracts: output column -> type, with the digits kept for rounded doubles after a colon.
+# Fixed values.  Contracts: output column -> type, with the digits kept for rounded doubles after a colon.
 FORECAST = {
     "predict_dt": "string", "wh_dept_id": "bigint", "goods_id": "bigint", "model": "string",
     "predict_demand": "double:1", "dt": "date",
@@ -41,12 +41,14 @@ AVAILABILITY = {
 def apply_contract(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
     """Project, order, round and cast to the contract's columns; days become text as yyyy-MM-dd.
 
-    A column the frame lacks is an error, a value that does not fit its type becomes NULL.
+    A column the frame lacks is an error, and so is a value that does not fit its type; NULL stays NULL.
     """
     columns = []
     for name, spec in contract.items():
         kind, _, digits = spec.partition(":")
-        value = F.col(name).try_cast(kind)
+        cast = F.col(name).try_cast(kind)
+        misfit = F.raise_error(F.concat(F.lit(f"{name} does not fit {kind}: "), F.col(name).cast("string")))
+        value = F.when(F.col(name).isNotNull() & cast.isNull(), misfit).otherwise(cast)
         columns.append((half_even(value, int(digits)) if digits else value).alias(name))
     return df.select(*columns)
 
@@ -72,14 +74,12 @@ def write_table(df: DataFrame, table: str, day: str = "dt") -> None:
     if not spark.catalog.tableExists(table):
         df.hint("rebalance", day).write.partitionBy(day).format("parquet").saveAsTable(table)
         return
-    # A write option does not reach an insert into a table, so the session setting is lent for it.
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        df.select(*spark.table(table).columns).hint("rebalance", day).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
+    # An insert overwrites single days only under a session setting, which other threads would see; the writer of
+    # the table's folder has an option for it, and the catalog then learns of new days.
+    location = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+    write_days(df.select(*spark.table(table).columns), location, day)
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
 
 
 def backfill(df: DataFrame, path: str, time: str, cutoff: str) -> None:

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         4,
         "tests",
         spark__sql__shuffle__partitions="3",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,6 +1,7 @@
 """Edges of the column expressions, windows, sources and selection."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from stockwise.functions import numeric as num
 from stockwise.operators import accuracy as acc
 from stockwise.operators import forecast as fc
 from stockwise.operators import quality, selection, series
+from stockwise import session
 from stockwise.operators import windows as win
 from stockwise.sources import readers, sinks
 
@@ -185,13 +187,62 @@ def test_recursion_floors_only_at_the_end(spark):
 
 
 def test_contract_casts_rounds_and_wants_every_column(spark):
-    df = spark.createDataFrame([("7", 1.25, "x")], "goods_id string, q double, dt string")
-    row = sinks.apply_contract(df, {"goods_id": "bigint", "q": "double:1", "dt": "date"}).collect()[0]
-    assert (row["goods_id"], row["q"], row["dt"]) == (7, 1.2, None)
+    df = spark.createDataFrame([("7", 1.25, "2024-01-01"), (None, None, None)], "goods_id string, q double, dt string")
+    contract = {"goods_id": "bigint", "q": "double:1", "dt": "date"}
+    assert [tuple(r) for r in sinks.apply_contract(df, contract).collect()] == [(7, 1.2, days(0)), (None, None, None)]
     with pytest.raises(Exception, match="absent"):
         sinks.apply_contract(df, {"absent": "int"}).collect()
 
 
+def test_contract_reports_values_that_do_not_fit(spark):
+    df = spark.createDataFrame([("x",)], "dt string")
+    with pytest.raises(Exception, match="dt does not fit date: x"):
+        sinks.apply_contract(df, {"dt": "date"}).collect()
+
+
+def test_errors_keep_small_differences(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.04), (1, 1.0, 1.03)], "k int, y double, p double")
+    row = acc.accuracy_metrics(df, ["k"], {"all": []}, "y", "p").collect()[0]
+    assert (row["MAE"], row["MSE"]) == (0.035, 0.0012)
+
+
+def test_any_negative_forecast_counts(spark):
+    df = spark.createDataFrame([(1, "m", -1e-9), (2, "m", 0.0)], "k int, model string, p double")
+    assert values(selection.negative_forecasts(df, ["k"], "p"), "k") == [1]
+
+
+def test_series_are_dense_from_their_first_day(spark):
+    df = spark.createDataFrame([(1, days(0), 2.0), (1, days(3), 1.0), (2, days(2), 5.0)], "k int, ds date, y double")
+    out = {(r["k"], r["ds"]): r["y"] for r in series.dense_from_first(df, ["k"], "ds", "y").collect()}
+    assert out == {(1, days(0)): 2.0, (1, days(1)): 0.0, (1, days(2)): 0.0, (1, days(3)): 1.0, (2, days(2)): 5.0, (2, days(3)): 0.0}
+
+
+def test_recursion_uses_the_whole_window(spark):
+    df = spark.createDataFrame([(1, days(i), float(i)) for i in range(200)], "k int, ds date, y double")
+    assert values(fc.recursive_mean(df, ["k"], "ds", "y", 1, window=180), "pred") == [109.5]
+
+
+def test_shared_folder_must_be_set():
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(unset)
+
+
+def test_nan_counts_as_missing(spark, tmp_path):
+    path = str(tmp_path / "nan")
+    spark.createDataFrame([(1, float("nan")), (2, 1.0)], "k int, v double").write.parquet(path)
+    assert sorted(values(readers.read_file(spark, path), "v"), key=str) == [1.0, None]
+
+
+def test_only_a_missing_path_is_computed(spark, tmp_path):
+    path = tmp_path / "not-parquet"
+    path.mkdir()
+    (path / "part-0.parquet").write_text("text")
+    with pytest.raises(Exception):
+        readers.read_or_compute(spark, str(path), lambda: spark.range(3)).collect()
+    assert (path / "part-0.parquet").read_text() == "text"
+
+
 def test_writes_replace_only_their_days(spark, tmp_path):
     path = str(tmp_path / "mart")
     df = spark.createDataFrame([(days(0), 1), (days(1), 2)], "dt date, v int")

@@ -46,7 +46,7 @@ def test_training_metrics_per_model(spark):
 
 def test_grid_search_scores_every_point(spark):
     rows = JOBS["grid_search"](spark, SF_DIR).collect()
-    assert len(rows) == 4 and all(r["mae"] > 0 for r in rows)
+    assert len(rows) == 9 and all(r["mae"] > 0 for r in rows)
 
 
 def test_clusters_label_every_series(spark):

@@ -248,7 +248,7 @@ def test_model_recursion_equals_step_by_step_prediction(spark):
     df = spark.createDataFrame([(1, days(i), v) for i, v in enumerate(history)], "k int, ds date, y double")
     features = ml.feature_names(["k"], (1, 7), dates=("day", "day_of_week"))
     rows = ml.training_rows(df, ["k"], "ds", "y", (1, 7), 30)
-    model = ml.fit_models(rows, features, {"forest": ml.regressors("y", small=True)["forest"]})["forest"]
+    model = ml.fit_models(rows, features, {"forest": ml.regressors("y", 5, 5)["forest"]})["forest"]
     got = [r["pred"] for r in ml.recursive_model(df, ["k"], "ds", "y", model, (1, 7), 4, checkpoint_every=3).orderBy("predict_dt").collect()]
     held = list(history)
     for step in range(4):
