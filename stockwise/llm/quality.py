@@ -148,7 +148,7 @@ def learn(
     """Fits on a bounded sample: the labelled documents whose hashed id falls below the share that gives ``sample_rows``
     of them on average (all, if there are fewer).
 
-    Each sampled document is read whole; what reaches the driver are its distinct feature buckets, at most
+    Each sampled document is read whole; what is gathered are its distinct feature buckets, at most
     ``2 ** bucket_bits`` of them.  Null labels, ids and texts are not learned from.
     """
     marked = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna().distinct()
@@ -170,13 +170,25 @@ def learn(
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["label", "doc_id", "buckets", "counts"])
 
-    gathered = map_batches(sample, run, "label int, doc_id long, buckets binary, counts binary").toPandas()
-    gathered = gathered.sort_values(["doc_id", "label", "buckets"])
-    rows = [
-        (np.frombuffer(b, np.int32), np.frombuffer(n, np.int32), int(c))
-        for b, n, c in zip(gathered.buckets, gathered.counts, gathered.label, strict=True)
-    ]
-    return train(rows, sorted({r[2] for r in rows}), bucket_bits)
+    def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            label, key, buckets, counts = (batch.column(k).to_pylist() for k in range(4))
+            rows += zip(key, label, buckets, counts, strict=True)
+        rows.sort()
+        own = [(np.frombuffer(b, np.int32), np.frombuffer(n, np.int32), c) for _, c, b, n in rows]
+        model = train(own, sorted({r[2] for r in own}), bucket_bits)
+        columns = [[model.classes], [model.weights.tobytes()], [model.bias.tobytes()]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["classes", "weights", "bias"])
+
+    # The bounded sample is gathered in one task, so that neither its features nor the training weigh on the driver.
+    kinds = (pa.list_(pa.int64()), pa.binary(), pa.binary())
+    gathered = map_batches(sample, run, "label int, doc_id long, buckets binary, counts binary").repartition(1)
+    found = map_batches(gathered, fit, "classes array<long>, weights binary, bias binary").first()
+    if found is None:
+        return train([], [], bucket_bits)
+    weights = np.frombuffer(bytes(found.weights), np.float32).reshape(1 << bucket_bits, len(found.classes))
+    return SubwordModel(list(found.classes), weights, np.frombuffer(bytes(found.bias), np.float64))
 
 
 def text_scores(model: SubwordModel, texts: pa.Array, positive: int) -> np.ndarray:
