@@ -7,7 +7,7 @@ warehouse, where a group has no such bound, go through aggregated histograms ins
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -159,6 +159,23 @@ def _folded(df: DataFrame, keys: Sequence[str], columns: Sequence[Column]) -> Da
     return df.groupBy(*keys).agg(days.alias("_days"))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, as the only element of an array."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _on_day(s: Column, d: Column) -> Column:
+    """Stock on hand with the day's arrivals, and the arrivals still to come."""
+    return F.struct(
+        (s["stock"] + _ledger_sum(s["ledger"], lambda x: x["day"] == d["dt"])).alias("on_hand"),
+        F.filter(s["ledger"], lambda x: x["day"] > d["dt"]).alias("open"),
+    )
+
+
+def _open_sum(ledger: Column) -> Column:
+    return F.aggregate(ledger, F.lit(0.0), lambda acc, x: acc + x["qty"])
+
+
 def reorder_plan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Orders of each store, goods and version without a limit on the supply.
 
@@ -179,22 +196,23 @@ def reorder_plan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
     def day(s: Column, d: Column) -> Column:
-        on_hand = s["stock"] + _ledger_sum(s["ledger"], lambda x: x["day"] == d["dt"])
-        open_later = F.filter(s["ledger"], lambda x: x["day"] > d["dt"])
-        pending = F.aggregate(open_later, F.lit(0.0), lambda acc, x: acc + x["qty"])
-        q = order_quantity(on_hand + pending, d["bp_consume"] + d["ss_ro"], d["vlt_consume"], d["dly_use_ratio"])
-        order = F.struct(d["dt"].alias("dt"), d["receive_day"].alias("receive_day"), q["order_calc"].alias("order_calc"), q["order_num"].alias("order_num"))
-        # The new order is bound once, as the only element of an array, and then used twice.
-        new = F.when(d["can_order"] == 1, F.array(order)).otherwise(F.array().cast(out))
-        bound = F.transform(
-            F.array(new),
-            lambda n: F.struct(
-                at_least(on_hand - d["pred_consume"]).alias("stock"),
-                F.concat(open_later, F.transform(n, lambda o: F.struct(o["receive_day"].alias("day"), o["order_num"].alias("qty")))).cast(LEDGER).alias("ledger"),
-                F.concat(s["orders"], n).cast(out).alias("orders"),
-            ),
+        def placed(available: Column) -> Column:
+            q = order_quantity(available, d["bp_consume"] + d["ss_ro"], d["vlt_consume"], d["dly_use_ratio"])
+            order = F.struct(d["dt"].alias("dt"), d["receive_day"].alias("receive_day"), q["order_calc"].alias("order_calc"), q["order_num"].alias("order_num"))
+            return F.when(d["can_order"] == 1, F.array(order)).otherwise(F.array().cast(out))
+
+        def evening(k: Column, new: Column) -> Column:
+            arrivals = F.transform(new, lambda o: F.struct(o["receive_day"].alias("day"), o["order_num"].alias("qty")))
+            return F.struct(
+                at_least(k["on_hand"] - d["pred_consume"]).alias("stock"),
+                F.concat(k["open"], arrivals).cast(LEDGER).alias("ledger"),
+                F.concat(s["orders"], new).cast(out).alias("orders"),
+            )
+
+        return bound(
+            _on_day(s, d),
+            lambda k: bound(bound(k["on_hand"] + _open_sum(k["open"]), placed), lambda new: evening(k, new)),
         )
-        return F.get(bound, F.lit(0))
 
     folded = plan.withColumn("_state", F.aggregate("_days", start, day))
     return folded.select(*keys, F.inline("_state.orders"))
@@ -240,28 +258,27 @@ def calloff_plan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
     def day(s: Column, d: Column) -> Column:
-        on_hand = s["stock"] + _ledger_sum(s["ledger"], lambda x: x["day"] == d["dt"])
-        open_later = F.filter(s["ledger"], lambda x: x["day"] > d["dt"])
-        pending = F.aggregate(open_later, F.lit(0.0), lambda acc, x: acc + x["qty"])
-        projected = at_least(on_hand + pending - d["lt_consume"])
         need = at_least(d["bp_lt_consume"] - d["lt_consume"] + d["ss_amount"])
-        wanted = ceil_to_multiple(at_least(need - projected), d["pur_use_ratio"])
-        bound = F.transform(
-            F.array(wanted),
-            lambda w: F.struct(
-                at_least(on_hand - d["theory_order_sum"]).alias("stock"),
+
+        def wanted(available: Column) -> Column:
+            projected = at_least(available - d["lt_consume"])
+            return bound(at_least(need - projected), lambda gap: ceil_to_multiple(gap, d["pur_use_ratio"]))
+
+        def evening(k: Column, w: Column) -> Column:
+            called = F.least(w, s["po"])
+            arrival = F.array(F.struct(d["finish"].alias("day"), called.alias("qty")))
+            order = F.array(F.struct(d["finish"].alias("dt"), called.alias("transit")))
+            return F.struct(
+                at_least(k["on_hand"] - d["theory_order_sum"]).alias("stock"),
                 at_least(s["po"] - w).alias("po"),
-                F.when(
-                    F.least(w, s["po"]) > 0,
-                    F.concat(open_later, F.array(F.struct(d["finish"].alias("day"), F.least(w, s["po"]).alias("qty")))),
-                ).otherwise(open_later).cast(LEDGER).alias("ledger"),
-                F.when(
-                    F.least(w, s["po"]) > 0,
-                    F.concat(s["orders"], F.array(F.struct(d["finish"].alias("dt"), F.least(w, s["po"]).alias("transit")))),
-                ).otherwise(s["orders"]).cast(out).alias("orders"),
-            ),
+                F.when(called > 0, F.concat(k["open"], arrival)).otherwise(k["open"]).cast(LEDGER).alias("ledger"),
+                F.when(called > 0, F.concat(s["orders"], order)).otherwise(s["orders"]).cast(out).alias("orders"),
+            )
+
+        return bound(
+            _on_day(s, d),
+            lambda k: bound(bound(k["on_hand"] + _open_sum(k["open"]), wanted), lambda w: evening(k, w)),
         )
-        return F.get(bound, F.lit(0))
 
     folded = plan.withColumn("_state", F.aggregate("_days", start, day))
     return folded.select(*keys, F.inline("_state.orders"))
