@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stockwise.operators import joins
-from stockwise.plans.inputs import KEYS, Inputs, sql
+from stockwise.plans.inputs import HORIZON, KEYS, Inputs, sql
 from stockwise.plans.registry import query
 
 
@@ -50,13 +50,14 @@ def join_outer_fill(inp: Inputs) -> DataFrame:
 
 @query(
     "range_join_cumsum",
-    sql("daily_demand", """SELECT a.wh_dept_id, a.goods_id, a.ds, b.ds AS predict_dt,
+    sql("daily_demand", f"""SELECT a.wh_dept_id, a.goods_id, a.ds, b.ds AS predict_dt,
       sum(b.y) OVER (PARTITION BY a.wh_dept_id, a.goods_id, a.ds ORDER BY b.ds) AS cumsum
-      FROM numbered a JOIN numbered b ON a.wh_dept_id = b.wh_dept_id AND a.goods_id = b.goods_id AND b.rn BETWEEN a.rn AND a.rn + 6""",
+      FROM numbered a JOIN numbered b ON a.wh_dept_id = b.wh_dept_id AND a.goods_id = b.goods_id AND b.rn BETWEEN a.rn AND a.rn + {HORIZON - 1}""",
         numbered="SELECT *, row_number() OVER (PARTITION BY wh_dept_id, goods_id ORDER BY ds) AS rn FROM daily_demand"),
 )
 def range_join_cumsum(inp: Inputs) -> DataFrame:
-    return joins.later_day_sums(inp.daily_demand, KEYS, "ds", "y", 7)
+    """Over the forecast horizon, like every plan that uses it."""
+    return joins.later_day_sums(inp.daily_demand, KEYS, "ds", "y", HORIZON)
 
 
 @query("join_semi", "SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
