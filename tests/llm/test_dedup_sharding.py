@@ -81,3 +81,24 @@ def test_shards_balance_and_keep_groups(docs_of):
     assert max(counts.values()) < 1.2 * len(rows) / 8
     assert all(len(s) == 1 for t, s in where.items() if not t.startswith("one hot"))
     assert len(where["one hot text, a third of all rows"]) > 1
+
+
+def test_shards_balance_bytes_tokens_and_rows(docs_of):
+    """A third of the rows have no text, so the hot group is small in bytes and large in rows."""
+    rows = [(k, f"text {k} " + "word " * (200 + k * 7919 % 200)) for k in range(4000)]
+    rows += [(10_000 + k, "" if k % 2 else None) for k in range(2000)]
+    found = pack_into_shards(docs_of(rows), 8, cell_rows=100).collect()
+    assert len(found) == len(rows)
+    text = dict(rows)
+    sums = {n: [0] * 8 for n in ("bytes", "tokens", "rows")}
+    for r in found:
+        sums["bytes"][r.shard] += r["size"]
+        sums["tokens"][r.shard] += (text[r.doc_id] or "").count(" ") + 1
+        sums["rows"][r.shard] += 1
+    for name, limit in (("bytes", 0.03), ("tokens", 0.05), ("rows", 0.05)):
+        mean = sum(sums[name]) / 8
+        assert max(abs(x - mean) for x in sums[name]) < limit * mean, (name, sums[name])
+    slots = defaultdict(list)
+    for r in found:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
