@@ -5,7 +5,7 @@ first coordinates carry most of the inner products (right singular vectors of a
 Cauchy-Schwarz bounds prune three times: a query visits a band only if the product of lengths can reach the k-th best score it
 already has from the longest vectors; inside a band a block of vectors is skipped in the same way; and of the
 rest only those pairs are computed whose partial sum plus the product of the residual lengths can reach it.  Scores are
-exact integers; pruning only ever uses upper bounds with a margin for rounding.
+exact integers, of any size where 64 bits may not do; pruning only ever uses upper bounds with a margin for rounding.
 """
 
 from __future__ import annotations
@@ -21,13 +21,20 @@ from stockwise.llm.langid import hashed_share
 from stockwise.llm.workers import map_batches
 from stockwise.session import staged
 
-#: Components beyond this take no part, so that scores fit 64 bits for up to 32,768 dimensions.
-LARGEST = 1 << 24
+#: Scaled components from here on raise an error: their squares are near the end of double precision.
+LARGEST = 2.0**490
+#: Inner products whose lengths multiply to less are summed in 64 bits, all others in integers of any size.
+NARROW = 2.0**62
+LONGEST = (1 << 63) - 1
 BLOCK = 1024
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``vec_id, values, length2``: floor(scale * x) of all components as 32-bit integers, and the squared length."""
+    """``vec_id, values, length2``: floor(scale * x) of all components, and the squared length.
+
+    Values are 32-bit integers; if one does not fit, all of the vector's are doubles (which hold them exactly), with one more byte as
+    mark.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -35,17 +42,22 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
             for key, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if key is None or not row.is_valid or row.values.null_count:
                     continue
-                x = np.floor(scale * row.values.to_numpy(zero_copy_only=False).astype(np.float64))
-                if not (np.abs(x) < LARGEST).all():  # also false for NaN
+                raw = row.values.to_numpy(zero_copy_only=False).astype(np.float64)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    x = np.floor(scale * raw)
+                if not np.isfinite(raw).all():
                     continue
+                most = np.abs(x).max(initial=0.0)
+                if not most < LARGEST:
+                    raise ValueError(f"vector {key}: a component is too large for exact scores")
                 keys.append(key)
-                rows.append(x.astype("<i4").tobytes())
-                squares.append(int((x.astype(np.int64) ** 2).sum()))
-            columns = [pa.array(keys, pa.int64()), pa.array(rows, pa.binary()), pa.array(squares, pa.int64())]
+                rows.append(x.astype("<i4").tobytes() if most < 1 << 31 else x.astype("<f8").tobytes() + b"\0")
+                squares.append(float((x**2).sum()))
+            columns = [pa.array(keys, pa.int64()), pa.array(rows, pa.binary()), pa.array(squares, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "values", "length2"])
 
     rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].alias("vector"))
-    whole = map_batches(rows, run, "vec_id long, values binary, length2 long")
+    whole = map_batches(rows, run, "vec_id long, values binary, length2 double")
     return whole.groupBy("vec_id").agg(F.min(F.struct("values", "length2")).alias("v")).select("vec_id", "v.*")
 
 
@@ -53,11 +65,23 @@ def matrix(rows: list[bytes], width: int) -> np.ndarray:
     """One row per vector, shorter ones padded with zeros."""
     out = np.zeros((len(rows), width))
     for k, r in enumerate(rows):
-        x = np.frombuffer(r, "<i4")
+        x = np.frombuffer(r, "<f8", len(r) // 8) if len(r) % 4 else np.frombuffer(r, "<i4")
         out[k, : len(x)] = x
     return out
 
 
+def exact_scores(rows: np.ndarray, query: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers; ``reach``: upper bounds of their size.  Python integers if one may not fit 64 bits."""
+    wide = reach >= NARROW
+    narrow = np.where(wide[:, None], 0.0, rows).astype(np.int64) @ query.astype(np.int64) if not wide.all() else np.zeros(len(rows), np.int64)
+    if not wide.any():
+        return narrow
+    out = narrow.astype(object)
+    whole = np.frompyfunc(int, 1, 1)
+    out[wide] = whole(rows[wide]) @ whole(query)
+    return out
+
+
 class Rotated:
     """Vectors by descending length, with their rotation's first coordinates and the lengths of what is left."""
 
@@ -85,12 +109,15 @@ class Rotated:
             for row in np.flatnonzero(maybe.any(axis=1)):
                 q = open_queries[row]
                 chosen = np.flatnonzero(maybe[row])
-                scores = (self.exact[at][chosen].astype(np.int64) @ queries[q].astype(np.int64)).astype(np.int64)
+                scores = exact_scores(self.exact[at][chosen], queries[q], lengths[q] * self.lengths[at][chosen])
                 ids, scores = np.concatenate((found[q][0], self.ids[at][chosen])), np.concatenate((found[q][1], scores))
-                order = np.lexsort((ids, -scores))[:k]
+                if scores.dtype == object:
+                    order = np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k])
+                else:
+                    order = np.lexsort((ids, -scores))[:k]
                 found[q] = ids[order], scores[order]
                 if len(order) == k:
-                    floor[q] = max(floor[q], scores[order[-1]])
+                    floor[q] = max(floor[q], float(scores[order[-1]]))
         return found
 
 
@@ -121,16 +148,22 @@ def top_k(
     Components are floor(``scale`` * x); of equal scores the smaller id comes first; a query is no candidate of
     its own.  The rotation is learned from about ``sample_rows`` vectors, taken by a hash of the id; it decides speed only.
 
-    Defined cases: rows with a null id, a null vector, a null, non-finite or huge component (65,536 or more at the default
-    scale) take no part.  Rows that repeat an id count once (the smallest vector in byte order).  Of vectors of different
+    Scores are exact for every finite vector.  A score among the ``k`` best that does not fit a long raises an error, as does a
+    scaled component of 2 ** 490 or more.
+
+    Defined cases: rows with a null id, a null vector, a null or non-finite component take no part.  Rows that repeat an id count once (the smallest vector in byte order).  Of vectors of different
     dimension the shorter one is padded with zeros.  An empty table gives no rows.  Other columns are not read.
     """
     spark = vectors.sparkSession
     whole = staged(quantised(vectors, id_col, vector_col, scale), "vectors")
-    rows, bytes_ = whole.agg(F.count(F.lit(1)), F.max(F.octet_length("values"))).first()
-    width = max(1, (bytes_ or 0) // 4)
+    n = F.octet_length("values")
+    rows, width = whole.agg(F.count(F.lit(1)), F.max(F.when(n % 4 == 0, n / 4).otherwise((n - 1) / 8))).first()
+    width = max(1, int(width or 0))
     sample = whole.filter(hashed_share("vec_id") < sample_rows / max(1, rows)).select("values").collect()
     moment = matrix([bytes(r[0]) for r in sample], width)
+    if len(moment):  # a few outliers must not take the rotation's coordinates
+        lengths = np.sqrt((moment**2).sum(axis=1))
+        moment *= np.minimum(1.0, 10 * max(1.0, np.median(lengths)) / np.maximum(lengths, 1.0))[:, None]
     _, axes = np.linalg.eigh(moment.T @ moment)
     basis = axes[:, ::-1][:, : min(head, width)].copy()
 
@@ -152,13 +185,13 @@ def top_k(
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floors)], names=["vec_id", "values", "length2", "floor"])
 
     queries = whole.filter(F.col("vec_id") % every == 0)
-    queries = map_batches(queries, seed, "vec_id long, values binary, length2 long, floor double")
+    queries = map_batches(queries, seed, "vec_id long, values binary, length2 double, floor double")
     bands = max(1, -(-rows // band_rows))
     banded = whole.repartitionByRange(bands, F.desc("length2"), "vec_id").withColumn("band", F.spark_partition_id())
     banded = staged(banded, "bands")
     lengths = banded.groupBy("band").agg(F.max("length2").alias("most"))
     asked = queries.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(bands - 1)))).join(lengths, "band")
-    reach = F.sqrt(F.col("length2").cast("double")) * F.sqrt(F.col("most").cast("double"))
+    reach = F.sqrt("length2") * F.sqrt("most")
     asked = asked.filter(reach * 1.000001 + 0.001 >= F.col("floor"))
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,18 +215,24 @@ def top_k(
                     ids = np.concatenate([h[0] for h in held])
                     ready = Rotated(ids, np.concatenate([h[1] for h in held]), basis)
                 found = ready.best(keys[a:b], part, basis, k, floors[a:b])
+                scores = np.concatenate([s for _, s in found])
+                over = (scores > LONGEST).astype(np.int32) - (scores < -LONGEST - 1).astype(np.int32)
                 columns = [
                     pa.array(np.repeat(keys[a:b], [len(x) for x, _ in found])),
                     pa.array(np.concatenate([x for x, _ in found])),
-                    pa.array(np.concatenate([s for _, s in found])),
+                    pa.array(np.where(over == 0, scores, 0).astype(np.int64)),
+                    pa.array(over),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "over"])
 
     rows_ = banded.select("band", "vec_id", "values", F.lit(float("nan")).alias("floor")).unionByName(
         asked.select("band", "vec_id", "values", "floor")
     )
     rows_ = rows_.repartition(bands, "band").sortWithinPartitions("band", F.isnan("floor").desc(), "vec_id")
-    found = map_batches(rows_, search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # over: 1 above and -1 below the longs; such scores only matter if they are among the k best.
+    found = map_batches(rows_, search, "query_id long, vec_id long, score long, over int")
+    order = Window.partitionBy("query_id").orderBy(F.desc("over"), F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    unfit = F.raise_error(F.concat(F.lit("score does not fit a long: query "), F.col("query_id").cast("string"))).cast("long")
+    score = F.when(F.col("over") == 0, F.col("score")).otherwise(unfit)
+    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))

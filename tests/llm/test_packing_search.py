@@ -3,6 +3,7 @@ from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from stockwise.llm.packing import best_fit, byte_lengths, joint_plan, pack, sequence_cost, sized_runs
 from stockwise.llm.topk import top_k
@@ -109,3 +110,39 @@ def test_top_k_small_tables(spark):
     assert top_k(spark.createDataFrame([], schema)).collect() == []
     few = [(0, [1.0, 2.0]), (1, [0.5, 0.5]), (50, [-1.0, 3.0])]
     assert sorted(map(tuple, top_k(spark.createDataFrame(few, schema)).collect())) == brute(few, 5, 50)
+
+
+def wide_rows():
+    r = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in r.normal(size=6)] + [0.0, 0.0]) for i in range(300)]
+    rows += [(400 + i, [float(x) for x in r.normal(size=6) * 10.0 ** (4 + i % 3)] + [0.0, 0.0]) for i in range(60)]
+    # Products beyond 64 bits that cancel: the score itself fits.
+    return rows + [(500, [1.0] + [0.0] * 5 + [1e12, 1e12]), (501, [2.0] + [0.0] * 5 + [1e12, -1e12])]
+
+
+def exact_brute(rows, k, every):
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    out = []
+    for q in (i for i in whole if i % every == 0):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def test_top_k_keeps_large_components(spark):
+    rows = wide_rows()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, top_k(df, 5, 50, band_rows=64, head=3).select("query_id", "rank", "vec_id", "score").collect()))
+    expected = exact_brute(rows, 5, 50)
+    assert all(abs(r[3]) < 2**63 for r in expected) and any(r[0] == 500 for r in expected)
+    assert found == expected
+
+
+def test_top_k_scores_beyond_long(spark):
+    schema = "vec_id long, embedding array<double>"
+    # Far below the longs, but not among the best.
+    rows = [(0, [1e15, 1.0]), (1, [-1e15, 0.0]), (2, [0.0, 2.0])]
+    assert sorted(map(tuple, top_k(spark.createDataFrame(rows, schema), 1).collect())) == exact_brute(rows, 1, 50)
+    for bad in ([(0, [1e15, 1.0]), (1, [1e15, 0.0])], [(0, [1e15, 1.0]), (1, [-1e15, 0.0])], [(0, [1e200, 0.0]), (1, [1.0, 0.0])]):
+        with pytest.raises(Exception, match="does not fit a long|too large"):
+            top_k(spark.createDataFrame(bad, schema), 1).collect()
