@@ -78,13 +78,11 @@ def train(
     steps: int = 400,
     batch: int = 64,
     rate: float = 0.3,
-    least_share: float = 0.02,
     seed: int = 11,
 ) -> SubwordModel:
     """Minibatch gradient descent with a step size per parameter that falls with the gradients seen (AdaGrad).
 
-    rows: (buckets, counts, class).  Buckets that less than ``least_share`` of the rows hold keep a zero vector, but count in the
-    averages.
+    rows: (buckets, counts, class).  Buckets that only one of the rows holds keep a zero vector, but count in the averages.
     """
     rng = np.random.default_rng(seed)
     place = {c: k for k, c in enumerate(classes)}
@@ -94,7 +92,7 @@ def train(
     docs = np.zeros(1 << bucket_bits, np.int64)
     for buckets, _, _ in rows:
         docs[buckets] += 1
-    used = docs >= max(2, least_share * len(rows))
+    used = docs >= 2
     vectors = rng.uniform(-1 / dim, 1 / dim, (1 << bucket_bits, dim)).astype(np.float32) * used[:, None]
     layer = rng.uniform(-1, 1, (dim, len(classes))).astype(np.float32)
     kept = []

@@ -56,6 +56,26 @@ def test_model_ignores_order_of_slices():
     assert rows == parts
 
 
+def test_rare_class_is_learned_from_its_own_words():
+    """One document in a hundred is bad; what tells it apart is in no other class, which has chance words in its place."""
+    r = np.random.default_rng(3)
+    common = np.array(["river", "stone", "green", "walks", "under", "morning", "seven", "lamps"])
+    own = np.array(["buy$$$", "now$$$", "cheap$$$", "win$$$"])
+
+    def texts(n, bad):
+        chance = lambda: own if bad else np.array([f"{x:06x}" for x in r.integers(0, 1 << 24, 30)])
+        return [" ".join(np.where(r.random(30) < 0.3, r.choice(chance(), 30), r.choice(common, 30))) for _ in range(n)]
+
+    learned = texts(1980, False) + texts(20, True)
+    rows = []
+    for k, part in ((k, part) for k, t in enumerate(learned) for part in slices(pa.array([t]))):
+        found, counts = np.unique(np.concatenate([b for b, _ in quality.features(part)]), return_counts=True)
+        rows.append((found, counts, int(k < 1980)))
+    model = quality.train(rows, [0, 1])
+    assert (quality.text_scores(model, pa.array(texts(200, True)), 1) < 0.5).mean() > 0.97
+    assert (quality.text_scores(model, pa.array(texts(100, False)), 1) >= 0.7).all()
+
+
 def _feature_rows(part):
     found = quality.features(part)
     return [tuple(tuple(sorted(b[r[k] : r[k + 1]].tolist())) for b, r in found) for k in range(part.rows)]
