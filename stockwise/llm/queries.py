@@ -142,3 +142,40 @@ def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stockwise.llm.topk import top_k
 
     return top_k(table(spark, sf_dir, "embeddings"), 5, 50)
+
+
+#: A word of a text, as the run queries see it.
+BLANKS = r"[\x20\x09-\x0D]+"
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` where a tenth of the documents, chosen by their id, repeat some of their words to the end.
+
+    With h = crc32(decimal id) and g = h div 10, documents with h % 10 = 0 get word a + (i - a) % p for each of their n words
+    i >= a, where a = g % n and p = 1 + (n - a) div (3 + g % 8); all others, and null ids, stay as they are.
+    """
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), BLANKS), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    rows = rows.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumns(
+        {"n": F.size("words").cast("long"), "g": F.expr("h div 10")}
+    )
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("transform(words, (w, i) -> IF(i < a, w, words[int(a + (i - a) % p)]))")
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.periodic import periodic_runs
+
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    # The list is ordered by start and period, so the first of equal exponents stays.
+    best = "reduce(runs, CAST(NULL AS struct<start: long, length: long, period: long>), (b, r) -> IF(b IS NULL OR r.length * b.period > b.length * r.period, r, b))"
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", F.expr(best)).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

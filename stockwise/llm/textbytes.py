@@ -146,3 +146,47 @@ def grams(data: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.
             ok &= ~double[k : k + size]
     at = np.flatnonzero(ok)
     return codes[at], np.searchsorted(at, bounds - 1)
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The bytes of many spans, one after the other."""
+    kind = np.int32 if len(data) < 1 << 31 and lengths.sum() < 1 << 31 else np.int64
+    ends = np.cumsum(lengths)
+    at = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    at += np.arange(len(at), dtype=kind)
+    return data[at]
+
+
+def span_numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers byte spans so that equal numbers mean equal bytes: the number of each span, a span per number, hashes per number.
+
+    Spans are numbered by hash and then compared, byte by byte, with the span that stands for their number.
+    """
+    hashes = span_hashes(data, starts, ends)
+    distinct, first, numbers = np.unique(hashes, return_index=True, return_inverse=True)
+    lengths, named = ends - starts, first[numbers]
+    other = np.flatnonzero(named != np.arange(len(starts)))
+    same = np.array_equal(lengths[other], lengths[named[other]]) and np.array_equal(
+        gathered(data, starts[other], lengths[other]), gathered(data, starts[named[other]], lengths[other])
+    )
+    if same:
+        return numbers, first, distinct
+    raw, known = data.tobytes(), {}
+    words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    numbers = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+    _, first = np.unique(numbers, return_index=True)
+    return numbers, first, hashes[first]
+
+
+def joined_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One string per group ``bounds[k]`` to ``bounds[k + 1]`` of consecutive spans: the spans, joined by one blank."""
+    lengths = ends - starts + 1
+    out = gathered(np.append(data, np.uint8(0x20)), starts, lengths)
+    stops = np.concatenate(([0], np.cumsum(lengths)))
+    out[stops[1:] - 1] = 0x20
+    filled = bounds[1:] > bounds[:-1]
+    keep = np.ones(len(out), bool)
+    keep[stops[bounds[1:][filled]] - 1] = False
+    offsets = np.concatenate(([0], np.cumsum(stops[bounds[1:]] - stops[bounds[:-1]] - filled)))
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out[keep])]
+    return pa.Array.from_buffers(pa.large_string(), len(bounds) - 1, buffers)
