@@ -179,3 +179,43 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+PHRASES = r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+    grams AS (
+        SELECT lang, 1 AS size, unnest(w) AS phrase FROM words
+        UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+        UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words),
+    counts AS (SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL),
+    totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+    cuts AS (
+        SELECT c.lang, c.size, c.phrase, c.n AS a, k.k, x.n AS l, y.n AS r,
+               CAST(1000000::HUGEINT * c.n * c.n // (x.n::HUGEINT * y.n) AS BIGINT) AS score
+        FROM (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2 AND n >= 10) c
+        JOIN (VALUES (1), (2)) k(k) ON k.k < c.size
+        JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k.k], ' ')
+        JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k.k + 1:c.size], ' ')),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inner_phrases AS (
+        SELECT lang, phrase, max(a) AS longer
+        FROM (SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase
+              FROM best WHERE size = 3)
+        GROUP BY ALL)
+    SELECT b.lang, CAST(row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS INTEGER) AS rank,
+           b.phrase, b.a, b.l, b.r, t.n, b.score
+    FROM best b JOIN totals t ON t.lang = b.lang LEFT JOIN inner_phrases i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE b.size = 3 OR i.longer IS NULL OR 100 * i.longer < 50 * b.a
+    QUALIFY row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) <= 2000
+    """
+
+
+@query("op13_phrase_collocations", PHRASES)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
