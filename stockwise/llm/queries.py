@@ -219,3 +219,29 @@ def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stockwise.llm.phrases import collocations
 
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_line_dedup",
+    r"""
+    WITH split AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+        FROM documents),
+    keyed AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key FROM split),
+    frequent AS (
+        SELECT line_key, max(doc_id) AS newest FROM keyed WHERE length(line_key) >= 20
+        GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3),
+    marked AS (SELECT k.*, f.newest IS NOT NULL AND k.doc_id <> f.newest AS dropped FROM keyed k LEFT JOIN frequent f USING (line_key))
+    SELECT doc_id, count(*) AS n_lines, CAST(count_if(dropped) AS BIGINT) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """,
+)
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stockwise.llm.linededup import LineIndex
+
+    docs = table(spark, sf_dir, "documents")
+    index = LineIndex(spark)
+    postings = index.insert(docs)
+    return index.deduplicated(docs, postings=postings).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
