@@ -35,17 +35,75 @@ def lag_features(
     """Mean, deviation, minimum and maximum of the last ``w`` rows before the current one.
 
     The frames count rows, not days.  A one-row window yields its mean only.
+
+    The cost per row does not grow with the windows' lengths but with the number of their binary digits: count, sum, squared
+    distance from the mean, minimum and maximum are known for stretches of 1, 2, 4, ... rows, each joined from two of
+    the one before, and a window is put together from a few of them.  All of it reads other rows at fixed distances in one order of the
+    series, so there is one shuffle and one sort.  Sums of whole amounts are exact, and squared distances are joined by their
+    means, without differences of large numbers.
     """
+    windows = list(windows)
     spec = by(keys, time)
+    known = F.col(value).isNotNull()
+    table = df.withColumns(
+        {
+            "_n0": known.cast("double"), "_s0": F.when(known, F.col(value)).otherwise(0.0), "_m0": F.lit(0.0),
+            "_low0": F.col(value), "_high0": F.col(value),
+        }
+    )
+    levels = max(w.bit_length() - 1 for w in windows)
+    for k in range(1, levels + 1):
+        before = {c: F.lag(f"_{c}{k - 1}", 1 << (k - 1)).over(spec) for c in ("n", "s", "m", "low", "high")}
+        table = table.withColumns({f"_b{c}": col for c, col in before.items()})
+        table = table.withColumns(
+            {
+                **{f"_{c}{k}": col for c, col in _joined_spread(str(k - 1), "_b{}").items()},
+                f"_low{k}": F.least(f"_low{k - 1}", "_blow"),
+                f"_high{k}": F.greatest(f"_high{k - 1}", "_bhigh"),
+            }
+        )
+
+    # The parts of every window, from the newest rows on.
+    lags, parts = {}, {}
+    for w in windows:
+        top, offset = w.bit_length() - 1, 1
+        parts[w] = 0
+        for k in range(top, -1, -1):
+            if w >> k & 1:
+                lags |= {f"_{c}_{w}_{parts[w]}": F.lag(f"_{c}{k}", offset).over(spec) for c in ("n", "s", "m")}
+                parts[w], offset = parts[w] + 1, offset + (1 << k)
+        if w > 1:
+            for c, pick in (("low", F.least), ("high", F.greatest)):
+                # Two stretches that may overlap.
+                lags[f"_{c}_{w}"] = pick(F.lag(f"_{c}{top}", 1).over(spec), F.lag(f"_{c}{top}", w - (1 << top) + 1).over(spec))
+    table = table.withColumns(lags)
+    for k in range(1, max(parts.values())):
+        table = table.withColumns(
+            {
+                f"_{c}_{w}_0": col
+                for w in windows
+                if k < parts[w]
+                for c, col in _joined_spread(f"_{w}_0", "_{}" + f"_{w}_{k}").items()
+            }
+        )
     columns: dict[str, Column] = date_parts(F.col(time)) if with_date_parts else {}
     for w in windows:
-        frame = spec.rowsBetween(-w, -1)
-        columns[f"lag_{w}_mean"] = F.avg(value).over(frame)
+        n = F.col(f"_n_{w}_0")
+        columns[f"lag_{w}_mean"] = F.try_divide(F.col(f"_s_{w}_0"), n)
         if w > 1:
-            columns[f"lag_{w}_std"] = F.stddev_samp(value).over(frame)
-            columns[f"lag_{w}_min"] = F.min(value).over(frame)
-            columns[f"lag_{w}_max"] = F.max(value).over(frame)
-    return df.withColumns(columns)
+            columns[f"lag_{w}_std"] = F.sqrt(F.try_divide(F.when(n > 1, F.col(f"_m_{w}_0")), n - 1))
+            columns[f"lag_{w}_min"] = F.col(f"_low_{w}")
+            columns[f"lag_{w}_max"] = F.col(f"_high_{w}")
+    return table.withColumns(columns).select(*df.columns, *columns)
+
+
+def _joined_spread(first: str, second: str) -> dict[str, Column]:
+    """Count, sum and squared distance from the mean of two stretches together; the second may be missing."""
+    n1, s1, m1 = (F.col(f"_{c}{first}") for c in ("n", "s", "m"))
+    n2, s2, m2 = (F.coalesce(F.col(second.format(c)), F.lit(0.0)) for c in ("n", "s", "m"))
+    apart = F.try_divide(s1, n1) - F.try_divide(s2, n2)
+    between = F.coalesce(apart * apart * F.try_divide(n1 * n2, n1 + n2), F.lit(0.0))
+    return {"n": n1 + n2, "s": s1 + s2, "m": m1 + m2 + between}
 
 
 def trailing_means(df: DataFrame, keys: Sequence[str], time: str, value: str, windows: Iterable[int]) -> DataFrame:

@@ -1,6 +1,8 @@
 """Edges of the column expressions, windows, sources and selection."""
 
 import datetime as dt
+import random
+import statistics
 from types import SimpleNamespace
 
 import pytest
@@ -300,3 +302,27 @@ def test_row_counts_of_neighbouring_days(spark):
     df = spark.createDataFrame([(days(0),)] * 10 + [(days(1),)] * 5 + [(days(2),)] * 10, "ds date")
     out = quality.row_count_ratio(df, "ds").orderBy("ds").collect()
     assert [(r["ratio"], r["state"]) for r in out] == [(0.5, "low"), (2.0, "high")]
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_lag_features_equal_frames(spark, whole):
+    """Running sums and sparse tables against the frames they stand for."""
+    r = random.Random(5)
+    rows = []
+    for key in range(4):
+        for d in range(150):
+            y = None if r.random() < 0.1 else float(r.randint(0, 60)) if whole else r.random() * 1e5
+            rows.append((key, d, 7.0 if key == 3 and d > 20 and y is not None else y))
+    df = spark.createDataFrame(rows, "k int, t int, y double")
+    got = {(r.k, r.t): r.asDict() for r in win.lag_features(df, ["k"], "t", "y", (1, 2, 7, 28, 64, 120), False).collect()}
+    values = {k: [y for _, _, y in sorted(x for x in rows if x[0] == k)] for k in range(4)}
+    for key, t, _ in rows:
+        for w in (1, 2, 7, 28, 64, 120):
+            held = [v for v in values[key][max(0, t - w) : t] if v is not None]
+            want = {"mean": sum(held) / len(held) if held else None}
+            if w > 1:
+                want |= {"min": min(held, default=None), "max": max(held, default=None), "std": statistics.stdev(held) if len(held) > 1 else None}
+            for name, v in want.items():
+                found = got[key, t][f"lag_{w}_{name}"]
+                assert (found is None) == (v is None), (key, t, w, name)
+                assert v is None or found == pytest.approx(v, rel=1e-9, abs=1e-9), (key, t, w, name)
