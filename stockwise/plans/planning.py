@@ -92,21 +92,24 @@ def warehouse_balance(inp: Inputs) -> DataFrame:
     return rep.warehouse_balance(stock, arrivals, orders, keys)
 
 
+REORDERED = f"""SELECT {PLAN_SQL}, NULL::DATE AS dt, NULL::DATE AS receive_day, 0::BIGINT AS can_order, 0::BIGINT AS rn, max(shop_beg) AS stock,
+    coalesce(list({{'rd': dt, 'q': expected_receive}}) FILTER (WHERE expected_receive > 0), []) AS ledger, 0e0 AS order_calc, 0e0 AS order_num
+  FROM numbered GROUP BY 1, 2, 3
+  UNION ALL
+  SELECT {PLAN_SQL}, dt, receive_day, can_order, rn, greatest(0, stock + rec - pred_consume),
+    CASE WHEN can_order = 1 THEN list_append(ledger, {{'rd': receive_day, 'q': order_num}}) ELSE ledger END, order_calc, order_num FROM (
+    SELECT *, {PACKED} AS order_num FROM (
+      SELECT *, greatest(0, greatest(0, bp_consume + ss_ro) - greatest(0, stock + rec + pend - vlt_consume)) AS order_calc FROM (
+        SELECT n.*, f.stock, f.ledger,
+          coalesce(list_sum(list_transform(list_filter(f.ledger, lambda e: e.rd = n.dt), lambda e: e.q)), 0) AS rec,
+          coalesce(list_sum(list_transform(list_filter(f.ledger, lambda e: e.rd > n.dt), lambda e: e.q)), 0) AS pend
+        FROM folded f JOIN numbered n ON f.version_id = n.version_id AND f.dept_id = n.dept_id AND f.goods_id = n.goods_id AND n.rn = f.rn + 1)))"""
+
+
 @query(
     "reorder_plan",
     sql("store_plan", f"SELECT {PLAN_SQL}, dt, receive_day, order_calc, order_num FROM folded WHERE can_order = 1", recursive=True, numbered=NUMBERED,
-        folded=f"""SELECT {PLAN_SQL}, NULL::DATE AS dt, NULL::DATE AS receive_day, 0::BIGINT AS can_order, 0::BIGINT AS rn, max(shop_beg) AS stock,
-            coalesce(list({{'rd': dt, 'q': expected_receive}}) FILTER (WHERE expected_receive > 0), []) AS ledger, 0e0 AS order_calc, 0e0 AS order_num
-          FROM numbered GROUP BY 1, 2, 3
-          UNION ALL
-          SELECT {PLAN_SQL}, dt, receive_day, can_order, rn, greatest(0, stock + rec - pred_consume),
-            CASE WHEN can_order = 1 THEN list_append(ledger, {{'rd': receive_day, 'q': order_num}}) ELSE ledger END, order_calc, order_num FROM (
-            SELECT *, {PACKED} AS order_num FROM (
-              SELECT *, greatest(0, greatest(0, bp_consume + ss_ro) - greatest(0, stock + rec + pend - vlt_consume)) AS order_calc FROM (
-                SELECT n.*, f.stock, f.ledger,
-                  coalesce(list_sum(list_transform(list_filter(f.ledger, lambda e: e.rd = n.dt), lambda e: e.q)), 0) AS rec,
-                  coalesce(list_sum(list_transform(list_filter(f.ledger, lambda e: e.rd > n.dt), lambda e: e.q)), 0) AS pend
-                FROM folded f JOIN numbered n ON f.version_id = n.version_id AND f.dept_id = n.dept_id AND f.goods_id = n.goods_id AND n.rn = f.rn + 1)))"""),
+        folded=REORDERED),
 )
 def reorder_plan(inp: Inputs) -> DataFrame:
     return rep.reorder_plan(inp.store_plan, PLAN)
