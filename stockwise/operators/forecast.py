@@ -157,6 +157,69 @@ def trend_season(
     return steps.select(*group, "predict_dt", pred.alias("pred"))
 
 
+#: Solution of the normal equations of ``a + b x + d h`` (h: the days after a knot) by Cramer's rule, as SQL over their sums.
+BEND = {
+    "det": "n * (sxx * shh - sxh * sxh) - sx * (sx * shh - sxh * sh) + sh * (sx * sxh - sxx * sh)",
+    "base": "(sy * (sxx * shh - sxh * sxh) - sx * (sxy * shh - sxh * syh) + sh * (sxy * sxh - sxx * syh)) / det",
+    "slope": "(n * (sxy * shh - syh * sxh) - sy * (sx * shh - sxh * sh) + sh * (sx * syh - sxy * sh)) / det",
+    "bend": "(n * (sxx * syh - sxh * sxy) - sx * (sx * syh - sxy * sh) + sy * (sx * sxh - sxx * sh)) / det",
+    "error": "syy - base * sy - slope * sxy - bend * syh",
+}
+
+
+def bent_trend(
+    df: DataFrame, keys: Sequence[str], time: str, value: str, first: Column, last: Column, knots: int = 9, least_gain: float = 0.1
+) -> DataFrame:
+    """Piecewise-linear trend with one change of slope per key: ``keys, first_day, knot, base, slope, bend``, 0 as bend without a change.
+
+    Candidate knots divide the days from ``first`` to ``last`` (columns of the keys) evenly.  One pass sums what the normal equations of all
+    candidates need, combined on the map side, so a key's rows are never gathered; the knot with the least squared error wins, the
+    earliest of equals, if it takes off at least ``least_gain`` of the error of a straight line.  ``base`` is the level on the first day, ``slope``
+    and ``slope + bend`` the change per day before and after the knot.  Keys with fewer than four rows give nothing.
+    """
+    x, y = F.col("_x"), F.col(value).cast("double")
+    rows = df.where(F.col(value).isNotNull()).withColumns(
+        {"_first": first, "_x": F.date_diff(time, first).cast("double"), "_span": F.date_diff(last, first)}
+    )
+
+    def knot(j: int) -> Column:
+        return F.floor(F.col("_span") * j / (knots + 1)).cast("double")
+
+    sums = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(x).alias("sx"), F.sum(x * x).alias("sxx")]
+    sums += [F.sum(y).alias("sy"), F.sum(x * y).alias("sxy"), F.sum(y * y).alias("syy")]
+    bent = []
+    for j in range(1, knots + 1):
+        h = F.greatest(x - knot(j), F.lit(0.0))
+        parts = {"sh": h, "sxh": x * h, "shh": h * h, "syh": y * h}
+        sums += [F.max(knot(j)).alias(f"_at{j}"), *(F.sum(c).alias(f"_{name}{j}") for name, c in parts.items())]
+        bent.append(F.struct(F.col(f"_at{j}").alias("at"), *(F.col(f"_{name}{j}").alias(name) for name in parts)))
+    moments = rows.groupBy(*keys, "_first").agg(*sums).where(F.col("n") >= 4)
+    moments = moments.withColumn("_det", F.expr("n * sxx - sx * sx")).withColumn("_slope", F.coalesce(F.expr("try_divide(n * sxy - sx * sy, _det)"), F.lit(0.0)))
+    moments = moments.withColumn("_base", F.expr("(sy - _slope * sx) / n")).withColumn("_error", F.expr("syy - _base * sy - _slope * sxy"))
+    tried = moments.select("*", F.inline(F.array(*bent))).withColumn("det", F.expr(BEND["det"])).where(F.col("det") > 0)
+    for name in ("base", "slope", "bend", "error"):
+        tried = tried.withColumn(name, F.expr(BEND[name]))
+    best = tried.groupBy(*keys).agg(F.min(F.struct("error", "at", "base", "slope", "bend")).alias("_best"))
+    found = moments.select(*keys, "_first", "_base", "_slope", "_error", "syy").join(best, list(keys), "left")
+    # An error within the rounding of the sums is none that a knot could take off.
+    real = F.col("_error") > F.col("syy") * 1e-9
+    changed = F.coalesce(real & (F.col("_best.error") <= F.col("_error") * (1 - least_gain)), F.lit(False))
+
+    def chosen(name: str, plain: Column) -> Column:
+        return F.when(changed, F.col(f"_best.{name}")).otherwise(plain).alias(name)
+
+    at = F.when(changed, F.date_add("_first", F.col("_best.at").cast("int"))).alias("knot")
+    return found.select(*keys, F.col("_first").alias("first_day"), at, chosen("base", F.col("_base")), chosen("slope", F.col("_slope")), chosen("bend", F.lit(0.0)))
+
+
+def bent_forecast(trends: DataFrame, keys: Sequence[str], start: Column, horizon: int) -> DataFrame:
+    """The trends of :func:`bent_trend` carried on over ``horizon`` days from ``start``: ``keys, predict_dt, pred``, not below zero."""
+    days = trends.withColumn("predict_dt", F.explode(days_from(start, horizon)))
+    after = F.coalesce(F.greatest(F.date_diff("predict_dt", "knot"), F.lit(0)), F.lit(0))
+    pred = F.col("base") + F.col("slope") * F.date_diff("predict_dt", "first_day") + F.col("bend") * after
+    return days.select(*keys, "predict_dt", at_least(pred).alias("pred"))
+
+
 # Smoothing weights tried per series.  The smallest weight of each row stands for
 # "let the optimiser choose", which has no counterpart here.
 ALPHAS = (0.1, 0.3, 0.5, 0.7)
@@ -272,3 +335,38 @@ def holt_winters_search(df: DataFrame, keys: Sequence[str], time: str, value: st
         length.cast("long").alias("length"),
         F.col("_best.ACC").alias("ACC"),
     )
+
+
+def holt_winters_tuned(df: DataFrame, keys: Sequence[str], time: str, value: str, window: int, rounds: int = 5) -> DataFrame:
+    """Weights refined from the best of the grid: ``keys, alpha, beta, gamma, periods, length, ACC``.
+
+    Each round tries every weight a step up and down, within (0, 1), keeps what raises the training accuracy, and halves the step; so the
+    accuracy is never below the grid's best.  All of it is one fold inside the row of a key.
+    """
+    found = holt_winters_search(df, keys, time, value, window).drop("periods", "length")
+    series = history_arrays(df, keys, time, value).withColumn("periods", season_length(F.col("history"), window)).join(found, list(keys))
+    length = F.size("history")
+
+    def accuracy(p: dict[str, Column]) -> Column:
+        state = _smooth(F.col("history"), F.col("periods"), p["alpha"], p["beta"], p["gamma"], False)
+        return half_even(1 - half_even(state["miss"] / length, 4), 4)
+
+    def point(p: dict[str, Column], score: Column) -> Column:
+        return F.struct(score.alias("ACC"), *(p[c].alias(c) for c in ("alpha", "beta", "gamma")))
+
+    def nudged(s: Column, turn: Column) -> Column:
+        # Six tries a round: turn % 6 names the weight and the direction.
+        step = F.pow(F.lit(0.5), F.floor(turn / 6) + 3)
+        way = F.when(turn % 2 == 0, step).otherwise(-step)
+        weights = {}
+        for k, c in enumerate(("alpha", "beta", "gamma")):
+            moved = F.least(F.greatest(s[c] + way, F.lit(0.01)), F.lit(0.99))
+            weights[c] = F.when(F.floor(turn / 2) % 3 == k, moved).otherwise(s[c])
+        tried = F.get(F.transform(F.array(F.struct(*(v.alias(c) for c, v in weights.items()))), lambda w: point({c: w[c] for c in weights}, accuracy({c: w[c] for c in weights}))), F.lit(0))
+        return F.get(F.transform(F.array(tried), lambda t: F.when(t["ACC"] > s["ACC"], t).otherwise(s)), F.lit(0))
+
+    start = point({c: F.col(c) for c in ("alpha", "beta", "gamma")}, F.col("ACC"))
+    best = series.withColumn("_best", F.aggregate(F.sequence(F.lit(0), F.lit(6 * rounds - 1)), start, nudged))
+    return best.select(
+        *keys, "_best.alpha", "_best.beta", "_best.gamma", F.col("periods").cast("long").alias("periods"), length.cast("long").alias("length"), "_best.ACC"
+    )

@@ -80,3 +80,14 @@ def row_count_ratio(df: DataFrame, time: str, low: float = 0.8, high: float = 1.
     ratio = F.col("rows") / F.col("rows_before")
     label = F.when(ratio < low, "low").when(ratio > high, "high").otherwise("ok")
     return counts.withColumns({"ratio": half_even(ratio, 4), "state": label})
+
+
+def recent_launches(plan: DataFrame, commodity: str, launch: str, run_day: Column, days: int = 21, least_shops: int = 100) -> DataFrame:
+    """Commodities whose last launch inside the open interval of ``days`` before the run day is wide enough: ``commodity, launch, shop_nums``.
+
+    plan: one row per commodity and shop with its launch day.  Earlier launches of a commodity do not help a small last one.
+    """
+    inside = (F.col(launch) > F.date_sub(run_day, days)) & (F.col(launch) < run_day)
+    shops = plan.where(inside).groupBy(commodity, launch).agg(F.count(F.lit(1)).alias("shop_nums"))
+    last = shops.groupBy(commodity).agg(F.max(F.struct(launch, "shop_nums")).alias("_last"))
+    return last.select(commodity, "_last.*").where(F.col("shop_nums") >= least_shops)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stockwise.functions.numeric import at_least, box_round, ceil_to_multiple, ceil_units, clamp, half_even
 from stockwise.operators.windows import by, forward_sum_dynamic, top_rows
+from stockwise.session import staged
 
 
 def filled(name: str) -> Column:
@@ -49,19 +50,56 @@ def later_sum(df: DataFrame, keys: Sequence[str], time: str, value: str, out: st
     return df.withColumn(out, F.coalesce(F.sum(value).over(later), F.lit(0.0)))
 
 
+def sort_key(df: DataFrame, name: str) -> Column:
+    """Whole numbers and texts as hexadecimal text whose order is theirs and of which none begins another."""
+    if df.schema[name].dataType.typeName() == "string":
+        return F.concat(F.hex(F.col(name)), F.lit("."))
+    return F.concat(F.lpad(F.hex(F.col(name).cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"), F.lit("."))
+
+
+def nth_smallest(rows: DataFrame, group: Sequence[str], key: str, place: str, digits: int = 4) -> DataFrame:
+    """Per group a prefix ``_until`` of keys: as many keys as ``place`` says are not above it, each cut to its length.
+
+    rows: distinct keys per group, as from ``sort_key``, with the wanted number, below or equal to that of the group's keys.
+    Radix selection: the keys are counted by their next ``digits`` digits, which tells the one cell that the place falls
+    into, and only this cell's keys are looked at again.  A window holds one row per cell, ``17 ** digits`` at most and never more than
+    there are keys; a group may have any number of keys, however they are spread.
+    """
+    ends = rows.select(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    low, high = ends["low"] or "", ends["high"] or ""
+    common = next((k for k, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), max(0, len(low) - 1))
+    left = rows.select(*group, F.col(key).alias("_key"), F.col(place).cast("long").alias("_place"))
+    done, length = None, common
+    while True:
+        cell = F.substring("_key", length + 1, digits)
+        cells = left.groupBy(*group, cell.alias("_cell")).agg(
+            F.count(F.lit(1)).alias("_n"), F.max("_place").alias("_place"), F.min(F.substring("_key", 1, length + digits)).alias("_until")
+        )
+        counted = cells.withColumn("_upto", F.sum("_n").over(by(group, "_cell")))
+        hit = counted.where((F.col("_upto") >= F.col("_place")) & (F.col("_upto") - F.col("_n") < F.col("_place")))
+        hit = staged(hit.select(*group, "_until", "_n", (F.col("_place") - F.col("_upto") + F.col("_n")).alias("_rest")), "cells")
+        whole = hit.where(F.col("_rest") == F.col("_n")).select(*group, "_until")
+        done = whole if done is None else done.unionByName(whole)
+        split = hit.where(F.col("_rest") < F.col("_n"))
+        length += digits
+        if split.isEmpty():
+            return done
+        inside = left.drop("_place").join(split.select(*group, "_until", F.col("_rest").alias("_place")), list(group))
+        left = staged(inside.where(F.substring("_key", 1, length) == F.col("_until")).drop("_until"), "keys")
+
+
 def shortage_allocation(
-    df: DataFrame, group: Sequence[str], store: str, order: str, stock: str, box: str, chunk: int = 100_000
+    df: DataFrame, group: Sequence[str], store: str, order: str, stock: str, box: str
 ) -> DataFrame:
     """Grant whole orders where the stock suffices, else one box per store in rounds, largest order first.
 
-    ``stock`` and ``box`` are constant in a group; ``store`` is a whole number, unique in the group.
+    ``stock`` and ``box`` are constant in a group; ``store`` is a whole number or a text (in order of its bytes), unique in the group.
     A round ends when the stock is used up, and the last box may overshoot it.
 
     A group may hold any share of all stores, so nothing is ordered over its rows.  Stores are
     counted per order size; from the counts follow the last round, the order size at which it
     stops, and how many stores of that size still get a box.  Only this last cut needs stores in
-    order, and there the stores are first counted per ``chunk`` of store numbers, so that a window
-    never holds more than ``chunk`` rows.
+    order, and it is found by radix selection (``nth_smallest``), whatever the ids look like.
     """
     whole = by(group)
     sizes = df.groupBy(*group, order).agg(
@@ -102,17 +140,10 @@ def shortage_allocation(
     fits = F.ceil((F.col("_left") - taken) / F.col("_amount"))
     cut = cut.withColumn("_fit", F.greatest(F.least(fits, F.col("_cnt")), F.lit(0)).cast("long"))
 
-    # The one size that is served in part: the number of its last served store.
-    partial = cut.where((F.col("_fit") > 0) & (F.col("_fit") < F.col("_cnt"))).select(*group, order, "_fit")
-    chunked = df.select(*group, order, store).join(partial, [*group, order])
-    chunked = chunked.withColumn("_chunk", F.floor(F.col(store) / chunk))
-    counts = chunked.groupBy(*group, order, "_chunk").agg(F.count("*").alias("_n"), F.max("_fit").alias("_fit"))
-    counts = counts.withColumn("_upto", F.sum("_n").over(by([*group, order], "_chunk")))
-    crossing = counts.where((F.col("_upto") >= F.col("_fit")) & (F.col("_upto") - F.col("_n") < F.col("_fit")))
-    wanted = crossing.select(*group, order, "_chunk", (F.col("_fit") - F.col("_upto") + F.col("_n")).alias("_place"))
-    numbered = chunked.drop("_fit").join(wanted, [*group, order, "_chunk"])
-    numbered = numbered.withColumn("_row", F.row_number().over(by([*group, order, "_chunk"], store)))
-    threshold = numbered.where(F.col("_row") == F.col("_place")).select(*group, order, F.col(store).alias("_until"))
+    # The one size that is served in part: up to which store.
+    partial = staged(cut.where((F.col("_fit") > 0) & (F.col("_fit") < F.col("_cnt"))).select(*group, order, "_fit"), "partial")
+    keyed = df.select(*group, order, sort_key(df, store).alias("_key")).join(partial, [*group, order])
+    threshold = nth_smallest(staged(keyed, "keys"), [*group, order], "_key", "_fit")
 
     # Everything the rows need, one line per order size, so that the rows are joined once.
     facts = (
@@ -125,7 +156,8 @@ def shortage_allocation(
     # Without stock there is no last round, and nothing is granted.
     rounds_before = F.coalesce(F.col("_last"), F.lit(1)) - 1
     full_rounds = F.least(F.col(order), rounds_before * F.col(box))
-    served = F.coalesce((F.col("_fit") == F.col("_cnt")) | (F.col(store) <= F.col("_until")), F.lit(False))
+    own = F.substring(sort_key(df, store), F.lit(1), F.length("_until"))
+    served = F.coalesce((F.col("_fit") == F.col("_cnt")) | (own <= F.col("_until")), F.lit(False))
     granted = F.when(F.col(stock) >= F.col("_total"), F.col(order)).otherwise(
         full_rounds + F.when(served, F.col("_amount")).otherwise(F.lit(0.0))
     )
@@ -285,21 +317,42 @@ def calloff_plan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def warehouse_cover_days(df: DataFrame, keys: Sequence[str], time: str, stock: str, outflow: str) -> DataFrame:
-    """Days until the last later day whose summed outflow is positive and below the stock; 0 if none."""
-    so_far = by(keys, time).rowsBetween(Window.unboundedPreceding, 0)
-    summed = df.withColumn("_sum", F.sum(outflow).over(so_far))
-    days = F.struct(F.col(time).alias("t"), F.col(stock).alias("stock"), (F.col("_sum") - F.col(outflow)).alias("before"), F.col("_sum").alias("after"))
-    listed = _folded(summed.select(*keys, days.alias("_d")), keys, [F.col("_d.t").alias("t"), F.col("_d.stock").alias("stock"), F.col("_d.before").alias("before"), F.col("_d.after").alias("after")])
+    """Days until the last later day whose summed outflow is positive and below the stock; 0 if none.
+
+    Where no outflow is negative the running outflow never falls, and the last day below a level is found by order: levels asked
+    for and days reached stand in one sorted list per key, in which the last day before a question is the answer.  Keys with a
+    negative outflow compare every day with every later one.  A day with an unknown outflow has 0.
+    """
+    so_far, whole = by(keys, time).rowsBetween(Window.unboundedPreceding, 0), by(keys)
+    day, out = F.col(time).alias("_t"), F.col(outflow)
+    summed = df.select(
+        *keys, day, F.col(stock).alias("_stock"), (F.sum(out).over(so_far) - out).alias("_before"), F.sum(out).over(so_far).alias("_after"),
+        (F.min(out).over(whole.orderBy(time).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) < 0).alias("_falls"),
+    )
+    falls = F.coalesce(F.col("_falls"), F.lit(False))
+
+    steady = summed.where(~falls)
+    entry = F.struct((F.col("_before") + F.col("_stock")).alias("_level"), F.lit(0).alias("_kind")), F.struct(F.col("_after").alias("_level"), F.lit(1).alias("_kind"))
+    listed = steady.select(*keys, "_t", "_before", "_after", F.inline(F.array(*entry)))
+    # A day that just reaches the level is not below it: it sorts after the question.
+    asked = by(keys, "_level", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    reached = F.max(F.when((F.col("_kind") == 1) & F.col("_level").isNotNull(), F.struct("_t", "_after"))).over(asked)
+    found = listed.withColumn("_last", reached).where(F.col("_kind") == 0)
+    inside = (F.col("_last._t") >= F.col("_t")) & (F.col("_last._after") > F.col("_before")) & F.col("_level").isNotNull()
+    days = F.when(inside, F.date_diff("_last._t", "_t")).otherwise(0)
+    searched = found.select(*keys, F.col("_t").alias(time), days.cast("long").alias("wh_avl_days"))
+
+    folded = _folded(summed.where(falls), keys, [F.col(c) for c in ("_t", "_stock", "_before", "_after")])
 
     def cover(d: Column) -> Column:
         def covered(p: Column) -> Column:
-            used = p["after"] - d["before"]
-            return (p["t"] >= d["t"]) & (used > 0) & (used < d["stock"])
+            used = p["_after"] - d["_before"]
+            return (p["_t"] >= d["_t"]) & (used > 0) & (used < d["_stock"])
 
-        last = F.array_max(F.transform(F.filter("_days", covered), lambda p: p["t"]))
-        return F.struct(d["t"].alias(time), F.coalesce(F.date_diff(last, d["t"]), F.lit(0)).cast("long").alias("wh_avl_days"))
+        last = F.array_max(F.transform(F.filter("_days", covered), lambda p: p["_t"]))
+        return F.struct(d["_t"].alias(time), F.coalesce(F.date_diff(last, d["_t"]), F.lit(0)).cast("long").alias("wh_avl_days"))
 
-    return listed.select(*keys, F.inline(F.transform("_days", cover)))
+    return searched.unionByName(folded.select(*keys, F.inline(F.transform("_days", cover))))
 
 
 def store_cover_days(df: DataFrame, keys: Sequence[str], time: str, stock: str, demand: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stockwise.functions.dates import first_of
 from stockwise.operators.windows import by
+from stockwise.session import staged
 
 
 def daily_sum(df: DataFrame, keys: Sequence[str], time: str, value: str, out: str = "y") -> DataFrame:
@@ -114,21 +115,19 @@ def previous_month_starts(day: Column, n: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: F.add_months(F.trunc(day, "month"), -k))
 
 
-def positional_rank(df: DataFrame, levels: Sequence[str], out: str = "position") -> DataFrame:
-    """Row number of every row in the order of ``levels``, without gathering the table in one task.
+def positional_rank(df: DataFrame, levels: Sequence[str], out: str = "position", ranges: int | None = None) -> DataFrame:
+    """Row number of every row in the order of ``levels``, without gathering the table or a prefix of it in one task.
 
-    Rows are counted per prefix of the levels; the counts give the offset of each prefix, and only
-    rows that share all but the last level are numbered in a window.
+    The rows are dealt to ranges of near-equal size, whose bounds Spark samples from all levels together, so a value of the first
+    level may fill many ranges.  Counts per range give the numbers before each, and rows are numbered inside their range.
     """
-    *outer, last = levels
-    ranked = df.withColumn("_rank", F.row_number().over(by(outer, last)).cast("long"))
-    for depth in range(len(outer), 0, -1):
-        prefix = list(outer[:depth])
-        counts = df.groupBy(*prefix).agg(F.count("*").alias("_rows"))
-        spec = by(prefix[:-1], prefix[-1]).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = counts.select(*prefix, F.coalesce(F.sum("_rows").over(spec), F.lit(0)).alias("_before"))
-        ranked = ranked.join(offsets, prefix).withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_before")
-    return ranked.withColumnRenamed("_rank", out)
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = staged(df.repartitionByRange(ranges, *levels).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = by([], "_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    numbered = ranged.withColumn("_rank", F.row_number().over(by(["_range"], *levels)).cast("long")).join(offsets, "_range")
+    return numbered.select(*df.columns, (F.col("_rank") + F.col("_before")).alias(out))
 
 
 def time_split(df: DataFrame, levels: Sequence[str], ratio: float) -> DataFrame:

@@ -232,3 +232,68 @@ def series_minmax(inp: Inputs) -> DataFrame:
     complete = series.complete_keys(demand, keys, demand.select(F.count_distinct("ds")).scalar())
     scaled = series.minmax_scaled(complete, keys, "y", "scaled")
     return scaled.select(*keys, "ds", half_even(F.col("scaled"), 6).alias("scaled"))
+
+
+TUNED_SQL = smoothing_sql(f"SELECT * FROM {ALL_WEIGHTS}")
+
+
+@query(
+    "holt_winters_tuned",
+    sql("wh_demand", """SELECT wh_dept_id, goods_id, CAST(max(period) AS BIGINT) AS periods, CAST(max(n) AS BIGINT) AS length, true AS not_below_grid, true AS weights_inside
+        FROM scored GROUP BY 1, 2""", recursive=True, **TUNED_SQL, scored="SELECT * FROM smooth WHERE t = n"),
+)
+def holt_winters_tuned(inp: Inputs) -> DataFrame:
+    """Refined weights per key: never worse on the training days than the best of the grid."""
+    demand = staged(inp.wh_demand, "wh-demand")
+    tuned = fc.holt_winters_tuned(demand, KEYS, "ds", "y", 30)
+    grid = fc.holt_winters_search(demand, KEYS, "ds", "y", 30).select(*KEYS, F.col("ACC").alias("grid"))
+    inside = [(F.col(c) > 0) & (F.col(c) < 1) for c in ("alpha", "beta", "gamma")]
+    return tuned.join(grid, KEYS).select(
+        *KEYS, "periods", "length", (F.col("ACC") >= F.col("grid")).alias("not_below_grid"), (inside[0] & inside[1] & inside[2]).alias("weights_inside")
+    )
+
+
+BENT = {
+    "spans": "SELECT wh_dept_id, goods_id, min(ds) AS first_day, max(ds) AS last_day FROM daily_demand GROUP BY 1, 2",
+    "points": """SELECT d.wh_dept_id, d.goods_id, first_day, CAST(date_diff('day', first_day, ds) AS DOUBLE) AS x, y, date_diff('day', first_day, last_day) AS span
+        FROM daily_demand d JOIN spans s ON d.wh_dept_id = s.wh_dept_id AND d.goods_id = s.goods_id""",
+    "lines": """SELECT *, (sy - slope * sx) / n AS base FROM (SELECT *, coalesce(CASE WHEN n * sxx - sx * sx <> 0 THEN (n * sxy - sx * sy) / (n * sxx - sx * sx) END, 0) AS slope FROM (
+        SELECT wh_dept_id, goods_id, first_day, CAST(count(*) AS DOUBLE) AS n, sum(x) AS sx, sum(x * x) AS sxx, sum(y) AS sy, sum(x * y) AS sxy, sum(y * y) AS syy
+        FROM points GROUP BY 1, 2, 3 HAVING count(*) >= 4))""",
+    "hinges": """SELECT wh_dept_id, goods_id, spot, sum(h) AS sh, sum(x * h) AS sxh, sum(h * h) AS shh, sum(y * h) AS syh FROM (
+        SELECT *, greatest(x - spot, 0) AS h FROM (SELECT *, CAST(floor(span * j / 10) AS DOUBLE) AS spot FROM points, range(1, 10) r(j))) GROUP BY 1, 2, 3""",
+    "solved": f"""SELECT *, {fc.BEND["error"]} AS error FROM (
+        SELECT *, {fc.BEND["base"]} AS base, {fc.BEND["slope"]} AS slope, {fc.BEND["bend"]} AS bend FROM (
+          SELECT *, {fc.BEND["det"]} AS det FROM (SELECT l.* EXCLUDE (base, slope), h.spot, h.sh, h.sxh, h.shh, h.syh FROM lines l JOIN hinges h ON l.wh_dept_id = h.wh_dept_id AND l.goods_id = h.goods_id)) WHERE det > 0)""",
+    "best": "SELECT * FROM solved QUALIFY row_number() OVER (PARTITION BY wh_dept_id, goods_id ORDER BY error, spot) = 1",
+    "bent": """SELECT l.wh_dept_id, l.goods_id, l.first_day, CASE WHEN c THEN CAST(l.first_day + CAST(spot AS INTEGER) AS DATE) END AS knot,
+        CASE WHEN c THEN b.base ELSE l.base END AS base, CASE WHEN c THEN b.slope ELSE l.slope END AS slope, CASE WHEN c THEN b.bend ELSE 0 END AS bend FROM (
+          SELECT l.*, coalesce(l.syy - l.base * l.sy - l.slope * l.sxy > l.syy * 1e-9 AND b.error <= (l.syy - l.base * l.sy - l.slope * l.sxy) * (1 - 0.1e0), false) AS c FROM lines l LEFT JOIN best b ON l.wh_dept_id = b.wh_dept_id AND l.goods_id = b.goods_id) l
+        LEFT JOIN best b ON l.wh_dept_id = b.wh_dept_id AND l.goods_id = b.goods_id""",
+}
+
+
+def bent_trends(inp: Inputs) -> DataFrame:
+    demand = inp.daily_demand
+    spans = demand.groupBy(*KEYS).agg(F.min("ds").alias("_from"), F.max("ds").alias("_to"))
+    return fc.bent_trend(demand.join(spans, KEYS), KEYS, "ds", "y", F.col("_from"), F.col("_to"))
+
+
+@query(
+    "trend_change",
+    sql("daily_demand", f"SELECT wh_dept_id, goods_id, first_day, knot, {rounded('base', 4)} AS base, {rounded('slope', 6)} AS slope, {rounded('bend', 6)} AS bend FROM bent", **BENT),
+)
+def trend_change(inp: Inputs) -> DataFrame:
+    """Where the trend of each series bends, and how steep it is before and after."""
+    digits = {"base": 4, "slope": 6, "bend": 6}
+    return bent_trends(inp).withColumns({c: half_even(F.col(c), n) for c, n in digits.items()})
+
+
+@query(
+    "trend_change_forecast",
+    sql("daily_demand", f"""SELECT wh_dept_id, goods_id, predict_dt, {rounded("greatest(0, base + slope * date_diff('day', first_day, predict_dt) + bend * coalesce(greatest(date_diff('day', knot, predict_dt), 0), 0))", 3)} AS pred
+        FROM (SELECT b.*, CAST(last_day + CAST(step AS INTEGER) AS DATE) AS predict_dt FROM bent b, (SELECT max(ds) AS last_day FROM daily_demand), range(1, 31) r(step))""", **BENT),
+)
+def trend_change_forecast(inp: Inputs) -> DataFrame:
+    ahead = fc.bent_forecast(bent_trends(inp), KEYS, month_after(inp.daily_demand, "ds"), 30)
+    return ahead.withColumn("pred", half_even(F.col("pred"), 3))

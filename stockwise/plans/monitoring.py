@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from stockwise.functions.dates import first_of
 from stockwise.functions.numeric import BAND_LABELS, half_even
 from stockwise.operators import aggregate as agg
 from stockwise.operators import forecast as fc
@@ -82,18 +83,30 @@ def model_usage(inp: Inputs) -> DataFrame:
 
 @query(
     "missing_exclusions",
-    sql("sold_rows", """SELECT DISTINCT goods_id FROM (SELECT DISTINCT cmdty_id, goods_id FROM sold_rows) f JOIN (
-        SELECT cmdty_id FROM (SELECT cmdty_id, month, count(*) AS shop_nums, row_number() OVER (PARTITION BY cmdty_id ORDER BY month DESC) AS rn
-          FROM (SELECT *, date_trunc('month', ds) AS month FROM sold_rows) GROUP BY 1, 2) WHERE rn = 1 AND shop_nums >= 1) p USING (cmdty_id)
-      WHERE goods_id NOT IN (SELECT goods_id FROM sold_rows WHERE type_flg = 'subnew' AND ds = (SELECT max(ds) FROM sold_rows))"""),
+    sql("", """SELECT DISTINCT goods_id FROM launches JOIN formula USING (cmdty_id)
+      WHERE goods_id NOT IN (SELECT p_size % 8 FROM rows WHERE p_size % 3 = 1 AND ds = (SELECT max(ds) FROM rows))""",
+        rows="SELECT p_size, CAST(l_shipdate AS DATE) AS ds FROM lineitem JOIN part ON l_partkey = p_partkey",
+        plan="SELECT p_size AS cmdty_id, CAST(date_trunc('week', ds) AS DATE) AS launch FROM rows",
+        formula="SELECT DISTINCT p_size AS cmdty_id, CAST(p_size % 8 AS BIGINT) AS goods_id FROM part",
+        launches="""SELECT cmdty_id FROM (
+            SELECT cmdty_id, launch, count(*) AS shop_nums, row_number() OVER (PARTITION BY cmdty_id ORDER BY launch DESC) AS rn
+            FROM plan, (SELECT max(ds) + 1 AS run_day FROM rows) WHERE launch > run_day - 21 AND launch < run_day GROUP BY 1, 2)
+          WHERE rn = 1 AND shop_nums >= 2"""),
 )
 def missing_exclusions(inp: Inputs) -> DataFrame:
-    """Goods of recently launched commodities that the newest day does not mark as recent."""
-    rows = inp.sold_rows
-    launches = rows.groupBy("cmdty_id", F.trunc("ds", "month").alias("launch")).agg(F.count("*").alias("shop_nums"))
-    wide = win.last_rows(launches, ["cmdty_id"], "launch").where(F.col("shop_nums") >= 1)
-    expected = rows.select("cmdty_id", "goods_id").distinct().join(wide, "cmdty_id", "left_semi")
-    marked = win.newest_slice(rows, "ds").where(F.col("type_flg") == "subnew").select("goods_id")
+    """Goods of commodities launched widely in the last three weeks that the newest day does not mark as recent.
+
+    A commodity is a size, sold rows of a week stand for the shops that launched it; two shops are wide enough here.
+    """
+    part = inp.table("part").select("p_partkey", F.col("p_size").alias("cmdty_id"))
+    line = inp.table("lineitem").select("l_partkey", F.to_date("l_shipdate").alias("ds"))
+    rows = line.join(part, line.l_partkey == part.p_partkey).select("cmdty_id", "ds")
+    goods = (F.col("cmdty_id") % 8).cast("long").alias("goods_id")
+    plan = rows.select("cmdty_id", first_of("week", F.col("ds")).alias("launch"))
+    run_day = F.date_add(rows.select(F.max("ds")).scalar(), 1)
+    launches = quality.recent_launches(plan, "cmdty_id", "launch", run_day, least_shops=2)
+    expected = part.select("cmdty_id", goods).distinct().join(launches, "cmdty_id", "left_semi")
+    marked = win.newest_slice(rows, "ds").where(F.col("cmdty_id") % 3 == 1).select(goods)
     return quality.missing_members(expected, marked, ["goods_id"])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockwise.operators import forecast as fc
 from stockwise.operators import learning as ml
+from stockwise.operators import quality, series
 from stockwise.operators import replenish as rep
 
 DAY = dt.date(2024, 1, 1)
@@ -40,27 +41,51 @@ def allocate(orders, stock, box):
     return granted
 
 
-@pytest.mark.parametrize("chunk", [1, 4, 100_000])
-def test_shortage_allocation(spark, chunk):
-    rnd = random.Random(chunk)
+# Ids of stores: near each other, spread over all 64-bit numbers, and texts of which some begin others.
+STORE_IDS = {
+    "small": (lambda k: k, "long"),
+    "hashed": (lambda k: (k * 0x9E3779B97F4A7C15 + 77) % (1 << 64) - (1 << 63), "long"),
+    "text": (lambda k: "s" * (k % 4) + format(k * k, "x") + "ä" * (k % 3), "string"),
+}
+
+
+@pytest.mark.parametrize("ids", STORE_IDS)
+def test_shortage_allocation(spark, ids):
+    rnd = random.Random(7)
+    name, kind = STORE_IDS[ids]
     rows, expected = [], {}
     for group in range(25):
         # One group holds a third of all stores, most of them with the same order size.
         size = 160 if group == 0 else rnd.randint(1, 14)
         box = float(rnd.choice([5, 10]))
         choices = [30.0] if group == 0 else [0.0, 7.0, 10.0, 20.0, 25.0, 40.0]
-        orders = {s: rnd.choice(choices) for s in rnd.sample(range(1000), size)}
+        orders = {name(s): rnd.choice(choices) for s in rnd.sample(range(1000), size)}
         total = sum(orders.values())
         stock = rnd.choice([0.0, -5.0, total, total + 3, math.floor(total * 0.6), math.floor(total * 0.13)])
         if group == 0:
             stock = 160 * box + 37 * box
         rows += [(group, s, q, float(stock), box) for s, q in orders.items()]
         expected |= {(group, s): g for s, g in allocate(orders, stock, box).items()}
-    df = spark.createDataFrame(rows, "g int, dept long, qty double, stock double, box double")
-    out = rep.shortage_allocation(df, ["g"], "dept", "qty", "stock", "box", chunk=chunk)
+    df = spark.createDataFrame(rows, f"g int, dept {kind}, qty double, stock double, box double")
+    out = rep.shortage_allocation(df, ["g"], "dept", "qty", "stock", "box")
     assert {(r["g"], r["dept"]): r["resign"] for r in out.collect()} == expected
 
 
+@pytest.mark.parametrize("digits", [1, 3])
+def test_nth_smallest(spark, digits):
+    rnd = random.Random(digits)
+    groups = {g: [rnd.randrange(-(1 << 63), 1 << 63) for _ in range(40 + g)] if g % 2 else [5 * k - 90 for k in range(40 + g)] for g in range(6)}
+    rows = [(g, k, 1 + 7 * g) for g, keys in groups.items() for k in keys]
+    df = spark.createDataFrame(rows, "g int, id long, place int")
+    keyed = df.select("g", "id", "place", rep.sort_key(df, "id").alias("key"))
+    until = rep.nth_smallest(keyed, ["g"], "key", "place", digits)
+    found = keyed.join(until, "g").where(F.substring("key", F.lit(1), F.length("_until")) <= F.col("_until"))
+    got = {g: set() for g in groups}
+    for r in found.collect():
+        got[r["g"]].add(r["id"])
+    assert got == {g: set(sorted(keys)[: 1 + 7 * g]) for g, keys in groups.items()}
+
+
 def plan_rows(rnd, keys, n):
     rows = []
     for k in range(keys):
@@ -155,7 +180,7 @@ def test_calloff_plan(spark):
 
 def test_warehouse_cover_days(spark):
     rnd = random.Random(4)
-    rows = [(k, days(d), float(rnd.randint(0, 60)), float(rnd.randint(-3, 20))) for k in range(6) for d in range(25)]
+    rows = [(k, days(d), float(rnd.randint(0, 60)), float(rnd.randint(-3 if k % 2 else 0, 20) * (rnd.random() < 0.8))) for k in range(8) for d in range(25)]
     out = rep.warehouse_cover_days(spark.createDataFrame(rows, "k int, dt date, stock double, out double"), ["k"], "dt", "stock", "out")
     got = {(r["k"], r["dt"]): r["wh_avl_days"] for r in out.collect()}
     for k, day, stock, _ in rows:
@@ -258,3 +283,83 @@ def test_model_recursion_equals_step_by_step_prediction(spark):
         last = frame.where(F.col("ds") == F.lit(days(len(held)))).na.fill(0.0)
         held.append(round(model.transform(last).collect()[0]["prediction"], 1))
     assert got == [max(0.0, v) for v in held[30:]]
+
+
+def test_bent_trend_finds_planted_knots(spark):
+    rnd = random.Random(12)
+    rows, planted = [], {}
+    for k in range(6):
+        at, slope, bend = 20 * (k + 1), rnd.choice([-1.0, 0.5, 2.0]), rnd.choice([-3.0, 4.0])
+        planted[k] = (days(at), slope, bend)
+        rows += [(k, days(d), 500 + slope * d + bend * max(0, d - at) + rnd.random() * 0.2) for d in range(201) if rnd.random() < 0.9 or d in (0, 200)]
+    rows += [(7, days(d), 5.0 + d) for d in range(201)] + [(8, days(0), 1.0)]
+    df = spark.createDataFrame(rows, "k int, ds date, y double")
+    first, last = F.lit(DAY).cast("date"), F.lit(days(200)).cast("date")
+    found = {r["k"]: r for r in fc.bent_trend(df, ["k"], "ds", "y", first, last).collect()}
+    assert set(found) == {*planted, 7}
+    for k, (knot, slope, bend) in planted.items():
+        assert found[k]["knot"] == knot
+        assert found[k]["slope"] == pytest.approx(slope, abs=0.02) and found[k]["bend"] == pytest.approx(bend, abs=0.02)
+    assert (found[7]["knot"], found[7]["bend"]) == (None, 0.0) and found[7]["slope"] == pytest.approx(1.0)
+    ahead = fc.bent_forecast(fc.bent_trend(df, ["k"], "ds", "y", first, last), ["k"], F.lit(days(201)).cast("date"), 5)
+    for r in ahead.collect():
+        d = (r["predict_dt"] - DAY).days
+        if r["k"] in planted:
+            knot, slope, bend = planted[r["k"]]
+            assert r["pred"] == pytest.approx(max(0, 500 + slope * d + bend * (d - (knot - DAY).days)), abs=3)
+
+
+def test_tuned_weights_equal_a_plain_loop(spark):
+    rnd = random.Random(3)
+    rows = [(k, days(d), float(round(30 + 10 * math.sin(d + k) + rnd.random() * 20 + d * k / 4))) for k in range(3) for d in range(20)]
+    df = spark.createDataFrame(rows, "k int, ds date, y double")
+    grid = {r["k"]: r for r in fc.holt_winters_search(df, ["k"], "ds", "y", 30).collect()}
+    tuned = {r["k"]: r for r in fc.holt_winters_tuned(df, ["k"], "ds", "y", 30, rounds=2).collect()}
+
+    def accuracy(y, p, a, b, g):
+        first, second = y[:p], y[p : 2 * p]
+        level = sum(first) / p
+        trend, season, miss = (sum(second) / p - level) / p, [v - sum(first) / p for v in first], 0.0
+        for v in y:
+            ahead, head = level + trend, season[0]
+            fitted = round(round((ahead + head) * 10) / 10, 10)
+            new = a * (v - head) + (1 - a) * ahead
+            trend, season = b * (new - level) + (1 - b) * trend, season[1:] + [g * (v - ahead) + (1 - g) * head]
+            level, miss = new, miss + abs(fitted - v) / max(abs(v), 2.220446049250313e-16)
+        return round(1 - round(miss / len(y) * 1e4) / 1e4, 4)
+
+    for k in range(3):
+        y = [r[2] for r in sorted(r for r in rows if r[0] == k)]
+        point = [grid[k][c] for c in ("alpha", "beta", "gamma")]
+        best = accuracy(y, 2, *point)
+        assert best == pytest.approx(grid[k]["ACC"], abs=1e-9)
+        for turn in range(12):
+            step = 0.5 ** (turn // 6 + 3) * (1 if turn % 2 == 0 else -1)
+            tried = list(point)
+            at = turn // 2 % 3
+            tried[at] = min(max(tried[at] + step, 0.01), 0.99)
+            if accuracy(y, 2, *tried) > best + 1e-9:
+                best, point = accuracy(y, 2, *tried), tried
+        assert [tuned[k][c] for c in ("alpha", "beta", "gamma")] == pytest.approx(point)
+        assert tuned[k]["ACC"] == pytest.approx(best) and tuned[k]["ACC"] >= grid[k]["ACC"]
+
+
+def test_positions_with_a_prefix_that_holds_half_of_the_rows(spark):
+    rnd = random.Random(6)
+    rows = [(0 if k % 2 else k, rnd.randrange(1000), k) for k in range(3000)]
+    df = spark.createDataFrame(rows, "a int, b int, c int").repartition(7)
+    found = series.positional_rank(df, ["a", "b", "c"], ranges=16)
+    assert [(r.a, r.b, r.c) for r in found.orderBy("position").collect()] == sorted(rows)
+    assert sorted(r.position for r in found.collect()) == list(range(1, 3001))
+    # No window holds the prefix: its rows are spread over half of the ranges.
+    dealt = df.repartitionByRange(16, "a", "b", "c").withColumn("range", F.spark_partition_id()).where("a = 0")
+    assert dealt.select("range").distinct().count() >= 7
+    assert series.positional_rank(df.limit(0), ["a", "b", "c"]).collect() == []
+
+
+def test_recent_launches(spark):
+    rows = [("a", days(10))] * 3 + [("a", days(18))] * 2 + [("b", days(12))] * 3 + [("c", days(0))] * 5 + [("d", days(21))] * 5 + [("e", days(1))] * 3
+    plan = spark.createDataFrame(rows, "com string, launch date")
+    found = quality.recent_launches(plan, "com", "launch", F.lit(days(21)).cast("date"), 21, 3)
+    # The last launch of a is too small, c lies on the open lower end, d on the run day.
+    assert sorted(map(tuple, found.collect())) == [("b", days(12), 3), ("e", days(1), 3)]
