@@ -13,7 +13,7 @@ from stockwise.operators import series
 from stockwise.operators import windows as win
 from stockwise.plans.aggregating import BAND_COUNTS, BAND_RATIOS
 from stockwise.plans.columns import BAND_CASE
-from stockwise.plans.inputs import KEYS, Inputs, dense_sql, priced, rounded, sql
+from stockwise.plans.inputs import KEYS, Inputs, dense_sql, goods_number, priced, rounded, sql
 from stockwise.plans.registry import query
 from stockwise.session import staged
 
@@ -214,12 +214,12 @@ def weighted_ensemble(inp: Inputs) -> DataFrame:
 
 # --- accuracy marts -------------------------------------------------------------------------
 
-GOODS = """SELECT CAST(p_size % 8 AS BIGINT) AS goods_id, 'goods_' || CAST(p_size % 8 AS VARCHAR) AS goods_name,
-  CAST(p_size % 8 % 4 AS BIGINT) AS large_class_id, 'class_' || CAST(p_size % 8 % 4 AS VARCHAR) AS large_class_name FROM part GROUP BY ALL"""
+GOODS = """SELECT goods_id, 'goods_' || CAST(goods_id AS VARCHAR) AS goods_name, CAST(goods_id % 4 AS BIGINT) AS large_class_id,
+  'class_' || CAST(goods_id % 4 AS VARCHAR) AS large_class_name FROM (SELECT DISTINCT CAST(p_size % 8 + 8 * (p_partkey // 10000) AS BIGINT) AS goods_id FROM part)"""
 
 
 def goods_dim(inp: Inputs) -> DataFrame:
-    goods = F.col("p_size") % 8
+    goods = goods_number()
     return inp.table("part").select(
         goods.cast("long").alias("goods_id"),
         F.concat(F.lit("goods_"), goods.cast("string")).alias("goods_name"),

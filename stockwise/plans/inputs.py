@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stockwise.functions.numeric import half_even
 from stockwise.operators import forecast as fc
@@ -34,6 +34,11 @@ def dense_sql(source: str, keys: str) -> str:
       FROM (SELECT {keys}, min(ds) AS first_day, (SELECT max(ds) FROM {source}) AS last_day FROM {source} GROUP BY ALL)) GROUP BY ALL"""
 
 
+def goods_number() -> Column:
+    """Eight goods by size for every ten thousand parts, so that the number of series grows with the data."""
+    return (F.col("p_size") % 8 + 8 * F.floor(F.col("p_partkey") / 10000)).cast("long")
+
+
 def priced(sold: DataFrame) -> DataFrame:
     """Money per piece; the price of goods 3 in warehouse 2 is missing, so that the fallback has work."""
     missing = (F.col("wh_dept_id") == 2) & (F.col("goods_id") == 3)
@@ -57,7 +62,7 @@ class Inputs:
         line = self.table("lineitem")
         rows = line.join(part, line.l_partkey == part.p_partkey).select(
             (F.col("l_suppkey") % 5).alias("wh_dept_id"),
-            (F.col("p_size") % 8).cast("long").alias("goods_id"),
+            goods_number().alias("goods_id"),
             F.to_date("l_shipdate").alias("ds"),
             F.col("l_quantity").alias("qty"),
             F.col("l_extendedprice").alias("money"),
@@ -165,7 +170,7 @@ class Inputs:
 
 VIEWS: dict[str, str] = {
     "sold_rows": """
-        SELECT l_suppkey % 5 AS wh_dept_id, CAST(p_size % 8 AS BIGINT) AS goods_id, CAST(l_shipdate AS DATE) AS ds,
+        SELECT l_suppkey % 5 AS wh_dept_id, CAST(p_size % 8 + 8 * (p_partkey // 10000) AS BIGINT) AS goods_id, CAST(l_shipdate AS DATE) AS ds,
                l_quantity AS qty, l_extendedprice AS money, l_discount, l_returnflag,
                CASE p_size % 3 WHEN 0 THEN 'norm' WHEN 1 THEN 'subnew' ELSE 'new' END AS type_flg,
                CASE l_linenumber % 2 WHEN 0 THEN 'new_shop' ELSE 'norm_shop' END AS shop_type_flg,

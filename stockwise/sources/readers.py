@@ -14,9 +14,9 @@ from stockwise.operators.windows import last_rows
 def read_days(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Rows of one day or of ``[start, end]``; the filter on ``dt`` prunes partitions.
 
-    Without dates every partition is read.
+    Without dates every partition is read.  NaN counts as missing.
     """
-    df = spark.read.option("basePath", path).parquet(path)
+    df = without_nan(spark.read.option("basePath", path).parquet(path))
     if start is None:
         return df
     return df.where(F.col("dt").between(F.lit(start).cast("date"), F.lit(end or start).cast("date")))
