@@ -7,8 +7,10 @@ probability of the Jaccard similarity, with concentration as for independent one
 
 Candidates share all coordinates of a band.  Documents with equal sets are one class from the start.  Classes that
 buckets connect form a cluster; inside a cluster full sets are compared through an inverted index in a
-task's memory, block against block, so that no pair of documents is ever a row, and a cluster of any size is spread over
-its pairs of blocks.  Where the buckets of a cluster are cheaper to compare one by one than the whole cluster, they are.
+task's memory, block by block, so that no pair of documents is ever a row: first inside the blocks, then every block with the
+first one, and only what is not connected by then with all blocks.  So a group of near copies of any size costs two looks
+at each text and about one link, however many blocks it fills.  Where the buckets of a cluster are cheaper to compare one by
+one than the whole cluster, they are.
 A pair at the threshold misses all bands with probability (1 - 0.75 ** rows) ** bands, 2e-6 by default.
 """
 
@@ -20,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stockwise.llm.skew import HOT_SHARE, looked_up
 from stockwise.llm.textbytes import Slice, mixed, slices, word_hashes
 from stockwise.llm.workers import map_batches
 from stockwise.session import staged
@@ -94,11 +97,11 @@ def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n_shingles, low, high, keys``: set size, a 128-bit digest of the set, and its band keys."""
+    """``doc_id, mark, n_shingles, low, high, keys``: a hash of the text, set size, a 128-bit digest of the set, and its band keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(2)):
                 sets, bounds = shingle_hashes(part)
                 keys = band_keys(sketches(sets, bounds, bands * rows), bands, rows).view(np.int64)
                 digests = []
@@ -107,11 +110,13 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
                     np.cumsum(mixed(sets + np.uint64(salt)), out=sums[1:])
                     digests.append(mixed(sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64))
                 lists = pa.ListArray.from_arrays(np.arange(part.rows + 1, dtype=np.int32) * bands, pa.array(keys.ravel()))
-                columns = [batch.column(0)[part.first : part.first + part.rows], pa.array(np.diff(bounds)), *map(pa.array, digests), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "low", "high", "keys"])
+                own = [batch.column(k)[part.first : part.first + part.rows] for k in range(2)]
+                columns = [*own, pa.array(np.diff(bounds)), *map(pa.array, digests), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "n_shingles", "low", "high", "keys"])
 
-    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return map_batches(texts, run, "doc_id long, n_shingles long, low long, high long, keys array<long>")
+    text = docs[text_col]
+    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    return map_batches(texts, run, "doc_id long, mark long, n_shingles long, low long, high long, keys array<long>")
 
 
 def in_bitmap(id_col: Column, ids: DataFrame, docs: DataFrame, bits: int = 22) -> DataFrame:
@@ -134,110 +139,211 @@ def in_bitmap(id_col: Column, ids: DataFrame, docs: DataFrame, bits: int = 22) -
     return marked.filter(F.col("__bits").bitwiseAND(one) != 0).drop("__word", "__bit", "__bits")
 
 
-def set_links(sets: np.ndarray, bounds: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect the rows as all links would: (row, row) pairs, at most one fewer than there are rows.
+class Forest:
+    """Sets of numbers that are joined; the smallest number stands for its set."""
 
-    Rows linked with the first one need no comparison among themselves; every other row is compared with all rows at
-    once, by counting the owners of its elements in an inverted index.
+    def __init__(self, names: Iterable[int]):
+        self.parent = {int(x): int(x) for x in names}
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether they were apart."""
+        x, y = self.root(x), self.root(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+
+def joined_sets(names: np.ndarray, sets: np.ndarray, bounds: np.ndarray, percent: int, sides: np.ndarray | None = None) -> tuple[Forest, list[tuple[int, int]]]:
+    """Joins the names of linked rows; gives the forest and the links (name, name) that joined something, fewer than there are names.
+
+    A row is compared with all others at once, by counting the owners of its elements in an inverted index.  With ``sides`` (0 or 1 per
+    row) only rows of different sides are compared.  Rows in the set of the first row that asked need not ask themselves: a row they
+    are linked with is in that set too, or it asks.  The search ends when all are one.
     """
     rows, sizes = len(bounds) - 1, np.diff(bounds)
+    forest, found = Forest(names.tolist()), []
+    apart = len(forest.parent)
+    if apart < 2:
+        return forest, found
     _, group, counts = np.unique(sets, return_inverse=True, return_counts=True)
     owners = np.repeat(np.arange(rows), sizes)[np.argsort(group, kind="stable")]
     first = np.cumsum(counts) - counts
-
-    def linked(row: int) -> np.ndarray:
+    listed = names.tolist()
+    held, many = np.unique(names, return_counts=True)
+    pivot = int(np.flatnonzero(names == held[np.argmax(many)])[0])
+    for row in [pivot, *range(rows)]:
+        if row != pivot and forest.root(listed[row]) == forest.root(listed[pivot]):
+            continue
         own = group[bounds[row] : bounds[row + 1]]
         lengths = counts[own]
         at = np.repeat(first[own] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
         common = np.bincount(owners[at], minlength=rows)
-        return np.flatnonzero(100 * common >= percent * (sizes[row] + sizes - common))
-
-    parent = list(range(rows))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    found = []
-    near_first = np.zeros(rows, bool)
-    near_first[linked(0)] = True
-    for row in [0, *np.flatnonzero(~near_first).tolist()]:
-        for other in linked(row).tolist():
-            x, y = root(row), root(other)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                found.append((row, other))
-    return found
+        near = 100 * common >= percent * (sizes[row] + sizes - common)
+        for other in np.flatnonzero(near if sides is None else near & (sides != sides[row])).tolist():
+            if forest.join(listed[row], listed[other]):
+                found.append((listed[row], listed[other]))
+                apart -= 1
+        if apart == 1:
+            break
+    return forest, found
 
 
-def cluster_links(units: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links (``a, b``) inside units of comparison: ``unit, rep, blocks``.
+def by_group(rows: DataFrame, width: int, numbers: int, finish, schema: str) -> DataFrame:
+    """``finish(key, numbers, sets, bounds)`` for the rows of every group, together in one task; it gives columns.
 
-    The members of a unit are hashed into its blocks, and every pair of blocks is one group of rows for a task.
+    rows: ``width`` columns that name a group, ``numbers`` columns of whole numbers, and a text.
     """
-    member = units.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    member = member.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    grid = member.select("unit", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep")
-    rows = grid.join(texts, grid.rep == texts.doc_id).select("unit", "i", "j", "rep", "text")
-    rows = rows.repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j", "rep")
+    names = rows.columns[: width + numbers]
+    ordered = rows.repartition(*names[:width]).sortWithinPartitions(*names)
+    out_names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         now = None
 
         def finished() -> pa.RecordBatch:
-            ids = np.concatenate([h[0] for h in held])
             sizes = np.concatenate([h[2] for h in held])
-            links = set_links(np.concatenate([h[1] for h in held]), np.concatenate(([0], np.cumsum(sizes))), percent)
-            pairs = ids[np.array(links, np.int64).reshape(-1, 2)]
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            columns = finish(now, np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), np.concatenate(([0], np.cumsum(sizes))))
+            return pa.RecordBatch.from_arrays([pa.array(np.asarray(c, np.int64)) for c in columns], names=out_names)
 
         for batch in batches:
-            names = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
-            ids = batch.column(3).to_numpy()
-            cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
-            for x, y in zip([0, *cuts], [*cuts, len(ids)], strict=True):
+            table = np.stack([batch.column(k).to_numpy() for k in range(width + numbers)], axis=1)
+            cuts = np.flatnonzero((table[1:, :width] != table[:-1, :width]).any(axis=1)) + 1
+            for x, y in zip([0, *cuts], [*cuts, len(table)], strict=True):
                 if x == y:
                     continue
-                if now is not None and tuple(names[x]) != now:
+                if now is not None and tuple(table[x, :width]) != now:
                     yield finished()
                     held = []
-                now = tuple(names[x])
-                for part in slices(batch.column(4).slice(x, y - x)):
+                now = tuple(table[x, :width])
+                for part in slices(batch.column(width + numbers).slice(x, y - x)):
                     sets, bounds = shingle_hashes(part)
-                    held.append((ids[x + part.first : x + part.first + part.rows], sets, np.diff(bounds)))
+                    held.append((table[x + part.first : x + part.first + part.rows, width:], sets, np.diff(bounds)))
         if held:
             yield finished()
 
-    return map_batches(rows, run, "a long, b long")
+    return map_batches(ordered, run, schema)
+
+
+def cluster_links(units: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (``a, b``) that connect the members of units of comparison (``unit, rep, blocks``) as all their links would.
+
+    Members are hashed into the blocks of their unit.  1. Every block is compared inside; its members get a local root.  2. Every
+    block is compared with block 0; roots that meet the largest root of block 0 are settled.  3. The members of roots that are
+    not settled are hashed into blocks of their own, each of which is compared with all blocks, its own and the settled ones.  A comparison
+    gives at most one link for two roots, so copies give about one link per text and block.
+    """
+
+    def inside(key, numbers, sets, bounds):
+        forest, _ = joined_sets(numbers[:, 0], sets, bounds, percent)
+        reps = np.unique(numbers[:, 0])
+        return [np.full(len(reps), key[0]), np.full(len(reps), key[1]), np.full(len(reps), key[2]), reps, [forest.root(x) for x in reps.tolist()]]
+
+    placed = units.select("unit", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"), "blocks", "rep")
+    whole = placed.join(texts, placed.rep == texts.doc_id).select("unit", "block", "blocks", "rep", "text")
+    rooted = staged(by_group(whole, 3, 1, inside, "unit long, block long, blocks long, rep long, root long"), "rooted")
+    links = rooted.filter("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
+
+    # Block 0 goes to every other block of its unit.
+    wide = rooted.filter("blocks > 1")
+    others = F.when(F.col("block") == 0, F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
+    star = wide.select("unit", F.explode(others).alias("other"), (F.col("block") > 0).cast("long").alias("side"), "root", "rep")
+    star = star.join(texts, star.rep == texts.doc_id).select("unit", "other", "side", "root", "rep", "text")
+
+    def with_first(key, numbers, sets, bounds):
+        """Links, and under kind 1 the settled roots."""
+        side, roots = numbers[:, 0], numbers[:, 1]
+        forest, found = joined_sets(roots, sets, bounds, percent, side)
+        found = np.array(found, np.int64).reshape(-1, 2)
+        if not (side == 0).any():
+            return [np.zeros(0)] * 4
+        held, many = np.unique(roots[side == 0], return_counts=True)
+        main = int(held[np.argmax(many)])
+        settled = [x for x in np.unique(roots).tolist() if forest.root(x) == forest.root(main)]
+        kinds = np.repeat([0, 1], [len(found), len(settled)])
+        return [kinds, np.full(len(kinds), key[0]), np.concatenate((found[:, 0], settled)), np.concatenate((found[:, 1], settled))]
+
+    met = staged(by_group(star, 2, 3, with_first, "kind long, unit long, a long, b long"), "met")
+    links = links.unionByName(met.filter("kind = 0").select("a", "b"))
+    settled = met.filter("kind = 1").select("unit", F.col("a").alias("root"), F.lit(True).alias("settled")).distinct()
+    marked = staged(wide.join(settled, ["unit", "root"], "left").withColumn("settled", F.coalesce("settled", F.lit(False))), "marked")
+
+    # Unsettled members in blocks of their own (kind 0 below), against settled blocks (kind 1) and each other (kind 0).
+    left = marked.filter("NOT settled")
+    open_units = left.groupBy("unit").agg(F.count(F.lit(1)).alias("open"), F.max("blocks").alias("blocks"), F.max("blocks").alias("_b"))
+    members = marked.groupBy("unit").agg(F.count(F.lit(1)).alias("members"))
+    open_units = open_units.join(members, "unit").select(
+        "unit", F.ceil(F.col("open") * F.col("_b") / F.col("members")).alias("open_blocks")
+    )
+    left = left.join(open_units, "unit").withColumn("mine", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("open_blocks")))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    mutual = F.sequence(F.lit(0).cast("long"), F.col("open_blocks") - 1)
+    to_settled = left.select("unit", "mine", F.lit(1).cast("long").alias("kind"), F.explode(every).alias("other"), F.lit(0).cast("long").alias("side"), "root", "rep")
+    pair = left.withColumn("other", F.explode(mutual))
+    mutually = pair.select(
+        "unit", F.least("mine", "other").alias("mine"), F.lit(0).cast("long").alias("kind"), F.greatest("mine", "other").alias("other"),
+        (F.col("mine") > F.col("other")).cast("long").alias("side"), "root", "rep",
+    )
+    rest = marked.filter("settled").join(open_units, "unit")
+    asked = rest.withColumn("mine", F.explode(mutual)).select(
+        "unit", "mine", F.lit(1).cast("long").alias("kind"), F.col("block").alias("other"), F.lit(1).cast("long").alias("side"), "root", "rep"
+    )
+    grid = to_settled.unionByName(mutually).unionByName(asked)
+    grid = grid.join(texts, grid.rep == texts.doc_id).select("unit", "mine", "kind", "other", "side", "root", "rep", "text")
+
+    def rest_links(key, numbers, sets, bounds):
+        # A block of unsettled members alone is compared inside, all others across.
+        across = key[2] == 1 or key[1] != key[3]
+        _, found = joined_sets(numbers[:, 1], sets, bounds, percent, numbers[:, 0] if across else None)
+        return np.array(found, np.int64).reshape(-1, 2).T
+
+    return links.unionByName(by_group(grid, 4, 3, rest_links, "a long, b long"))
 
 
 def comparison_units(buckets: DataFrame, clusters: DataFrame, texts: DataFrame, block: int, block_bytes: int) -> DataFrame:
     """``unit, rep, blocks``: clusters, or the buckets of a cluster where these move fewer rows.
 
-    buckets: ``key, rep``; clusters: ``node, component``.  A unit has a block per ``block`` members up to 64, more only as far as
-    its texts need them to stay below ``block_bytes`` each.
+    buckets: ``key, rep``; clusters: ``node, component``.  A unit has a block per ``block`` members, and as many more as its texts need
+    to stay below ``block_bytes`` each.
     """
-    sizes = texts.select(F.col("doc_id").alias("rep"), F.octet_length("text").alias("bytes"))
-    members = clusters.select(F.col("node").alias("rep"), "component").join(sizes, "rep")
+    sizes = texts.groupBy(F.col("doc_id").alias("rep")).agg(F.sum(F.octet_length("text")).alias("bytes"))
+    members = staged(clusters.select(F.col("node").alias("rep"), "component").join(sizes, "rep"), "members")
     by_key = buckets.join(members, "rep")
 
     def blocks(members: Column, total: Column) -> Column:
-        return F.greatest(F.least(F.ceil(members / block), F.lit(64)), F.ceil(total / block_bytes))
+        return F.greatest(F.ceil(members / block), F.ceil(total / block_bytes))
 
     n, total = F.count(F.lit(1)), F.sum("bytes")
     whole = members.groupBy("component").agg(n.alias("n"), blocks(n, total).alias("blocks"))
-    keys = by_key.groupBy("component", "key").agg(n.alias("n"), blocks(n, total).alias("blocks"))
-    single = keys.groupBy("component").agg(F.sum(F.col("n") * F.col("blocks")).alias("cost"))
-    chosen = whole.join(single, "component").withColumn("together", F.col("n") * F.col("blocks") <= F.col("cost"))
-    one = members.join(chosen.filter("together"), "component").select(F.col("component").alias("unit"), "rep", "blocks")
-    apart = keys.join(chosen.filter("NOT together").select("component"), "component", "left_semi").select("key", "blocks")
+    keys = staged(by_key.groupBy("component", "key").agg(n.alias("n"), blocks(n, total).alias("blocks")), "keys")
+    single = keys.groupBy("component").agg(F.sum(F.col("n") * F.col("blocks")).alias("cost"), n.alias("keys"))
+    chosen = staged(whole.join(single, "component").withColumn("together", F.col("n") * F.col("blocks") <= F.col("cost")), "chosen")
+    # At most twice as many components as the share says.
+    hot = chosen.filter(F.greatest("n", "keys") >= max(1, max(keys.count(), members.count()) // HOT_SHARE))
+    one = looked_up(members, chosen, ["component"], hot).filter("together").select(F.col("component").alias("unit"), "rep", "blocks")
+    apart = looked_up(keys.select("component", "key", F.col("blocks").alias("own")), chosen, ["component"], hot)
+    apart = apart.filter("NOT together").select("key", F.col("own").alias("blocks"))
     many = buckets.join(apart, "key").select(F.xxhash64("key", F.lit("bucket")).alias("unit"), "rep", "blocks")
     return one.unionByName(many)
 
 
+def bucket_edges(buckets: DataFrame) -> DataFrame:
+    """Edges (``a, b``) that connect the members of all buckets: each with its smallest lead, and this with the other leads.
+
+    buckets: ``key, rep, lead``.  Near copies share their leads, so their edges between leads fall together.
+    """
+    own = buckets.groupBy("rep").agg(F.min("lead").alias("a"), F.collect_set("lead").alias("leads"))
+    member = own.filter("rep != a").select("a", F.col("rep").alias("b"))
+    between = own.select("a", F.explode("leads").alias("b")).filter("a != b")
+    return member.unionByName(between).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for all nodes of ``edges`` (``a, b``): the smallest node that can be reached.
 
@@ -277,42 +383,54 @@ def near_components(
 
     Defined cases: a text without words (or null) has an empty set and is linked with nothing; a text of fewer than
     five words has its whole sequence as its only shingle.  Rows that repeat an id with the same set are all in its component
-    and share its ``kept``; an id that repeats with other texts links them, and one of its texts stands for it in comparisons.  A row with a null id is linked with nothing, has a null
-    component and is kept.  An empty table gives no rows.  Other columns are not read.
+    and share its ``kept``; an id that repeats with other texts links them, and each of its texts is compared.  A row with a null id is linked with
+    nothing, has a null component and is kept.  An empty table gives no rows.  Other columns are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marks = staged(sketched(docs, id_col, text_col, bands, rows), "sketches")
     usable = marks.filter("n_shingles > 0 AND doc_id IS NOT NULL")
 
-    # Equal sets: one class, named by its smallest id.  Keys of equal sets are equal.
+    # Equal sets: one class, named by its smallest id and, of that id, one text.  Keys of equal sets are equal.
     by_set = ["n_shingles", "low", "high"]
-    classes = staged(usable.groupBy(*by_set).agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")), "classes")
-    members = usable.select("doc_id", *by_set).join(classes.select(*by_set, "rep"), by_set).select("doc_id", "n_shingles", "rep")
+    classes = usable.groupBy(*by_set).agg(
+        F.min(F.struct("doc_id", "mark")).alias("first"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("copies")
+    )
+    classes = staged(classes.select(*by_set, F.col("first.doc_id").alias("rep"), F.col("first.mark").alias("mark"), "keys", "copies"), "classes")
 
     keyed = classes.select("rep", F.explode("keys").alias("key"))
     leads = keyed.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).filter("lead < last")
     buckets = staged(keyed.join(leads.drop("last"), "key"), "buckets")
-    clusters = components(buckets.filter("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")))
-    wanted = clusters.select(F.col("node").alias("doc_id"))
-    near = in_bitmap(F.col("doc_id"), wanted, texts).join(wanted, "doc_id", "left_semi")
-    near = staged(near.dropDuplicates(["doc_id"]), "texts")
-    units = comparison_units(buckets.select("key", "rep"), clusters, near, block, block_bytes)
-    links = staged(cluster_links(units, near, percent).distinct(), "links")
+    clusters = components(bucket_edges(buckets))
+    # An id that repeats may stand for several classes: all their texts are compared.
+    wanted = classes.select(F.col("rep").alias("doc_id"), "mark").join(clusters.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    wanted = staged(wanted, "wanted")
+    near = in_bitmap(F.col("doc_id"), wanted, texts).withColumn("mark", F.xxhash64("text"))
+    near = near.join(wanted, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
+    near = staged(near.select("doc_id", "text"), "texts")
+    units = staged(comparison_units(buckets.select("key", "rep").distinct(), clusters, near, block, block_bytes), "units")
+    links = staged(cluster_links(units, near, percent).filter("a != b").distinct(), "links")
     # An id that repeats with other texts is in several classes and links them.
-    shared = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z")
-    twice = members.join(shared, "doc_id").filter("rep != a").select("a", F.col("rep").alias("b")).distinct()
-    twice = staged(twice, "links")
+    repeated = usable.groupBy("doc_id").agg(F.min("low").alias("low"), F.max("low").alias("high")).filter("low < high").select("doc_id")
+    several = usable.join(repeated, "doc_id", "left_semi").select("doc_id", *by_set).distinct()
+    several = several.join(classes.select(*by_set, "rep"), by_set).select("doc_id", "rep")
+    shared = several.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    twice = staged(several.join(shared, "doc_id").filter("rep != a").select("a", F.col("rep").alias("b")).distinct(), "links")
     labels = components(links.union(twice))
 
-    found = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
-    )
+    named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    named = staged(named.select(*by_set, F.coalesce("component", "rep").alias("component_id"), "copies"), "named")
+    hot = named.filter(F.col("copies") >= max(2, marks.count() // HOT_SHARE)).drop("copies")
+    found = looked_up(usable.select("doc_id", *by_set), named.drop("copies"), by_set, hot).select("doc_id", "n_shingles", "component_id")
     alone = marks.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return found.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
-    """The rows of ``docs`` whose id leads its component, with all their columns."""
+    """The rows of ``docs`` whose id leads its component, with all their columns.
+
+    Defined cases as in :func:`near_components`: texts without words and rows with a null id stay; rows that repeat a kept id stay, with
+    whatever text; an empty table gives no rows; columns of any name are passed on.
+    """
     kept = near_components(docs, id_col, text_col, **options).filter("kept")
     keys = kept.select(F.col("doc_id").alias("__kept_id"))
     return docs.join(keys, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")

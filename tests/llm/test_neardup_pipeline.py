@@ -5,10 +5,12 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from stockwise.llm import neardup
-from stockwise.llm.queries import op7_near_dedup, table
+from stockwise.llm.queries import op7_near_dedup, table, vocabulary
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -100,6 +102,45 @@ def test_an_id_with_two_texts_links_both(docs_of):
     assert {(r.doc_id, r.component_id) for r in found} == {(5, 3), (3, 3), (4, 3), (9, 9)}
 
 
+def test_links_grow_with_the_cluster_not_its_square(spark):
+    """Near copies of one text over many blocks: about one link per text and block."""
+    r = random.Random(8)
+    base = [r.choice([f"w{k}" for k in range(500)]) for _ in range(80)]
+    for n in (256, 1024):
+        rows = [(k, " ".join(base[:40] + [f"own{k}"] + base[40:])) for k in range(n)]
+        texts = spark.createDataFrame(rows, "doc_id long, text string")
+        units = texts.select(F.lit(1).cast("long").alias("unit"), F.col("doc_id").alias("rep"), F.lit(n // 32).cast("long").alias("blocks"))
+        links = neardup.cluster_links(units, texts, 75)
+        assert n - 1 <= links.count() < 1.1 * n
+        assert {x.component for x in neardup.components(links).collect()} == {0}
+
+
+def test_strays_in_a_cluster_are_compared_with_all(spark):
+    """Copies, and texts that are linked with each other only, wherever the blocks put them."""
+    r = random.Random(9)
+    words = [f"w{k}" for k in range(500)]
+    base = [r.choice(words) for _ in range(60)]
+    rows = [(k, " ".join(base[:30] + [f"own{k}"] + base[30:])) for k in range(200)]
+    for k in range(1000, 1060, 2):
+        own = [r.choice(words) for _ in range(60)]
+        rows += [(k, " ".join(own)), (k + 1, " ".join(own[:50] + ["x"] + own[51:]))]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    units = texts.select(F.lit(1).cast("long").alias("unit"), F.col("doc_id").alias("rep"), F.lit(13).cast("long").alias("blocks"))
+    found = {x.node: x.component for x in neardup.components(neardup.cluster_links(units, texts, 75)).collect()}
+    assert found == {i: c for i, (_, c) in brute(rows).items()}
+
+
+def test_an_id_with_many_texts_loses_no_link(docs_of):
+    """Every text of a repeated id is compared, whichever stands first."""
+    r = random.Random(4)
+    words = [f"w{k}" for k in range(400)]
+    own = [[r.choice(words) for _ in range(50)] for _ in range(4)]
+    near = [x[:25] + ["new"] + x[26:] for x in own]
+    rows = [(5, " ".join(x)) for x in own] + [(10 + k, " ".join(x)) for k, x in enumerate(near)] + [(99, "alone " * 9)]
+    found = {r.doc_id: r.component_id for r in neardup.near_components(docs_of(rows)).collect()}
+    assert found == {5: 5, 10: 5, 11: 5, 12: 5, 13: 5, 99: 99}
+
+
 def test_sketch_coordinates_estimate_the_similarity():
     r = np.random.default_rng(1)
     for size in (3, 40, 2000):
@@ -136,6 +177,8 @@ def test_pipeline_stages(spark, docs_of, tmp_path):
         words, lang = (english, "en") if k % 2 else (german, "de")
         rows.append((k, " ".join(r.choice(words) for _ in range(40)), lang))
     rows += [(200 + k, " ".join(r.choice(["buy", "win"]) + "$$$" for _ in range(40)), "en") for k in range(40)]
+    rows += [(400 + k, " ".join("".join(r.choice("qxzjvkw") for _ in range(6)) for _ in range(30)), None) for k in range(5)]
+    rows += [(500, "sky", "en"), (501, "ok", "en"), (502, "Berg", None)]
     rows += [(300, rows[3][1].upper(), "en"), (301, rows[3][1], "en"), (302, rows[5][1] + " sky", "en"), (303, None, None), (304, "12 34", None)]
     docs_of(rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     labels = [(k, 1, 0) for k in range(100)] + [(200 + k, 0, 0) for k in range(35)]
@@ -150,7 +193,9 @@ def test_pipeline_stages(spark, docs_of, tmp_path):
         docs = spark.read.parquet(f"{tmp_path}/{name}")
         seen[name] = {x.doc_id: x.text for x in docs.collect()}
     assert not any(200 <= i < 240 for i in seen["quality"]) and set(range(120)) <= set(seen["quality"])
-    assert set(seen["language"]) == {i for i, t in seen["quality"].items() if t and re.search("[A-Za-z]", t)}
+    gibberish = set(range(400, 405))
+    assert gibberish & set(seen["quality"]) and {500, 501, 502} <= set(seen["language"])
+    assert set(seen["language"]) == {i for i, t in seen["quality"].items() if t and re.search("[A-Za-z]", t)} - gibberish
     largest = {}
     for i, t in seen["language"].items():
         largest[t.lower()] = max(i, largest.get(t.lower(), i))
@@ -159,4 +204,23 @@ def test_pipeline_stages(spark, docs_of, tmp_path):
     assert set(seen["near_dedup"]) == {i for i, (_, c) in expected.items() if i == c}
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {x.doc_id for x in packed} == set(seen["near_dedup"])
-    assert sum(x.n_tokens for x in packed) == sum(len(t.encode()) + 1 for t in seen["near_dedup"].values())
+    library = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    assert sum(x.n_tokens for x in packed) == sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for t in seen["near_dedup"].values())
+
+
+@pytest.mark.parametrize("rows", ["odd", "empty"])
+def test_pipeline_on_odd_tables(spark, docs_of, odd_rows, tmp_path, rows):
+    """Nulls, empty and long texts, repeated ids, clashing columns, no labels; and no rows at all."""
+    given = odd_rows + [(11, "alpha beta gamma"), (11, "delta epsilon"), (12, "delta epsilon")] if rows == "odd" else []
+    docs_of(given).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = table(spark, str(tmp_path), "documents")
+    # Without labels nothing reaches the bar, so the later stages get the whole table here.
+    assert corpus_pipeline.quality(spark, docs, str(tmp_path)).collect() == []
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        kept = stage(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns
+    kept = corpus_pipeline.exact_dedup(spark, docs, str(tmp_path)).collect()
+    assert {(r.doc_id, r.text) for r in kept if r.doc_id in (11, 12)} == ({(11, "alpha beta gamma"), (12, "delta epsilon")} if given else set())
+    packed = corpus_pipeline.packing(spark, docs, str(tmp_path)).collect()
+    assert len({x.doc_id for x in packed}) == len({r[0] for r in given})
