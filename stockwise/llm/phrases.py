@@ -7,29 +7,33 @@ all their parts are.  Where a counted phrase turns out frequent without having b
 proposed now and a further pass counts the phrases that this admits and no others; passes go on until none fails.  Then all
 frequent phrases are known with exact counts, whatever the sample was.
 
-Proposals travel as a bit map of fixed size over hashes of phrases (``2 ** bits`` bits, whatever the data): a phrase that shares a
+Proposals travel as a bit map of bounded size over hashes of phrases (``2 ** bits`` bits at most, whatever the data): a phrase that shares a
 bit is counted without need, and nothing else.  A pass numbers the distinct words of a slice of text exactly, counts phrases of
 numbers with arrays and hands out each distinct phrase of the slice once; Spark adds up, first inside the task.
+
+A phrase is a row of 64-bit word codes, so that counting moves numbers only.  A second hash per word tells whether two words share
+a code, which would raise an error; the words of the phrases that are returned are looked up at the end.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from stockwise.llm.textbytes import LOWER, Slice, joined_spans, mixed, slices, span_numbers, spans_of
+from stockwise.llm.skew import HOT_SHARE, looked_up
+from stockwise.llm.textbytes import LOWER, Slice, gathered, joined_spans, mixed, slices, span_numbers, spans_of
 from stockwise.llm.workers import map_batches
 from stockwise.session import staged
 
-LONGEST = 3
-SLICE = 4 << 20
+SLICE = 1 << 19
 SAMPLE_SHARE = 0.25
 BITS = 26
 
@@ -39,17 +43,31 @@ _WORD = ~_BREAK
 _WORD[[0x20, 0x09]] = False
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
-COUNTED = "lang string, size int, phrase string, code long, proposed boolean, n long"
+#: The codes of a phrase.  A pair has 0 as third code, a word 0 as second and another hash as third, and only words have a language; a
+#: language's number of words stands under its code and this mark.
+CODES = ["c1", "c2", "c3"]
+TOTAL = -1
+COUNTED = "c1 long, c2 long, c3 long, lang long, n long"
+
+
+def language_codes(names: pa.Array) -> np.ndarray:
+    return np.array([int.from_bytes(blake2b(x.encode(), digest_size=8).digest(), "little") for x in names.to_pylist()], np.uint64)
+
+
+def pair_codes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One code for two; a word alone has the second code 0."""
+    return mixed(first * _GOLDEN + second)
 
 
 class Proposed:
-    """A set of phrases by their codes: a bit map that may hold more than was put in, never less."""
+    """Words and pairs by their codes: a bit map that may hold more than was put in, never less."""
 
     def __init__(self, words: np.ndarray):
         self.words = words
         self.shift = np.uint64(64 - int(math.log2(len(words))))
 
-    def holds(self, codes: np.ndarray) -> np.ndarray:
+    def holds(self, first: np.ndarray, second: np.ndarray | int = 0) -> np.ndarray:
+        codes = pair_codes(first, np.asarray(second, np.uint64))
         return (self.words[(codes >> self.shift).astype(np.int64)] >> (codes & np.uint64(63)) & np.uint64(1)).astype(bool)
 
     def joined(self, other: Proposed) -> Proposed:
@@ -57,13 +75,19 @@ class Proposed:
 
 
 def proposed(phrases: DataFrame, bits: int = BITS) -> Proposed:
-    """The bit map of ``code``: at most ``2 ** (bits - 6)`` numbers come to the driver."""
-    words = phrases.select(
-        F.shiftrightunsigned("code", 70 - bits).alias("word"), F.expr("shiftleft(1L, int(code & 63))").alias("bit")
-    )
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    """The bit map of ``c1, c2``: at most ``2 ** (bits - 6)`` numbers come to the driver."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = pair_codes(*(batch.column(k).to_numpy().view(np.uint64) for k in range(2)))
+            words = (codes >> np.uint64(70 - bits)).astype(np.int64)
+            marks = (np.uint64(1) << (codes & np.uint64(63))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(marks)], names=["place", "marks"])
+
+    found = map_batches(phrases.select("c1", "c2"), run, "place long, marks long")
+    found = found.groupBy("place").agg(F.bit_or("marks").alias("marks")).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
-    out[found.column("word").to_numpy()] = found.column("bit").to_numpy().view(np.uint64)
+    out[found.column("place").to_numpy()] = found.column("marks").to_numpy().view(np.uint64)
     return Proposed(out)
 
 
@@ -73,104 +97,118 @@ def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, ranks, counts
 
 
-class SlicePhrases:
-    """Words of a slice, numbered by language and bytes, and its phrases of one to three words.
+def second_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A sum over the bytes of each span, weighted by their place: a hash that shares nothing with ``span_hashes``."""
+    lengths = ends - starts
+    weights = mixed(np.arange(1, lengths.max(initial=0) + 1, dtype=np.uint64))
+    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    terms = mixed(gathered(data, starts, lengths).astype(np.uint64) + weights[place])
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
+    stops = np.cumsum(lengths)
+    return sums[stops] - sums[stops - lengths]
 
-    ``levels[k]``: positions of the first word of each distinct phrase of k + 1 words, codes, counts.
-    """
+
+class SlicePhrases:
+    """Words of a slice, numbered by language and bytes; per distinct one ``codes``, ``checks``, ``languages`` and ``counts``."""
 
     def __init__(self, part: Slice, languages: np.ndarray, language_codes: np.ndarray):
-        self.data = LOWER[part.data]
-        self.starts, self.ends = spans_of(_WORD[self.data], part.offsets)
-        n = len(self.starts)
-        rows = np.searchsorted(part.offsets, self.starts, side="right") - 1
-        self.languages = languages[rows]
-        spelled, _, hashes = span_numbers(self.data, self.starts, self.ends)
-        numbers = spelled * len(language_codes) + self.languages
-        self.first, self.words, self.counts = _ranked(numbers)
-        self.codes = mixed(hashes[spelled[self.first]] ^ language_codes[self.languages[self.first]])
-        breaks = np.cumsum(_BREAK[self.data], dtype=np.int32)
+        data = LOWER[part.data]
+        starts, ends = spans_of(_WORD[data], part.offsets)
+        rows = np.searchsorted(part.offsets, starts, side="right") - 1
+        languages = languages[rows]
+        spelled, _, hashes = span_numbers(data, starts, ends)
+        first, self.words, self.counts = _ranked(spelled * len(language_codes) + languages)
+        codes = mixed(hashes[spelled[first]] ^ language_codes[languages[first]])
+        self.codes = np.where(codes == 0, np.uint64(1), codes)
+        self.checks = mixed(second_hashes(data, starts[first], ends[first])) | np.uint64(1)
+        self.languages = languages[first]
+        self.spell = lambda at: joined_spans(data, starts[first[at]], ends[first[at]], np.arange(len(at) + 1)).cast(pa.string())
+        breaks = np.cumsum(_BREAK[data], dtype=np.int32)
         # follows[i]: word i + 1 stands in the same piece as word i.
-        self.follows = np.zeros(n, bool)
-        if n > 1:
-            self.follows[:-1] = (rows[1:] == rows[:-1]) & (breaks[self.starts[1:]] == breaks[self.ends[:-1] - 1])
+        self.follows = np.zeros(len(starts), bool)
+        if len(starts) > 1:
+            self.follows[:-1] = (rows[1:] == rows[:-1]) & (breaks[starts[1:]] == breaks[ends[:-1] - 1])
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Positions of all pairs, rank of each, and per distinct pair: a position, code, count."""
+        """Positions of all pairs, the rank of each, and per distinct pair its two words and count."""
         at = np.flatnonzero(self.follows)
         first, ranks, counts = _ranked(self.words[at] * np.int64(len(self.codes)) + self.words[at + 1])
         here = at[first]
-        codes = mixed(self.codes[self.words[here]] * _GOLDEN + self.codes[self.words[here + 1]])
-        return at, ranks, here, codes, counts
-
-    def spelled(self, at: np.ndarray, size: int) -> pa.Array:
-        """The phrases of ``size`` words from these positions on."""
-        spans = (at[:, None] + np.arange(size)).ravel()
-        return joined_spans(self.data, self.starts[spans], self.ends[spans], np.arange(len(at) + 1) * size).cast(pa.string())
+        return at, ranks, self.words[here], self.words[here + 1], counts
 
 
-def phrase_counts(docs: DataFrame, now: tuple[Proposed, Proposed] | None, before: tuple[Proposed, Proposed] | None, spell: bool) -> DataFrame:
-    """Counts of the phrases that ``now`` admits and ``before`` did not; words, and the number of all words as size 0, if before is None.
+def phrase_counts(docs: DataFrame, now: Broadcast | None, before: Broadcast | None) -> DataFrame:
+    """Counts of the phrases that ``now`` admits and ``before`` did not: ``c1, c2, c3, lang, n``.
 
-    docs: ``lang, text``; now and before: proposed words and pairs, None admits all.  ``proposed`` says whether a word or pair is
-    among the proposals of ``now``.
+    docs: ``lang, text``; now and before: proposed words and pairs (:class:`Proposed`).  Without ``before`` the words are counted too, and all
+    words of each language; without ``now`` every word and pair is.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((now, before))
-
-    def admits(sets, codes: np.ndarray, level: int) -> np.ndarray:
-        return np.ones(len(codes), bool) if sets is None else sets[level].holds(codes)
+    newer, older = now, before
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, before = shared.value
+        now, before = (None if x is None else x.value for x in (newer, older))
 
-        def new(codes: np.ndarray, level: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            ok = admits(now, codes, level)
-            fresh = ok[left] & ok[right]
-            if before is not None:
-                old = admits(before, codes, level)
-                fresh &= ~(old[left] & old[right])
-            return ok, fresh
+        def batch_of(counts: np.ndarray, *codes: np.ndarray, lang: np.ndarray | None = None) -> pa.RecordBatch:
+            none = np.zeros(len(counts), np.uint64)
+            columns = [*codes, *[none] * (3 - len(codes)), none if lang is None else lang, counts]
+            return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=[*CODES, "lang", "n"])
 
         for batch in batches:
             dictionary = batch.column(0).dictionary_encode()
-            names = dictionary.dictionary
-            codes = np.array([int.from_bytes(blake2b(x.encode(), digest_size=8).digest(), "little") for x in names.to_pylist()], np.uint64)
-            languages = dictionary.indices.to_numpy()
+            codes, languages = language_codes(dictionary.dictionary), dictionary.indices.to_numpy()
             for part in slices(batch.column(1), SLICE):
                 own = SlicePhrases(part, languages[part.first : part.first + part.rows], codes)
-
-                def out(size: int, at: np.ndarray, codes: np.ndarray, known: np.ndarray, counts: np.ndarray, own=own) -> pa.RecordBatch:
-                    phrase = own.spelled(at, size) if spell else pa.nulls(len(at), pa.string())
-                    lang = names.take(pa.array(own.languages[at]))
-                    columns = [lang, pa.array(np.full(len(at), size, np.int32)), phrase, pa.array(codes.view(np.int64)), pa.array(known), pa.array(counts)]
-                    return pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "code", "proposed", "n"])
-
                 if not len(own.words):
                     continue
                 if before is None:
-                    yield out(1, own.first, own.codes, admits(now, own.codes, 0), own.counts)
-                    one, total = np.unique(own.languages, return_index=True)[1], np.unique(own.languages, return_counts=True)[1]
-                    yield out(0, one, np.zeros(len(one), np.uint64), np.ones(len(one), bool), total)
-                at, ranks, here, pair_codes, counts = own.pairs()
+                    none = np.zeros(len(own.codes), np.uint64)
+                    yield batch_of(own.counts, own.codes, none, own.checks, lang=codes[own.languages])
+                    held = np.unique(own.languages)
+                    totals = np.bincount(own.languages, own.counts)[held].astype(np.int64)
+                    yield batch_of(totals, codes[held], np.full(len(held), TOTAL))
+                at, ranks, left, right, counts = own.pairs()
                 if not len(at):
                     continue
-                known = admits(now, pair_codes, 1)
-                _, fresh = new(own.codes, 0, own.words[here], own.words[here + 1])
-                if fresh.any():
-                    yield out(2, here[fresh], pair_codes[fresh], known[fresh], counts[fresh])
                 if now is None:
+                    yield batch_of(counts, own.codes[left], own.codes[right])
                     continue
+                ok = now[0].holds(own.codes)
+                fresh = ok[left] & ok[right]
+                pair_ok = now[1].holds(own.codes[left], own.codes[right])
                 # Triples: a pair at i and one at i + 1.
                 k = np.flatnonzero(at[1:] == at[:-1] + 1)
-                _, fresh = new(pair_codes, 1, ranks[k], ranks[k + 1])
-                k = k[fresh]
+                fresh3 = pair_ok[ranks[k]] & pair_ok[ranks[k + 1]]
+                if before is not None:
+                    old = before[0].holds(own.codes)
+                    fresh &= ~(old[left] & old[right])
+                    pair_old = before[1].holds(own.codes[left], own.codes[right])
+                    fresh3 &= ~(pair_old[ranks[k]] & pair_old[ranks[k + 1]])
+                if fresh.any():
+                    yield batch_of(counts[fresh], own.codes[left[fresh]], own.codes[right[fresh]])
+                k = k[fresh3]
                 if len(k):
-                    first, _, counts = _ranked(ranks[k] * np.int64(len(own.codes)) + own.words[at[k] + 2])
-                    codes3 = np.zeros(len(first), np.uint64)
-                    yield out(3, at[k[first]], codes3, np.ones(len(first), bool), counts)
+                    last = own.words[at[k] + 2]
+                    first, _, counts = _ranked(ranks[k] * np.int64(len(own.codes)) + last)
+                    pair = ranks[k[first]]
+                    yield batch_of(counts, own.codes[left[pair]], own.codes[right[pair]], own.codes[last[first]])
 
-    found = map_batches(docs, run, COUNTED)
-    return found.groupBy("lang", "size", "phrase", "code", "proposed").agg(F.sum("n").alias("n"))
+    return map_batches(docs, run, COUNTED).groupBy(*CODES, "lang").agg(F.sum("n").alias("n"))
+
+
+def words_of(docs: DataFrame, wanted: Broadcast) -> DataFrame:
+    """``code, word`` of the words whose code the bit map ``wanted`` holds, and some more."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dictionary = batch.column(0).dictionary_encode()
+            codes, languages = language_codes(dictionary.dictionary), dictionary.indices.to_numpy()
+            for part in slices(batch.column(1), SLICE):
+                own = SlicePhrases(part, languages[part.first : part.first + part.rows], codes)
+                at = np.flatnonzero(wanted.value.holds(own.codes))
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(own.codes[at].view(np.int64)), own.spell(at)], names=["code", "word"])
+
+    return map_batches(docs, run, "code long, word string").distinct()
 
 
 def lowered(least: int, share: float, miss: float = 0.3) -> int:
@@ -183,43 +221,72 @@ def lowered(least: int, share: float, miss: float = 0.3) -> int:
         k += 1
 
 
+def sized(phrases: DataFrame, size: int) -> DataFrame:
+    """The phrases of so many words."""
+    return phrases.filter({1: "c2 = 0", 2: f"c2 != 0 AND c2 != {TOTAL} AND c3 = 0", 3: "c2 != 0 AND c3 != 0"}[size])
+
+
 def frequent_phrases(docs: DataFrame, least: int, share: float = SAMPLE_SHARE, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
-    """All words, pairs and triples that occur at least ``least`` times: ``lang, size, phrase, n``; and the words of each ``lang``.
+    """All words, pairs and triples that occur at least ``least`` times: ``c1, c2, c3, lang, n``; and the words of each language: ``lang, n``.
 
-    docs: ``id, lang, text``.
+    docs: ``id, lang, text``.  Languages stand for their names as codes, words only know theirs.
     """
     chosen = F.pmod(F.xxhash64(F.lit("phrases"), "id"), F.lit(1 << 20)) < int(share * (1 << 20))
-    proposals = phrase_counts(docs.filter(chosen).select("lang", "text"), None, None, spell=False)
-    proposals = staged(proposals.filter((F.col("size") > 0) & (F.col("n") >= lowered(least, share))).select("size", "code"), "proposals")
-    now, before = tuple(proposed(proposals.filter(F.col("size") == k), bits) for k in (1, 2)), None
-    passes = []
+    sample = phrase_counts(docs.filter(chosen).select("lang", "text"), None, None)
+    sample = staged(sample.filter((F.col("c2") != TOTAL) & (F.col("n") >= lowered(least, share))).select(*CODES), "proposals")
+    # Eight to sixteen bits a proposal as far as ``bits`` allows; a fuller map only counts more in vain.
+    bits = min(bits, max(16, (8 * sample.count()).bit_length()))
+    now = tuple(proposed(sized(sample, k), bits) for k in (1, 2))
+    share_out = docs.sparkSession.sparkContext.broadcast
+    shared, older, passes = share_out(now), None, []
     while True:
-        counted = phrase_counts(docs.select("lang", "text"), now, before, spell=True)
-        kept = staged(counted.filter((F.col("size") == 0) | (F.col("n") >= least)), "phrases")
+        counted = phrase_counts(docs.select("lang", "text"), shared, older)
+        # All words are kept, to see whether two of them share a code.
+        kept = staged(counted.filter(F.col("c2").isin(TOTAL, 0) | (F.col("n") >= least)), "phrases")
+        if older is None and not sized(kept, 1).groupBy("c1").count().filter("count > 1").isEmpty():
+            raise RuntimeError("two words share a code")
+        kept = kept.filter((F.col("c2") == TOTAL) | (F.col("n") >= least))
         passes.append(kept)
-        failures = kept.filter(~F.col("proposed"))
-        more = tuple(proposed(failures.filter(F.col("size") == k), bits) for k in (1, 2))
+        failed = staged(failures(sized(kept, 1).unionByName(sized(kept, 2)), shared), "failures")
+        more = tuple(proposed(sized(failed, k), bits) for k in (1, 2))
         if not any(m.words.any() for m in more):
             break
-        before, now = now, tuple(a.joined(b) for a, b in zip(now, more, strict=True))
-    every = reduce(DataFrame.unionByName, passes).select("lang", "size", "phrase", "n")
-    words = passes[0].filter(F.col("size") == 0).groupBy("lang").agg(F.sum("n").alias("n"))
-    return every.filter("size > 0"), words
+        now = tuple(a.joined(b) for a, b in zip(now, more, strict=True))
+        if older is not None:
+            older.destroy()
+        shared, older = share_out(now), shared
+    # What they were for is written.
+    for done in (shared, older):
+        if done is not None:
+            done.destroy()
+    totals = passes[0].filter(F.col("c2") == TOTAL).select(F.col("c1").alias("lang"), "n")
+    return reduce(DataFrame.unionByName, passes).filter(F.col("c2") != TOTAL), totals
+
+
+def failures(phrases: DataFrame, shared: Broadcast) -> DataFrame:
+    """The words and pairs (``c1, c2, c3``) that were not proposed."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c1, c2 = (batch.column(k).to_numpy() for k in range(2))
+            known = [p.holds(c1.view(np.uint64), c2.view(np.uint64)) for p in shared.value]
+            yield batch.filter(pa.array(~np.where(c2 == 0, *known)))
+
+    return map_batches(phrases.select(*CODES), run, "c1 long, c2 long, c3 long")
 
 
-def with_count(rows: DataFrame, part: str, count: str, counts: DataFrame, hot: DataFrame) -> DataFrame:
-    """Adds the count of the phrase in column ``part`` as ``count``.
+def with_counts(rows: DataFrame, parts: Mapping[str, Sequence[str]], counts: DataFrame, hot_from: int) -> DataFrame:
+    """Adds, under each name of ``parts``, the count of the phrase whose codes stand in the given columns.
 
-    hot: the phrases with a thousandth or more of all word occurrences, a few thousand at most; only they can meet many rows.
+    counts: ``codes, n``; hot_from: the count from which a phrase may meet many rows, a thousandth of all words, so that the
+    phrases above it are few.
     """
-    named = [F.col("lang").alias("__lang"), F.col("phrase").alias("__phrase"), F.col("n").alias("__n")]
-    on = (rows["lang"] == F.col("__lang")) & (rows[part] == F.col("__phrase"))
-    marked = rows.join(F.broadcast(hot.select(*named)), on, "left")
-    found = marked.filter("__n IS NOT NULL").withColumnRenamed("__n", count).drop("__lang", "__phrase")
-    rest = marked.filter("__n IS NULL").drop("__lang", "__phrase", "__n")
-    on = (rest["lang"] == F.col("__lang")) & (rest[part] == F.col("__phrase"))
-    cold = counts.join(F.broadcast(hot), ["lang", "phrase"], "left_anti").select(*named)
-    return found.unionByName(rest.join(cold, on).withColumnRenamed("__n", count).drop("__lang", "__phrase"))
+    for name, columns in parts.items():
+        named = [F.col(c).alias(x) for c, x in zip(CODES, columns, strict=False)]
+        table = sized(counts, len(columns)).select(*named, F.col("n").alias(name))
+        # Written, since the next look-up reads the rows twice.
+        rows = staged(looked_up(rows, table, list(columns), table.filter(F.col(name) >= hot_from)), "counted")
+    return rows
 
 
 def cut_score(a: str, left: str, right: str) -> str:
@@ -254,33 +321,48 @@ def collocations(
     rows = docs.select(
         docs[id_col].alias("id"), F.coalesce(docs[lang_col], F.lit("und")).alias("lang"), docs[text_col].alias("text")
     )
-    counts, words = frequent_phrases(rows, least, share, bits)
-    total = words.agg(F.sum("n")).first()[0] or 0
-    hot = counts.filter(F.col("n") >= max(least, total // 1000)).select("lang", "phrase", "n")
-    candidates = counts.filter("size >= 2").withColumnRenamed("n", "a")
-    parts = candidates.withColumns({
-        "w1": F.substring_index("phrase", " ", 1),
-        "w3": F.substring_index("phrase", " ", -1),
-        "p12": F.expr("IF(size = 3, substring_index(phrase, ' ', 2), NULL)"),
-        "p23": F.expr("IF(size = 3, substring(phrase, length(substring_index(phrase, ' ', 1)) + 2), NULL)"),
-    })
-    ends = staged(with_count(with_count(parts, "w1", "f1", counts, hot), "w3", "f3", counts, hot), "ends")
-    two = ends.filter("size = 2").select("lang", "phrase", "a", F.col("f1").alias("l"), F.col("f3").alias("r"))
-    three = ends.filter("size = 3")
-    three = with_count(with_count(three, "p12", "f12", counts, hot), "p23", "f23", counts, hot)
-    three = three.withColumns({"s1": F.expr(cut_score("a", "f1", "f23")), "s2": F.expr(cut_score("a", "f12", "f3"))})
-    inner = (
-        ends.filter("size = 3")
-        .select("lang", "a", F.explode(F.array("p12", "p23")).alias("phrase"))
-        .groupBy("lang", "phrase")
-        .agg(F.max("a").alias("longer"))
-    )
-    two = two.join(inner, ["lang", "phrase"], "left").filter(F.expr(f"longer IS NULL OR 100 * longer < {inside_percent} * a"))
-    two = two.select("lang", "phrase", "a", "l", "r", F.expr(cut_score("a", "l", "r")).alias("score"))
-    three = three.select(
-        "lang", "phrase", "a", F.expr("IF(s1 <= s2, f1, f12)").alias("l"), F.expr("IF(s1 <= s2, f23, f3)").alias("r"),
-        F.least("s1", "s2").alias("score"),
+    counts, totals = frequent_phrases(rows, least, share, bits)
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    hot_from = max(least, total // HOT_SHARE)
+    score = cut_score("a", "l", "r")
+    found = sized(counts, 3).select(*CODES, F.col("n").alias("a"))
+    parts = {"f1": ["c1"], "f23": ["c2", "c3"], "f12": ["c1", "c2"], "f3": ["c3"]}
+    three = with_counts(found, parts, counts, hot_from)
+    one, two = F.expr(cut_score("a", "f1", "f23")), F.expr(cut_score("a", "f12", "f3"))
+    three = three.withColumns({"s1": one, "s2": two})
+    scored3 = three.select(
+        *CODES, "a", F.expr("IF(s1 <= s2, f1, f12)").alias("l"), F.expr("IF(s1 <= s2, f23, f3)").alias("r"), F.least("s1", "s2").alias("score")
     )
+    # The greatest count of a triple that holds the pair.
+    inner = three.select("a", F.explode(F.array(F.struct("c1", "c2"), F.struct(F.col("c2").alias("c1"), F.col("c3").alias("c2")))).alias("p"))
+    inner = inner.groupBy("p.c1", "p.c2").agg(F.max("a").alias("longer"))
+    pairs = sized(counts, 2).select("c1", "c2", F.lit(0).cast("long").alias("c3"), F.col("n").alias("a"))
+    pairs = pairs.join(inner, ["c1", "c2"], "left").filter(F.expr(f"longer IS NULL OR 100 * longer < {inside_percent} * a")).drop("longer")
+    scored2 = with_counts(staged(pairs, "pairs"), {"l": ["c1"], "r": ["c2"]}, counts, hot_from).select(*CODES, "a", "l", "r", F.expr(score).alias("score"))
+
+    # The language is that of the first word.  Ties stay until the words are known.
+    spoken = sized(counts, 1).select("c1", "lang", "n")
+    named = looked_up(scored2.unionByName(scored3), spoken.drop("n"), ["c1"], spoken.filter(F.col("n") >= hot_from).drop("n"))
+    near = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    best = staged(named.withColumn("near", F.rank().over(near)).filter(F.col("near") <= first).drop("near"), "best")
+
+    used = best.select(F.explode(F.array(*CODES)).alias("c1"), F.lit(0).cast("long").alias("c2")).filter("c1 != 0").distinct()
+    wanted = docs.sparkSession.sparkContext.broadcast(proposed(used, min(bits, max(16, (16 * used.count()).bit_length()))))
+    texts = rows.select("lang", "text")
+    spelled = words_of(texts, wanted).join(used.select(F.col("c1").alias("code")), "code", "left_semi")
+    spelled = staged(spelled, "words")
+    wanted.destroy()
+    for code in CODES:
+        best = best.join(spelled.select(F.col("code").alias(code), F.col("word").alias(f"w{code}")), code, "left")
+    best = best.withColumn("phrase", F.concat_ws(" ", *(f"w{c}" for c in CODES)))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = two.unionByName(three).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= first)
-    return best.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    best = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= first)
+    languages = rows.select("lang").distinct()
+    coded = map_batches(languages, _coded, "name string, lang long")
+    best = best.join(totals, "lang").join(coded, "lang")
+    return best.select(F.col("name").alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def _coded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(language_codes(batch.column(0)).view(np.int64))], names=["name", "lang"])
