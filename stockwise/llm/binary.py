@@ -25,19 +25,63 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-from stockwise.llm.bpe import WordMemory, blocks, encoder
+from stockwise.llm.textbytes import SPACE, Slice, gathered, slices, span_numbers, spans_of
 from stockwise.llm.workers import map_batches
 from stockwise.session import staged, work_path
 
 NULL_ID = np.iinfo(np.int64).min
 
 
+#: Bytes of pieces, ids and their tables that a Python worker remembers between blocks.
+KNOWN_BYTES = 64 << 20
+#: Text that is encoded at once.
+BLOCK = 8 << 20
+
+
+class PieceMemory:
+    """Ids of pieces by their bytes, in sorted arrays of bounded size."""
+
+    def __init__(self, kind: np.dtype, limit: int = KNOWN_BYTES):
+        self.kind, self.limit = kind, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.text, self.ids = np.zeros(0, np.uint8), np.zeros(0, self.kind)
+        # Start and length in ``text``, start and length in ``ids``.
+        self.places = np.zeros((0, 4), np.int64)
+
+    def find(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pieces are known, and their rows; a piece counts as known only if its bytes are the same."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+        known = np.zeros(len(hashes), bool)
+        if len(self.hashes):
+            hit = np.flatnonzero((self.hashes[at] == hashes) & (self.places[at, 1] == lengths))
+            own = gathered(data, starts[hit], lengths[hit])
+            other = gathered(self.text, self.places[at[hit], 0], lengths[hit])
+            wrong = np.concatenate(([0], np.cumsum(own != other)))
+            ends = np.cumsum(lengths[hit])
+            known[hit] = wrong[ends] == wrong[ends - lengths[hit]]
+        return known, at
+
+    def add(self, hashes: np.ndarray, text: np.ndarray, lengths: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        if self.text.nbytes + self.ids.nbytes + 40 * len(self.hashes) + text.nbytes + ids.nbytes + 40 * len(hashes) > self.limit:
+            self.clear()
+        rows = np.stack(
+            (np.cumsum(lengths) - lengths + len(self.text), lengths, np.cumsum(counts) - counts + len(self.ids), counts), axis=1
+        )
+        self.text, self.ids = np.concatenate((self.text, text)), np.concatenate((self.ids, ids))
+        hashes, rows = np.concatenate((self.hashes, hashes)), np.concatenate((self.places, rows))
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.places = hashes[order], rows[order]
+
+
 class TextEncoder:
-    """Encodes texts with the tokenizers library, each distinct word of a block once.
+    """Encodes texts with the tokenizers library, each distinct piece of a block once.
 
-    The file's splitter never looks across white space and every word it finds is found again alone, so the ids of
-    a text are those of its words; the library gets many words, joined by blanks, as one text, and a token that
-    ends a word shows where the next begins.
+    Pieces stand between ASCII blanks.  The file's splitter never looks across white space, so the ids of a text are those of its
+    pieces; the library gets many new pieces as one text with a special token between them, whose id shows where a piece ends.
+    Pieces are cut, numbered and put together again as arrays; what occurs twice in a block is remembered for the next.
     """
 
     def __init__(self, path: str):
@@ -47,41 +91,51 @@ class TextEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words = encoder(path)
-        suffix = self.words.suffix
-        self.ends = np.array([t.endswith(suffix) for t in self.words.tokens])
-        self.memory = WordMemory(self.word_bytes)
+        special = [(i, t) for i, t in self.library.get_added_tokens_decoder().items() if t.special and not t.normalized and not (t.lstrip or t.rstrip or t.single_word)]
+        self.between, self.between_id = (special[0][1].content, special[0][0]) if special else (None, -1)
+        self.memory = PieceMemory(self.kind)
 
-    def encode_words(self, words: list[str]) -> tuple[bytes, list[int]]:
-        """The ids of all words as bytes, and the bounds of each word in them."""
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one after the other, and the number of each."""
         lists, counts = [], []
-        for i in range(0, len(words), 1000):
-            group = words[i : i + 1000]
-            ids = np.array(self.library.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids)
-            last = np.flatnonzero(self.ends[ids]) if len(ids) else ids
-            if len(last) != len(group):
-                parts = [np.array(e.ids) for e in self.library.encode_batch_fast(group, add_special_tokens=False)]
-                ids, last = np.concatenate(parts), np.cumsum([len(x) for x in parts]) - 1
+        for i in range(0, len(pieces), 1000):
+            group = pieces[i : i + 1000]
+            ids, cut = None, ()
+            if self.between is not None:
+                ids = np.array(self.library.encode_batch_fast([self.between.join(group)], add_special_tokens=False)[0].ids, np.int64)
+                cut = np.flatnonzero(ids == self.between_id)
+            if len(cut) == len(group) - 1 and ids is not None:
+                counts.append(np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1)
+                ids = np.delete(ids, cut)
+            else:  # a piece holds the special token itself
+                parts = [np.array(e.ids, np.int64) for e in self.library.encode_batch_fast(group, add_special_tokens=False)]
+                ids = np.concatenate(parts)
+                counts.append(np.array([len(x) for x in parts]))
             lists.append(ids.astype(self.kind))
-            counts.append(np.diff(last, prepend=-1))
-        bounds = np.concatenate(([0], *counts)).cumsum() * self.kind.itemsize
-        return b"".join([x.tobytes() for x in lists]), bounds.tolist()
-
-    def word_bytes(self, words: list[str | int]) -> Iterator[bytes]:
-        raw, bounds = self.encode_words([w for w in words if isinstance(w, str)])
-        k = 0
-        for w in words:
-            if isinstance(w, str):
-                yield raw[bounds[k] : bounds[k + 1]]
-                k += 1
-            else:
-                yield np.array([w], self.kind).tobytes()
-
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        split = [self.words.words(t) for t in texts]
-        known = self.memory.look_up(split)
-        for words in split:
-            yield b"".join([known[w] for w in words])
+        return np.concatenate([np.zeros(0, self.kind), *lists]), np.concatenate([np.zeros(0, np.int64), *counts])
+
+    def rows(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of a slice, one after the other, and the rows' bounds."""
+        data = part.data
+        pieces, ends = spans_of(~SPACE[data], part.offsets)
+        numbers, first, hashes = span_numbers(data, pieces, ends)
+        starts, lengths = pieces[first], (ends - pieces)[first]
+        known, at = self.memory.find(hashes, data, starts, lengths)
+        new = np.flatnonzero(~known)
+        raw, bounds = data.tobytes(), (starts[new].tolist(), (starts + lengths)[new].tolist())
+        fresh, counts = self.encode_pieces([raw[a:b].decode() for a, b in zip(*bounds, strict=True)])
+        pool = np.concatenate((self.memory.ids, fresh))
+        begin, size = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        begin[known], size[known] = self.memory.places[at[known], 2], self.memory.places[at[known], 3]
+        begin[new], size[new] = np.cumsum(counts) - counts + len(self.memory.ids), counts
+        out = gathered(pool, begin[numbers], size[numbers])
+        row_bounds = np.concatenate(([0], np.cumsum(size[numbers])))[np.searchsorted(pieces, part.offsets)]
+        again = new[np.bincount(numbers, minlength=len(first))[new] > 1]
+        if len(again):
+            self.memory.add(
+                hashes[again], gathered(data, starts[again], lengths[again]), lengths[again], gathered(pool, begin[again], size[again]), size[again]
+            )
+        return out, row_bounds
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
@@ -102,32 +156,38 @@ def write_ids(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = _ENCODERS.get(path) or _ENCODERS.setdefault(path, TextEncoder(path))
-        end = np.array([end_id], ids_of.kind).tobytes()
         width = ids_of.kind.itemsize
         fs, root = FileSystem.from_uri(folder)
         name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         ids, lengths, out = [], [], None
-        for keys, texts in blocks(batches):
-            if out is None:
-                fs.create_dir(root, recursive=True)
-                out = fs.open_output_stream(f"{root}/{name}.bin")
-            for key, raw in zip(keys, ids_of.texts(texts), strict=True):
-                out.write(raw)
-                out.write(end)
-                ids.append(NULL_ID if key is None else key)
-                lengths.append(len(raw) // width + 1)
+        for batch in batches:
+            keys = batch.column(0).fill_null(NULL_ID).to_numpy()
+            for part in slices(batch.column(1), BLOCK):
+                if out is None:
+                    fs.create_dir(root, recursive=True)
+                    out = fs.open_output_stream(f"{root}/{name}.bin")
+                flat, bounds = ids_of.rows(part)
+                counts = np.diff(bounds) + 1
+                # Every row's ids, then the end id.
+                last = np.cumsum(counts) - 1
+                whole = np.full(len(flat) + part.rows, end_id, ids_of.kind)
+                inner = np.ones(len(whole), bool)
+                inner[last] = False
+                whole[inner] = flat
+                out.write(whole.tobytes())
+                ids.append(keys[part.first : part.first + part.rows])
+                lengths.append(counts)
         if out is None:
             return
         out.close()
-        offsets = np.zeros(len(ids) + 1, "<i8")
-        np.cumsum(lengths, out=offsets[1:])
+        ids, offsets = np.concatenate(ids), np.concatenate(([0], np.cumsum(np.concatenate(lengths))))
         with fs.open_output_stream(f"{root}/{name}.idx") as index:
             index.write(np.concatenate(([len(ids)], offsets, ids)).astype("<i8").tobytes())
         row = {"part": [TaskContext.get().partitionId()], "name": [name], "docs": [len(ids)], "tokens": [int(offsets[-1])], "wide": [width]}
         yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int32()), ("name", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64()), ("wide", pa.int32())]))
 
     ordered = (
-        docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+        docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
@@ -139,6 +199,23 @@ def write_ids(
     )
 
 
+def token_lengths(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_tokens`` of every row as :func:`write_ids` counts them, the end id included, without writing any.
+
+    Defined cases: null and empty texts have the end id only; null ids are passed on, rows that repeat are counted each.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of = _ENCODERS.get(path) or _ENCODERS.setdefault(path, TextEncoder(path))
+        for batch in batches:
+            counts = [np.diff(ids_of.rows(part)[1]) + 1 for part in slices(batch.column(1), BLOCK)]
+            columns = [batch.column(0), pa.array(np.concatenate([np.zeros(0, np.int64), *counts]), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens"])
+
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    return map_batches(rows, run, "doc_id long, n_tokens long")
+
+
 def opened(fs: FileSystem, path: str, kind: np.dtype) -> np.ndarray:
     """The numbers of a file: memory-mapped on a mounted file system, else read."""
     if isinstance(fs, LocalFileSystem):

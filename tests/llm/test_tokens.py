@@ -3,13 +3,15 @@ import zlib
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer, models, pre_tokenizers  # noqa: E402
 
 from stockwise.llm import bpe, unigram  # noqa: E402
-from stockwise.llm.binary import documents_ids, read_documents, write_ids  # noqa: E402
+from stockwise.llm.binary import PieceMemory, TextEncoder, documents_ids, read_documents, token_lengths, write_ids  # noqa: E402
+from stockwise.llm.textbytes import slices  # noqa: E402
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -111,3 +113,23 @@ def test_files_hold_all_ids_in_order(docs_of, odd_rows):
 
 def test_files_of_an_empty_table(docs_of):
     assert read_documents(write_ids(docs_of([]), PATH, end_id=1)).collect() == []
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 4000, 0])
+def test_pieces_equal_the_library(limit):
+    """Cut, numbered, remembered and put together again, over many slices."""
+    own = TextEncoder(PATH)
+    own.memory = PieceMemory(own.kind, limit)
+    texts = random_texts(3000, ["<|endoftext|>", "<|startoftext|>", "'s", "<|", "the", "river", "\x1c", "\x85"], 6) + ["", " ", "a" * 5000, "the river " * 300]
+    for part in slices(pa.array([*texts, None]), 20_000):
+        ids, bounds = own.rows(part)
+        for k in range(part.rows):
+            want = library_ids(([*texts, ""])[part.first + k])
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == want
+    assert own.memory.text.nbytes + own.memory.ids.nbytes <= max(limit, 40_000)
+
+
+def test_token_lengths(docs_of, odd_rows):
+    found = sorted(map(tuple, token_lengths(docs_of(odd_rows), PATH).collect()), key=repr)
+    assert found == sorted(((r[0], len(library_ids(r[1])) + 1) for r in odd_rows), key=repr)
+    assert token_lengths(docs_of([]), PATH).collect() == []
