@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stockwise.llm.skew import looked_up
 from stockwise.session import staged
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -68,8 +69,9 @@ def exact_groups(
     total = docs.count()
     narrow = staged(digested(docs, id_col, text_col).select("doc_id", "digest", "mark"), "digests")
     hot = narrow.groupBy("digest").count().filter(F.col("count") >= max(2, total // hot_share)).select("digest")
-    winners = salted_winners(digested(docs, id_col, text_col), hot, salts)
-    joined = narrow.join(winners, ["digest", "mark"])
+    winners = staged(salted_winners(digested(docs, id_col, text_col), hot, salts), "winners")
+    frequent = winners.filter(F.col("group_size") >= max(2, total // hot_share))
+    joined = looked_up(narrow, winners, ["digest", "mark"], frequent)
     return joined.select(
         "doc_id",
         "keep_id",
@@ -80,7 +82,13 @@ def exact_groups(
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Defined cases as in :func:`exact_groups`: of equal texts (null counts as empty) the row with the largest id stays, together with rows
+    that repeat both its id and its text; an id that also stands on other texts does not keep those.  If a group has null ids
+    only, all its rows stay.  Whole texts count, however long; an empty table gives no rows; columns of any name are passed on.
+    """
     kept = exact_groups(docs, id_col, text_col, **options).filter("kept")
-    keys = kept.select(F.col("doc_id").alias("__kept_id"))
-    return docs.join(keys, F.col(id_col).eqNullSafe(F.col("__kept_id")), "left_semi")
+    keys = kept.select(F.col("doc_id").alias("__kept_id"), F.unhex("text_sha256").alias("__kept_digest")).distinct()
+    same = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.unhex(F.sha2(folded(text_col), 256)) == F.col("__kept_digest"))
+    return docs.join(keys, same, "left_semi")

@@ -102,3 +102,9 @@ def test_shards_balance_bytes_tokens_and_rows(docs_of):
     for r in found:
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_an_id_keeps_only_the_text_that_stays(docs_of):
+    rows = [(5, "alpha"), (5, "beta"), (9, "beta"), (9, "beta"), (None, "gamma"), (None, None), (7, "")]
+    kept = sorted(((r.doc_id, r.text) for r in without_copies(docs_of(rows)).collect()), key=repr)
+    assert kept == sorted([(5, "alpha"), (9, "beta"), (9, "beta"), (None, "gamma"), (7, "")], key=repr)
