@@ -21,6 +21,8 @@ UNDETERMINED = "und"
 GRAM = 4
 HASHES = 3
 SLOT_BITS = 20
+#: Texts with fewer n-grams are too short to tell gibberish from a rare word.
+SHORT = 12
 
 # Letters keep their (lower-case) byte, bytes above 127 are parts of letters, all others are blanks.
 _LETTERS = LOWER.copy()
@@ -29,12 +31,16 @@ _LETTERS[:128][[not chr(b).isalpha() for b in range(128)]] = 0x20
 
 @dataclass
 class LanguageFilter:
-    """languages, by name; slots: (words of 64 languages or fewer, slot) bit masks; rates: false positives."""
+    """languages, by name; slots: (words of 64 languages or fewer, slot) bit masks; rates: false positives.
+
+    floor: the share of its n-grams that a text of a learned language has in its filter, nearly always.
+    """
 
     languages: list[str]
     slots: np.ndarray
     rates: np.ndarray
     default: int
+    floor: float = 0.0
 
     @classmethod
     def build(cls, languages: list[str], by_language: list[np.ndarray], default: int = 0, slot_bits: int = SLOT_BITS):
@@ -94,13 +100,14 @@ def hashed_share(id_col: str) -> Column:
 
 
 def learn_filter(
-    docs: DataFrame, per_language: int = 1000, least_share: float = 0.02, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame, per_language: int = 1000, least_docs: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> LanguageFilter:
     """Fits the filters on a bounded sample: per language the documents whose hashed id falls below the share that
     gives ``per_language`` of them on average (all, if there are fewer).
 
-    An n-gram belongs to a language if at least ``least_share`` of its sampled documents hold it, which bounds
-    what is collected by the n-grams of an average document over ``least_share``.
+    An n-gram belongs to a language if at least ``least_docs`` of its sampled documents hold it; what is collected is bounded by
+    the n-grams of the sample.  The floor of the model is half the share of known n-grams that all but one in a hundred sampled
+    documents exceed, texts too short to tell left out.
     """
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
@@ -124,14 +131,29 @@ def learn_filter(
 
     # The gram -1 (no n-gram has that code) counts the documents themselves.
     counted = map_batches(sample, run, "lang string, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
-    totals = counted.filter("gram = -1").select("lang", F.col("docs").alias("total"))
-    frequent = counted.join(F.broadcast(totals), "lang").filter(F.col("docs") >= F.col("total") * least_share)
+    frequent = counted.filter((F.col("docs") >= least_docs) | (F.col("gram") == -1))
     rows = frequent.select("lang", "gram", "docs").toPandas()
     size = rows[rows.gram == -1].set_index("lang").docs
     languages = sorted(size.index)
     by_language = [rows.gram[(rows.lang == k) & (rows.gram != -1)].to_numpy().view(np.uint64) for k in languages]
     default = languages.index(max(languages, key=lambda k: (size[k], k))) if languages else 0
-    return LanguageFilter.build(languages, by_language, default)
+    model = LanguageFilter.build(languages, by_language, default)
+    if languages:
+        model.floor = learned_floor(sample, model)
+    return model
+
+
+def learned_floor(sample: DataFrame, model: LanguageFilter) -> float:
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = text_languages(shared.value, batch.column(0))
+            long = found.grams >= SHORT
+            yield pa.RecordBatch.from_arrays([pa.array(found.covered[long])], names=["covered"])
+
+    covered = map_batches(sample.select("text"), run, "covered double").toArrow().column("covered").to_numpy()
+    return float(np.quantile(covered, 0.01)) / 2 if len(covered) else 0.0
 
 
 def has_letter(part: Slice) -> np.ndarray:
@@ -144,9 +166,21 @@ def has_letter(part: Slice) -> np.ndarray:
     return found
 
 
-def text_languages(model: LanguageFilter, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The number of each text's language (the number after the last one: undetermined) and its score."""
+@dataclass
+class Found:
+    """Per text: the number of its language (the one after the last: undetermined), its score, whether it has a letter, how
+    many n-grams, and the share of them that its language's filter holds."""
+
+    chosen: np.ndarray
+    scores: np.ndarray
+    letters: np.ndarray
+    grams: np.ndarray
+    covered: np.ndarray
+
+
+def text_languages(model: LanguageFilter, texts: pa.Array) -> Found:
     chosen, scores = np.full(len(texts), len(model.languages)), np.zeros(len(texts))
+    lettered, sizes, covered = np.zeros(len(texts), bool), np.zeros(len(texts), np.int64), np.zeros(len(texts))
     for part in slices(texts) if model.languages else ():
         codes, bounds = row_grams(part)
         shares = model.shares(model.hits(codes, bounds), np.diff(bounds))
@@ -156,7 +190,8 @@ def text_languages(model: LanguageFilter, texts: pa.Array) -> tuple[np.ndarray,
         best[total == 0] = model.default
         chosen[at] = np.where(letters, best, len(model.languages))
         scores[at] = np.where(letters, shares.max(axis=1) / np.where(total > 0, total, 1), 0.0)
-    return chosen, scores
+        lettered[at], sizes[at], covered[at] = letters, np.diff(bounds), shares.max(axis=1)
+    return Found(chosen, scores, lettered, sizes, covered)
 
 
 def identify(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,25 +208,30 @@ def identify(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", tex
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.languages, UNDETERMINED], dtype=object)
         for batch in batches:
-            chosen, scores = text_languages(shared.value, batch.column(1))
-            columns = [batch.column(0), pa.array(names[chosen], pa.string()), pa.array(scores, pa.float64())]
+            found = text_languages(shared.value, batch.column(1))
+            columns = [batch.column(0), pa.array(names[found.chosen], pa.string()), pa.array(found.scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score"])
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return map_batches(rows, run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: LanguageFilter, least: float = 0.0, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is determined with a score above ``least``, with all their columns.
+def keep_identified(docs: DataFrame, model: LanguageFilter, text_col: str = "text", floor: float | None = None) -> DataFrame:
+    """The rows of ``docs`` in a learned language, with all their columns.
+
+    A text stays if its language's filter holds at least ``floor`` (by default the model's) of its n-grams; texts with a letter but
+    fewer than ``SHORT`` n-grams stay, as too short to tell.
 
-    A text without letters, or without any n-gram of a learned language, is rejected.
+    Defined cases: null, empty and letterless texts go, and every text if no language was learned.  Texts are read whole.  Null ids
+    and rows that repeat are judged each; an empty table gives no rows; columns of any name are passed on.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    least = model.floor if floor is None else floor
     at = docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, scores = text_languages(shared.value, batch.column(at))
-            yield batch.filter(pa.array(scores > least))
+            found = text_languages(shared.value, batch.column(at))
+            yield batch.filter(pa.array(found.letters & ((found.grams < SHORT) | (found.covered >= least))))
 
     return map_batches(docs, run, docs.schema)
