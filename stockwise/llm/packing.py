@@ -102,21 +102,19 @@ def sized_runs(plan: Plan) -> list[tuple[int, int, int, int, int, int, int]]:
     return out
 
 
-def cell_ranks(rows: DataFrame, key: str, weight: str, cell_rows: int) -> DataFrame:
-    """Adds ``rank``: the running sum of ``weight`` before each row among the rows of its ``key``.
+def cell_ranks(rows: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+    """Adds ``rank``: the running sum of ``weight`` before each row among the rows of its ``keys`` (of all rows, without keys).
 
-    Rows of a key are dealt to cells by a hash of the id; a window holds one cell, and the cells' bases are prefix sums.
+    rows: with ``__cells``, over how many cells the rows of their key are dealt by a hash of the id.  Rows move by key and cell, so
+    that a frequent key fills many tasks; a window holds one cell, and the cells' bases are prefix sums over one row per cell.
     """
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    dealt = rows.join(sizes, key).withColumn(
-        "__cell", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("__n") / cell_rows).cast("long"))
-    )
-    cells = dealt.groupBy(key, "__cell").agg(F.sum(weight).alias("__sum"))
-    before = Window.partitionBy(key).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select(key, "__cell", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
-    own = Window.partitionBy(key, "__cell").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = rows.withColumn("__cell", F.pmod(F.xxhash64("doc_id"), F.col("__cells"))).drop("__cells")
+    cells = dealt.groupBy(*keys, "__cell").agg(F.sum(weight).alias("__sum"))
+    before = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(*keys, "__cell", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
+    own = Window.partitionBy(*keys, "__cell").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
     ranked = dealt.withColumn("rank", F.coalesce(F.sum(weight).over(own), F.lit(0)))
-    return ranked.join(cells, [key, "__cell"]).withColumn("rank", F.col("rank") + F.col("__base"))
+    return ranked.join(cells, [*keys, "__cell"]).withColumn("rank", F.col("rank") + F.col("__base"))
 
 
 def pack(
@@ -140,8 +138,10 @@ def pack(
         (F.col("n_tokens") % largest).cast("long").alias("tail"),
     )
     rows = staged(rows, "lengths")
+    # One number per length below the largest capacity.
     counts = {r[0]: r[1] for r in rows.filter("tail > 0").groupBy("tail").count().collect()}
     plan = joint_plan(counts, capacities, cost)
+    cells = spark.createDataFrame([(k, -(-n // cell_rows)) for k, n in counts.items()], "tail long, __cells long")
 
     # The runs' number is bounded by the largest capacity, not by the documents: a fill at least halves a residual.
     runs = spark.createDataFrame(
@@ -149,7 +149,7 @@ def pack(
         "tail long, from_rank long, to_rank long, first_bin long, per_bin long, used long, capacity int",
     )
     tails = rows.filter("tail > 0").select("doc_id", "whole", "tail", F.lit(1).cast("long").alias("one"))
-    tails = cell_ranks(tails, "tail", "one", cell_rows).join(F.broadcast(runs), "tail")
+    tails = cell_ranks(tails.join(F.broadcast(cells), "tail"), ["tail"], "one").join(F.broadcast(runs), "tail")
     tails = tails.filter((F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank")))
     step = F.col("rank") - F.col("from_rank")
     tails = tails.select(
@@ -160,8 +160,9 @@ def pack(
         "capacity",
         (F.col("used") + (step % F.col("per_bin")) * F.col("tail")).alias("bin_offset"),
     )
-    long = rows.filter("whole > 0").select("doc_id", "whole", F.lit(0).alias("all"))
-    long = cell_ranks(long, "all", "whole", cell_rows).withColumn("piece", F.explode(F.expr("sequence(0L, whole - 1)")))
+    long = rows.filter("whole > 0").select("doc_id", "whole")
+    long = long.withColumn("__cells", F.lit(max(1, -(-long.count() // cell_rows))))
+    long = cell_ranks(long, [], "whole").withColumn("piece", F.explode(F.expr("sequence(0L, whole - 1)")))
     long = long.select(
         "doc_id",
         "piece",

@@ -60,9 +60,10 @@ def op2_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stockwise.llm.packing import byte_lengths, pack
+    from stockwise.llm.binary import token_lengths
+    from stockwise.llm.packing import pack
 
-    return pack(byte_lengths(table(spark, sf_dir, "documents")))
+    return pack(token_lengths(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
 
 
 def vocabulary(name: str) -> str:
