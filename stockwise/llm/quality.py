@@ -217,7 +217,11 @@ def score(docs: DataFrame, model: SubwordModel, positive: int = 1, id_col: str =
 
 
 def keep_good(docs: DataFrame, model: SubwordModel, least: float = 0.7, positive: int = 1, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score at least ``least``, with all their columns."""
+    """The rows of ``docs`` that score at least ``least``, with all their columns.
+
+    Defined cases as in :func:`score`: texts without features get the class's share in the training sample; null ids and rows that repeat
+    are judged each; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from stockwise.llm.langid import hashed_share
@@ -140,6 +140,7 @@ def top_k(
     vector_col: str = "embedding",
     scale: int = 256,
     band_rows: int = 8192,
+    query_rows: int = 65_536,
     sample_rows: int = 20_000,
     head: int = 16,
 ) -> DataFrame:
@@ -189,10 +190,26 @@ def top_k(
     bands = max(1, -(-rows // band_rows))
     banded = whole.repartitionByRange(bands, F.desc("length2"), "vec_id").withColumn("band", F.spark_partition_id())
     banded = staged(banded, "bands")
-    lengths = banded.groupBy("band").agg(F.max("length2").alias("most"))
-    asked = queries.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(bands - 1)))).join(lengths, "band")
-    reach = F.sqrt("length2") * F.sqrt("most")
-    asked = asked.filter(reach * 1.000001 + 0.001 >= F.col("floor"))
+    # Bands fall in length, so a query reaches the first few of them: the end is found by halving in the list of band maxima.
+    most = banded.groupBy("band").agg(F.max("length2").alias("most"))
+    most = most.agg(F.transform(F.array_sort(F.collect_list(F.struct("band", "most"))), lambda b: F.sqrt(b["most"]))).scalar()
+    queries = queries.withColumn("reach", F.sqrt("length2"))
+
+    def halved(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        near = F.col("reach") * F.get(F.col("most"), middle) * 1.000001 + 0.001 >= F.col("floor")
+        step = F.struct(F.when(near, middle + 1).otherwise(s["low"]).alias("low"), F.when(near, s["high"]).otherwise(middle).alias("high"))
+        return F.when(s["low"] < s["high"], step).otherwise(s)
+
+    start = F.struct(F.lit(0).alias("low"), F.size("most").alias("high"))
+    reached = F.aggregate(F.sequence(F.lit(0), F.lit(bands.bit_length())), start, halved)["low"]
+    asked = queries.withColumn("most", most).withColumn("bands", reached).filter("bands > 0")
+    # A task has one band and one block of queries; the band's vectors go to every block.
+    blocks = max(1, -(-rows // every // query_rows))
+    asked = asked.withColumn("band", F.explode(F.sequence(F.lit(0), F.col("bands") - 1)))
+    asked = asked.withColumn("task", F.col("band") * F.lit(blocks).cast("long") + F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    vectors_ = banded.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    vectors_ = vectors_.withColumn("task", F.col("band") * F.lit(blocks).cast("long") + F.col("block"))
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         basis = shared.value[2]
@@ -225,10 +242,10 @@ def top_k(
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "over"])
 
-    rows_ = banded.select("band", "vec_id", "values", F.lit(float("nan")).alias("floor")).unionByName(
-        asked.select("band", "vec_id", "values", "floor")
+    rows_ = vectors_.select("task", "vec_id", "values", F.lit(float("nan")).alias("floor")).unionByName(
+        asked.select("task", "vec_id", "values", "floor")
     )
-    rows_ = rows_.repartition(bands, "band").sortWithinPartitions("band", F.isnan("floor").desc(), "vec_id")
+    rows_ = rows_.repartition(bands * blocks, "task").sortWithinPartitions("task", F.isnan("floor").desc(), "vec_id")
     # over: 1 above and -1 below the longs; such scores only matter if they are among the k best.
     found = map_batches(rows_, search, "query_id long, vec_id long, score long, over int")
     order = Window.partitionBy("query_id").orderBy(F.desc("over"), F.desc("score"), "vec_id")
