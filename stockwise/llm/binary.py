@@ -25,7 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-from stockwise.llm.textbytes import SPACE, Slice, gathered, slices, span_numbers, spans_of
+from stockwise.llm.bpe import encoder
+from stockwise.llm.textbytes import LOWER, SPACE, Slice, gathered, slices, span_numbers, spans_of
 from stockwise.llm.workers import map_batches
 from stockwise.session import staged, work_path
 
@@ -35,7 +36,7 @@ NULL_ID = np.iinfo(np.int64).min
 #: Bytes of pieces, ids and their tables that a Python worker remembers between blocks.
 KNOWN_BYTES = 64 << 20
 #: Text that is encoded at once.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 
 
 class PieceMemory:
@@ -76,12 +77,23 @@ class PieceMemory:
         self.hashes, self.places = hashes[order], rows[order]
 
 
+# Classes of bytes inside a piece (fixed values): letters, digits, other printable ASCII, and what the library itself has to split.
+LETTER, DIGIT, SIGN, ODD = 1, 2, 3, 4
+_CLASS = np.full(256, ODD, np.uint8)
+_CLASS[0x21:0x7F] = SIGN
+_CLASS[ord("0") : ord("9") + 1] = DIGIT
+for _first, _last in ("AZ", "az"):
+    _CLASS[ord(_first) : ord(_last) + 1] = LETTER
+_CLASS[ord("'")] = ODD
+
+
 class TextEncoder:
-    """Encodes texts with the tokenizers library, each distinct piece of a block once.
+    """Encodes texts with the tokenizers library, each distinct word of a block once.
 
-    Pieces stand between ASCII blanks.  The file's splitter never looks across white space, so the ids of a text are those of its
-    pieces; the library gets many new pieces as one text with a special token between them, whose id shows where a piece ends.
-    Pieces are cut, numbered and put together again as arrays; what occurs twice in a block is remembered for the next.
+    The file's splitter never looks across white space.  Pieces of ASCII and Latin-1 letters, digits and signs without an apostrophe
+    are split here as it splits them: runs of letters, single digits, runs of signs; all other pieces stay whole.  The library gets
+    many new words, joined by blanks, as one text, and a token that ends a word shows where the next begins.  Words are cut, numbered and put
+    together again as arrays; what occurs twice in a block is remembered for the next.
     """
 
     def __init__(self, path: str):
@@ -91,46 +103,79 @@ class TextEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        special = [(i, t) for i, t in self.library.get_added_tokens_decoder().items() if t.special and not t.normalized and not (t.lstrip or t.rstrip or t.single_word)]
-        self.between, self.between_id = (special[0][1].content, special[0][0]) if special else (None, -1)
+        words = encoder(path)
+        self.ends = np.array([t.endswith(words.suffix) for t in words.tokens])
+        self.marks = {(t.encode() + b" ")[:2] for t in words.special}
         self.memory = PieceMemory(self.kind)
 
-    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces, one after the other, and the number of each."""
+    def encode_words(self, words: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and the number of each; plain: each is one word to the splitter."""
         lists, counts = [], []
-        for i in range(0, len(pieces), 1000):
-            group = pieces[i : i + 1000]
-            ids, cut = None, ()
-            if self.between is not None:
-                ids = np.array(self.library.encode_batch_fast([self.between.join(group)], add_special_tokens=False)[0].ids, np.int64)
-                cut = np.flatnonzero(ids == self.between_id)
-            if len(cut) == len(group) - 1 and ids is not None:
-                counts.append(np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1)
-                ids = np.delete(ids, cut)
-            else:  # a piece holds the special token itself
+        for i in range(0, len(words), 1000):
+            group = words[i : i + 1000]
+            last = ()
+            if plain:
+                ids = np.array(self.library.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, np.int64)
+                last = np.flatnonzero(self.ends[ids]) if len(ids) else ()
+            if len(last) != len(group):
                 parts = [np.array(e.ids, np.int64) for e in self.library.encode_batch_fast(group, add_special_tokens=False)]
-                ids = np.concatenate(parts)
-                counts.append(np.array([len(x) for x in parts]))
+                ids, last = np.concatenate(parts), np.cumsum([len(x) for x in parts]) - 1
             lists.append(ids.astype(self.kind))
+            counts.append(np.diff(last, prepend=-1))
         return np.concatenate([np.zeros(0, self.kind), *lists]), np.concatenate([np.zeros(0, np.int64), *counts])
 
+    def split(self, part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Lower-cased bytes, starts and ends of the words, and which of them are whole odd pieces."""
+        data = part.data
+        starts, ends = spans_of(~SPACE[data], part.offsets)
+        kinds, low = _CLASS[data], LOWER[data]
+        # Two-byte letters of Latin-1; the signs of multiplication and division are none.
+        lead = np.flatnonzero(data[:-1] == 0xC3)
+        second = data[lead + 1]
+        lead = lead[(second != 0x97) & (second != 0xB7)]
+        kinds[lead] = kinds[lead + 1] = LETTER
+        upper = lead[data[lead + 1] <= 0x9E] + 1
+        low[upper] += 0x20
+        # What may hold a special token is left to the library.
+        for mark in self.marks:
+            kinds[:-1][(data[:-1] == mark[0]) & (data[1:] == mark[1])] = ODD
+        odd_bytes = np.concatenate(([0], np.cumsum(kinds == ODD)))
+        odd = odd_bytes[ends] > odd_bytes[starts]
+        whole = np.zeros(len(data) + 1, np.int8)
+        np.add.at(whole, starts[odd], 1)
+        np.add.at(whole, ends[odd], -1)
+        whole = np.cumsum(whole[:-1], dtype=np.int8) > 0
+        low[whole] = data[whole]
+        cut = np.zeros(len(data), bool)
+        cut[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
+        cut &= ~whole & ~SPACE[data]
+        cut[starts] = True
+        words = np.flatnonzero(cut)
+        piece = np.searchsorted(starts, words, side="right") - 1
+        stops = np.minimum(np.append(words[1:], len(data)), ends[piece])
+        return low, words, stops, odd[piece]
+
     def rows(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a slice, one after the other, and the rows' bounds."""
-        data = part.data
-        pieces, ends = spans_of(~SPACE[data], part.offsets)
-        numbers, first, hashes = span_numbers(data, pieces, ends)
-        starts, lengths = pieces[first], (ends - pieces)[first]
+        data, words, stops, odd = self.split(part)
+        numbers, first, hashes = span_numbers(data, words, stops)
+        starts, lengths = words[first], (stops - words)[first]
         known, at = self.memory.find(hashes, data, starts, lengths)
-        new = np.flatnonzero(~known)
-        raw, bounds = data.tobytes(), (starts[new].tolist(), (starts + lengths)[new].tolist())
-        fresh, counts = self.encode_pieces([raw[a:b].decode() for a, b in zip(*bounds, strict=True)])
-        pool = np.concatenate((self.memory.ids, fresh))
+        raw, odd = data.tobytes(), odd[first]
+        pools, filled = [self.memory.ids], len(self.memory.ids)
         begin, size = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
         begin[known], size[known] = self.memory.places[at[known], 2], self.memory.places[at[known], 3]
-        begin[new], size[new] = np.cumsum(counts) - counts + len(self.memory.ids), counts
+        for plain in (True, False):
+            new = np.flatnonzero(~known & (odd != plain))
+            spelled = [raw[a:b].decode() for a, b in zip(starts[new].tolist(), (starts + lengths)[new].tolist(), strict=True)]
+            fresh, counts = self.encode_words(spelled, plain)
+            begin[new], size[new] = np.cumsum(counts) - counts + filled, counts
+            pools.append(fresh)
+            filled += len(fresh)
+        pool = np.concatenate(pools)
         out = gathered(pool, begin[numbers], size[numbers])
-        row_bounds = np.concatenate(([0], np.cumsum(size[numbers])))[np.searchsorted(pieces, part.offsets)]
-        again = new[np.bincount(numbers, minlength=len(first))[new] > 1]
+        row_bounds = np.concatenate(([0], np.cumsum(size[numbers])))[np.searchsorted(words, part.offsets)]
+        again = np.flatnonzero(~known & (np.bincount(numbers, minlength=len(first)) > 1))
         if len(again):
             self.memory.add(
                 hashes[again], gathered(data, starts[again], lengths[again]), lengths[again], gathered(pool, begin[again], size[again]), size[again]
