@@ -219,6 +219,16 @@ def test_series_are_dense_from_their_first_day(spark):
     assert out == {(1, days(0)): 2.0, (1, days(1)): 0.0, (1, days(2)): 0.0, (1, days(3)): 1.0, (2, days(2)): 5.0, (2, days(3)): 0.0}
 
 
+def test_dense_from_first_fills_where_the_rows_lie(spark):
+    rows = [(f"k{k}", days(k % 5), float(k)) for k in range(30)] + [("k3", days(3), 4.0), ("k3", days(6), None), (None, days(0), 9.0), ("k4", days(99), 1.0)]
+    dense = series.dense_from_first(spark.createDataFrame(rows, "k string, ds date, y double"), ["k"], "ds", "y")
+    placed = dense.withColumn("task", F.spark_partition_id()).collect()
+    want = {(f"k{k}", days(d)): float(k) * (d == k % 5) for k in range(30) for d in range(k % 5, 100)} | {("k3", days(3)): 7.0, ("k4", days(99)): 1.0}
+    assert len(placed) == len(want) and {(r["k"], r["ds"]): r["y"] for r in placed} == want
+    # However small the rows before the fill are, no task gets the calendars of all keys.
+    assert len({r["task"] for r in placed}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_recursion_uses_the_whole_window(spark):
     df = spark.createDataFrame([(1, days(i), float(i)) for i in range(200)], "k int, ds date, y double")
     assert values(fc.recursive_mean(df, ["k"], "ds", "y", 1, window=180), "pred") == [109.5]
