@@ -14,6 +14,7 @@ from stockwise.operators import forecast as fc
 from stockwise.operators import quality, selection, series
 from stockwise import session
 from stockwise.operators import windows as win
+from stockwise.plans.inputs import Inputs
 from stockwise.sources import readers, sinks
 
 DAY = dt.date(2024, 1, 1)
@@ -229,6 +230,29 @@ def test_dense_from_first_fills_where_the_rows_lie(spark):
     assert len({r["task"] for r in placed}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_series_take_more_partitions_the_more_there_are(spark):
+    rows = [(k, days(d), 1.0) for k in range(40) for d in (k % 5, 99)] + [(None, days(0), 1.0), (1, None, 1.0)]
+    df = spark.createDataFrame(rows, "k int, ds date, y double")
+    assert series.series_partitions(df, ["k"], "ds", 50) == -(-sum(100 - k % 5 for k in range(40)) // 50)
+    assert series.series_partitions(df.limit(0), ["k"], "ds", 50) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dense = series.dense_from_first(df, ["k"], "ds", "y", partitions=7)
+    assert dense.rdd.getNumPartitions() == 7 and dense.count() == sum(100 - k % 5 for k in range(40))
+
+
+def test_forecasts_meet_demand_in_as_many_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(series, "series_partitions", lambda *_: 11)
+    parts = [(k, 1 + k % 50, "b", "t") for k in range(1, 40)]
+    lines = [(k, k, dt.datetime(1996, 1 + d % 12, 1 + d % 28), 2.0, 20.0, 0.0, "N", 1) for k in range(1, 40) for d in range(60)]
+    spark.createDataFrame(parts, "p_partkey long, p_size int, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    schema = "l_partkey long, l_suppkey long, l_shipdate timestamp, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_linenumber int"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = Inputs(spark, str(tmp_path)).evaluated
+    assert found.count() > 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len(moved) == 3 and all(", 11), REPARTITION_BY_NUM" in line for line in moved) and "SortMergeJoin" in plan
+
+
 def test_recursion_uses_the_whole_window(spark):
     df = spark.createDataFrame([(1, days(i), float(i)) for i in range(200)], "k int, ds date, y double")
     assert values(fc.recursive_mean(df, ["k"], "ds", "y", 1, window=180), "pred") == [109.5]
