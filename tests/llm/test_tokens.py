@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from hashlib import sha256
 
@@ -9,8 +10,8 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer, models, pre_tokenizers  # noqa: E402
 
-from stockwise.llm import bpe, unigram  # noqa: E402
-from stockwise.llm.binary import PieceMemory, TextEncoder, documents_ids, read_documents, token_lengths, write_ids  # noqa: E402
+from stockwise.llm import bpe, textbytes, unigram  # noqa: E402
+from stockwise.llm.binary import PieceMemory, TextEncoder, documents_ids, id_counts, read_documents, token_lengths, write_ids  # noqa: E402
 from stockwise.llm.textbytes import slices  # noqa: E402
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -133,3 +134,17 @@ def test_token_lengths(docs_of, odd_rows):
     found = sorted(map(tuple, token_lengths(docs_of(odd_rows), PATH).collect()), key=repr)
     assert found == sorted(((r[0], len(library_ids(r[1])) + 1) for r in odd_rows), key=repr)
     assert token_lengths(docs_of([]), PATH).collect() == []
+
+
+def test_counting_ids_takes_little_memory(monkeypatch):
+    r = random.Random(3)
+    words = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 9))) for _ in range(5000)]
+    texts = [" ".join(r.choices(words, k=350)) for _ in range(4000)]
+    own = TextEncoder(PATH)
+    monkeypatch.setattr(textbytes, "_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    tracemalloc.start()
+    counts = id_counts(own, pa.array(texts)).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts[::100] == [len(library_ids(t)) + 1 for t in texts[::100]] and len(counts) == len(texts)
+    assert peak < 80 << 20
