@@ -239,6 +239,25 @@ def test_series_take_more_partitions_the_more_there_are(spark):
     assert dense.rdd.getNumPartitions() == 7 and dense.count() == sum(100 - k % 5 for k in range(40))
 
 
+def test_sold_rows_are_joined_in_more_partitions_the_more_there_are(spark, tmp_path, monkeypatch):
+    parts = [(k, 1 + k, "b", "t") for k in [*range(40), 7]] + [(None, 1, "b", "t")]
+    lines = [(k, 1, dt.datetime(1996, 1, 1 + d), 2.0, 20.0, 0.0, "N", 1) for k in [*range(40), None] for d in range(10)]
+    spark.createDataFrame(parts, "p_partkey long, p_size int, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    schema = "l_partkey long, l_suppkey long, l_shipdate timestamp, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_linenumber int"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    whole = sorted(Inputs(spark, str(tmp_path)).sold_rows.collect())
+    assert len(whole) == 410
+    monkeypatch.setattr(series, "PARTITION_ROWS", 40)
+    assert sorted(Inputs(spark, str(tmp_path)).sold_rows.collect()) == whole
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = Inputs(spark, str(tmp_path)).sold_rows
+        # 410 lines in partitions of 40.
+        assert moved.rdd.getNumPartitions() == 11 and sorted(moved.collect()) == whole
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_forecasts_meet_demand_in_as_many_partitions(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(series, "series_partitions", lambda *_: 11)
     parts = [(k, 1 + k % 50, "b", "t") for k in range(1, 40)]
