@@ -35,6 +35,8 @@ NULL_ID = np.iinfo(np.int64).min
 
 #: Bytes of pieces, ids and their tables that a Python worker remembers between blocks.
 KNOWN_BYTES = 64 << 20
+#: Pieces of so many bytes are remembered at once, longer ones when they occur twice in a block.
+SHORT = 32
 #: Text that is encoded at once.
 BLOCK = 4 << 20
 
@@ -93,7 +95,7 @@ class TextEncoder:
     The file's splitter never looks across white space.  Pieces of ASCII and Latin-1 letters, digits and signs without an apostrophe
     are split here as it splits them: runs of letters, single digits, runs of signs; all other pieces stay whole.  The library gets
     many new words, joined by blanks, as one text, and a token that ends a word shows where the next begins.  Words are cut, numbered and put
-    together again as arrays; what occurs twice in a block is remembered for the next.
+    together again as arrays; short pieces, and long ones that occur twice in a block, are remembered for the next.
     """
 
     def __init__(self, path: str):
@@ -157,6 +159,15 @@ class TextEncoder:
 
     def rows(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a slice, one after the other, and the rows' bounds."""
+        pool, begin, size, bounds = self.pieces(part)
+        return gathered(pool, begin, size), bounds
+
+    def bounds(self, part: Slice) -> np.ndarray:
+        """The rows' bounds alone."""
+        return self.pieces(part)[3]
+
+    def pieces(self, part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids, start and length in it of every piece of a slice, and the rows' bounds."""
         data, words, stops, odd = self.split(part)
         numbers, first, hashes = span_numbers(data, words, stops)
         starts, lengths = words[first], (stops - words)[first]
@@ -173,14 +184,14 @@ class TextEncoder:
             pools.append(fresh)
             filled += len(fresh)
         pool = np.concatenate(pools)
-        out = gathered(pool, begin[numbers], size[numbers])
-        row_bounds = np.concatenate(([0], np.cumsum(size[numbers])))[np.searchsorted(words, part.offsets)]
-        again = np.flatnonzero(~known & (np.bincount(numbers, minlength=len(first)) > 1))
-        if len(again):
+        sizes = size[numbers]
+        row_bounds = np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(words, part.offsets)]
+        keep = np.flatnonzero(~known & ((lengths <= SHORT) | (np.bincount(numbers, minlength=len(first)) > 1)))
+        if len(keep):
             self.memory.add(
-                hashes[again], gathered(data, starts[again], lengths[again]), lengths[again], gathered(pool, begin[again], size[again]), size[again]
+                hashes[keep], gathered(data, starts[keep], lengths[keep]), lengths[keep], gathered(pool, begin[keep], size[keep]), size[keep]
             )
-        return out, row_bounds
+        return pool, begin[numbers], sizes, row_bounds
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
@@ -249,7 +260,7 @@ def id_counts(ids_of: TextEncoder, column: pa.Array) -> pa.Array:
 
     Nothing but counts leaves a slice, so slices are the short ones: the arrays made from one take some forty times its bytes.
     """
-    counts = [np.diff(ids_of.rows(part)[1]) + 1 for part in slices(column)]
+    counts = [np.diff(ids_of.bounds(part)) + 1 for part in slices(column)]
     return pa.array(np.concatenate([np.zeros(0, np.int64), *counts]), pa.int64())
 
 

@@ -157,20 +157,26 @@ def gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return data[at]
 
 
+def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers 64-bit keys in the order they first appear: the place of the first of each distinct key, and the number of every key."""
+    numbers = pa.array(keys.view(np.int64)).dictionary_encode().indices.to_numpy().astype(np.int64)
+    return np.flatnonzero(np.diff(np.maximum.accumulate(numbers), prepend=-1)), numbers
+
+
 def span_numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers byte spans so that equal numbers mean equal bytes: the number of each span, a span per number, hashes per number.
 
     Spans are numbered by hash and then compared, byte by byte, with the span that stands for their number.
     """
     hashes = span_hashes(data, starts, ends)
-    distinct, first, numbers = np.unique(hashes, return_index=True, return_inverse=True)
+    first, numbers = ranked(hashes)
     lengths, named = ends - starts, first[numbers]
     other = np.flatnonzero(named != np.arange(len(starts)))
     same = np.array_equal(lengths[other], lengths[named[other]]) and np.array_equal(
         gathered(data, starts[other], lengths[other]), gathered(data, starts[named[other]], lengths[other])
     )
     if same:
-        return numbers, first, distinct
+        return numbers, first, hashes[first]
     raw, known = data.tobytes(), {}
     words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
     numbers = np.array([known.setdefault(w, len(known)) for w in words], np.int64)

@@ -130,6 +130,17 @@ def test_pieces_equal_the_library(limit):
     assert own.memory.text.nbytes + own.memory.ids.nbytes <= max(limit, 40_000)
 
 
+def test_the_library_sees_a_short_piece_once():
+    """Also one that occurs once in each of many slices; long pieces are remembered when they come twice in one."""
+    own, seen = TextEncoder(PATH), []
+    encode = own.encode_words
+    own.encode_words = lambda words, plain: seen.extend(words) or encode(words, plain)
+    texts = [" ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(400)) + " " + "y" * 40] * 5
+    counts = np.concatenate([np.diff(own.bounds(part)) for part in slices(pa.array(texts), 10)])
+    assert counts.tolist() == [len(library_ids(t)) for t in texts]
+    assert len([w for w in seen if len(w) < 32]) == 400 and len(seen) == 405
+
+
 def test_token_lengths(docs_of, odd_rows):
     found = sorted(map(tuple, token_lengths(docs_of(odd_rows), PATH).collect()), key=repr)
     assert found == sorted(((r[0], len(library_ids(r[1])) + 1) for r in odd_rows), key=repr)
