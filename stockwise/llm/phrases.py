@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from stockwise.llm.skew import HOT_SHARE, looked_up
-from stockwise.llm.textbytes import LOWER, Slice, gathered, joined_spans, mixed, slices, span_numbers, spans_of
+from stockwise.llm.textbytes import LOWER, Slice, gathered, joined_spans, mixed, ranked, slices, span_numbers, spans_of
 from stockwise.llm.workers import map_batches
 from stockwise.session import staged
 
@@ -67,7 +67,9 @@ class Proposed:
         self.shift = np.uint64(64 - int(math.log2(len(words))))
 
     def holds(self, first: np.ndarray, second: np.ndarray | int = 0) -> np.ndarray:
-        codes = pair_codes(first, np.asarray(second, np.uint64))
+        return self.marked(pair_codes(first, np.asarray(second, np.uint64)))
+
+    def marked(self, codes: np.ndarray) -> np.ndarray:
         return (self.words[(codes >> self.shift).astype(np.int64)] >> (codes & np.uint64(63)) & np.uint64(1)).astype(bool)
 
     def joined(self, other: Proposed) -> Proposed:
@@ -92,9 +94,9 @@ def proposed(phrases: DataFrame, bits: int = BITS) -> Proposed:
 
 
 def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The place of the first of each distinct key, the rank of every key, and the counts."""
-    _, first, ranks, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-    return first, ranks, counts
+    """The place of the first of each distinct key, the number of every key, and the counts."""
+    first, ranks = ranked(keys)
+    return first, ranks, np.bincount(ranks, minlength=len(first))
 
 
 def second_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -109,7 +111,7 @@ def second_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 
 
 class SlicePhrases:
-    """Words of a slice, numbered by language and bytes; per distinct one ``codes``, ``checks``, ``languages`` and ``counts``."""
+    """Words of a slice, numbered by language and bytes; per distinct one ``codes``, ``languages`` and ``counts``, ``checks()`` and ``spell(at)``."""
 
     def __init__(self, part: Slice, languages: np.ndarray, language_codes: np.ndarray):
         data = LOWER[part.data]
@@ -120,7 +122,7 @@ class SlicePhrases:
         first, self.words, self.counts = _ranked(spelled * len(language_codes) + languages)
         codes = mixed(hashes[spelled[first]] ^ language_codes[languages[first]])
         self.codes = np.where(codes == 0, np.uint64(1), codes)
-        self.checks = mixed(second_hashes(data, starts[first], ends[first])) | np.uint64(1)
+        self.checks = lambda: mixed(second_hashes(data, starts[first], ends[first])) | np.uint64(1)
         self.languages = languages[first]
         self.spell = lambda at: joined_spans(data, starts[first[at]], ends[first[at]], np.arange(len(at) + 1)).cast(pa.string())
         breaks = np.cumsum(_BREAK[data], dtype=np.int32)
@@ -129,12 +131,11 @@ class SlicePhrases:
         if len(starts) > 1:
             self.follows[:-1] = (rows[1:] == rows[:-1]) & (breaks[starts[1:]] == breaks[ends[:-1] - 1])
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Positions of all pairs, the rank of each, and per distinct pair its two words and count."""
-        at = np.flatnonzero(self.follows)
+    def pairs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The number of each of the pairs that begin at the words ``at``, and per distinct pair its two words and count."""
         first, ranks, counts = _ranked(self.words[at] * np.int64(len(self.codes)) + self.words[at + 1])
         here = at[first]
-        return at, ranks, self.words[here], self.words[here + 1], counts
+        return ranks, self.words[here], self.words[here + 1], counts
 
 
 def phrase_counts(docs: DataFrame, now: Broadcast | None, before: Broadcast | None) -> DataFrame:
@@ -162,35 +163,36 @@ def phrase_counts(docs: DataFrame, now: Broadcast | None, before: Broadcast | No
                     continue
                 if before is None:
                     none = np.zeros(len(own.codes), np.uint64)
-                    yield batch_of(own.counts, own.codes, none, own.checks, lang=codes[own.languages])
+                    yield batch_of(own.counts, own.codes, none, own.checks(), lang=codes[own.languages])
                     held = np.unique(own.languages)
                     totals = np.bincount(own.languages, own.counts)[held].astype(np.int64)
                     yield batch_of(totals, codes[held], np.full(len(held), TOTAL))
-                at, ranks, left, right, counts = own.pairs()
-                if not len(at):
-                    continue
-                if now is None:
+                at = np.flatnonzero(own.follows)
+                if now is not None:
+                    # Only the positions of fresh phrases are numbered.
+                    left, right = own.words[at], own.words[at + 1]
+                    ok = now[0].holds(own.codes)
+                    fresh = ok[left] & ok[right]
+                    pairs = pair_codes(own.codes[left], own.codes[right])
+                    pair_ok = now[1].marked(pairs)
+                    # Triples: a pair at i and one at i + 1.
+                    k = np.flatnonzero(at[1:] == at[:-1] + 1)
+                    fresh3 = pair_ok[k] & pair_ok[k + 1]
+                    if before is not None:
+                        old = before[0].holds(own.codes)
+                        fresh &= ~(old[left] & old[right])
+                        pair_old = before[1].marked(pairs)
+                        fresh3 &= ~(pair_old[k] & pair_old[k + 1])
+                    at, at3 = at[fresh], at[k[fresh3]]
+                    if len(at3):
+                        ranks, left, right, _ = own.pairs(at3)
+                        last = own.words[at3 + 2]
+                        first, _, counts = _ranked(ranks * np.int64(len(own.codes)) + last)
+                        pair = ranks[first]
+                        yield batch_of(counts, own.codes[left[pair]], own.codes[right[pair]], own.codes[last[first]])
+                if len(at):
+                    _, left, right, counts = own.pairs(at)
                     yield batch_of(counts, own.codes[left], own.codes[right])
-                    continue
-                ok = now[0].holds(own.codes)
-                fresh = ok[left] & ok[right]
-                pair_ok = now[1].holds(own.codes[left], own.codes[right])
-                # Triples: a pair at i and one at i + 1.
-                k = np.flatnonzero(at[1:] == at[:-1] + 1)
-                fresh3 = pair_ok[ranks[k]] & pair_ok[ranks[k + 1]]
-                if before is not None:
-                    old = before[0].holds(own.codes)
-                    fresh &= ~(old[left] & old[right])
-                    pair_old = before[1].holds(own.codes[left], own.codes[right])
-                    fresh3 &= ~(pair_old[ranks[k]] & pair_old[ranks[k + 1]])
-                if fresh.any():
-                    yield batch_of(counts[fresh], own.codes[left[fresh]], own.codes[right[fresh]])
-                k = k[fresh3]
-                if len(k):
-                    last = own.words[at[k] + 2]
-                    first, _, counts = _ranked(ranks[k] * np.int64(len(own.codes)) + last)
-                    pair = ranks[k[first]]
-                    yield batch_of(counts, own.codes[left[pair]], own.codes[right[pair]], own.codes[last[first]])
 
     return map_batches(docs, run, COUNTED).groupBy(*CODES, "lang").agg(F.sum("n").alias("n"))
 

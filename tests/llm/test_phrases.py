@@ -2,9 +2,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from stockwise.llm.phrases import collocations, cut_score, lowered
+from stockwise.llm.phrases import SlicePhrases, collocations, cut_score, lowered
+from stockwise.llm.textbytes import ranked, slices
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -75,3 +78,23 @@ def test_lowered_support():
     assert lowered(10, 1.0) == 10
     assert lowered(10, 0.25) == 2
     assert lowered(10, 0.0) == 1
+
+
+def test_keys_are_numbered_as_they_appear():
+    r = np.random.default_rng(1)
+    for keys in (r.integers(0, 50, 999), r.integers(0, 1 << 63, 99).astype(np.uint64) * np.uint64(2), np.zeros(0, np.int64)):
+        first, numbers = ranked(keys)
+        assert np.array_equal(keys[first][numbers], keys) and len(first) == len(set(keys.tolist()))
+        assert all(keys[p] not in keys[:p] for p in first) and np.array_equal(np.sort(first), first)
+
+
+def test_only_the_pairs_asked_for_are_numbered():
+    (part,) = slices(pa.array(["A b a b, a b c", "b c a b"]))
+    own = SlicePhrases(part, np.zeros(2, np.int64), np.ones(1, np.uint64))
+    spelled = own.spell(np.arange(len(own.codes))).to_pylist()
+    at = np.flatnonzero(own.follows)
+    for places in (at, at[1::2], at[:0]):
+        ranks, left, right, counts = own.pairs(places)
+        want = [(spelled[own.words[i]], spelled[own.words[i + 1]]) for i in places]
+        pairs = [(spelled[a], spelled[b]) for a, b in zip(left, right, strict=True)]
+        assert [pairs[k] for k in ranks] == want and dict(zip(pairs, counts.tolist(), strict=True)) == Counter(want)
