@@ -272,6 +272,26 @@ def test_forecasts_meet_demand_in_as_many_partitions(spark, tmp_path, monkeypatc
     assert len(moved) == 3 and all(", 11), REPARTITION_BY_NUM" in line for line in moved) and "SortMergeJoin" in plan
 
 
+def test_sold_rows_are_summed_in_more_partitions_the_more_there_are(spark, tmp_path, monkeypatch):
+    parts = [(k, 1 + k, "b", "t") for k in [*range(40), 7]]
+    lines = [(k, k, dt.datetime(1996, 1, 1 + d), 2.0, 20.0, 0.0, "N", 1) for k in [*range(40), None] for d in range(10)]
+    lines += [(3, 3, dt.datetime(1996, 1, 1), 5.0, 50.0, 0.0, "N", 2)] * 30 + [(3, 3, None, 1.0, 1.0, 0.0, "N", 1), (3, None, dt.datetime(1996, 1, 1), 1.0, 1.0, 0.0, "N", 1)]
+    lines += [(3, 3, dt.datetime(1996, 2, 1), None, None, 0.0, "N", 1)]
+    spark.createDataFrame(parts, "p_partkey long, p_size int, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    schema = "l_partkey long, l_suppkey long, l_shipdate timestamp, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_linenumber int"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    whole = sorted(Inputs(spark, str(tmp_path)).daily_demand.collect(), key=str)
+    assert len(whole) == 401 and sum(r["y"] or 0 for r in whole) == 2 * 410 + 5 * 30
+    monkeypatch.setattr(series, "PARTITION_ROWS", 40)
+    dealt = Inputs(spark, str(tmp_path)).daily_demand
+    assert sorted(dealt.collect(), key=str) == whole
+    # 443 lines in partitions of 40, dealt by key and day before anything is summed and only once.
+    plan = dealt._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(wh_dept_id" in line]
+    assert dealt.rdd.getNumPartitions() == 12 and len(moved) == 1 and ", 12), REPARTITION_BY_NUM" in moved[0]
+    assert plan.rindex("HashAggregate") < plan.index(moved[0])
+
+
 def test_recursion_uses_the_whole_window(spark):
     df = spark.createDataFrame([(1, days(i), float(i)) for i in range(200)], "k int, ds date, y double")
     assert values(fc.recursive_mean(df, ["k"], "ds", "y", 1, window=180), "pred") == [109.5]
